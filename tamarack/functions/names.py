@@ -1,0 +1,309 @@
+"""Names of organisations as people type them: one parse shared by every matcher.
+
+``parse_name`` is plain Python, used inside Arrow UDFs over *distinct* names.  It splits a name into a modifier
+("Precision"), a trade ("Castings"), a given name, a place-like prefix and the distinguishing core (family names), undoing
+spelling errors, abbreviations, nicknames, reordered parts, trade-name clauses and site notes on the way.
+"""
+
+from __future__ import annotations
+
+import html
+import re
+import unicodedata
+from functools import lru_cache
+from typing import NamedTuple
+
+# Words of company names. Callers with another vocabulary pass their own Lexicon.
+MODIFIERS = (
+    "advanced allied central coastal consolidated continental custom eastern engineered frontier general heritage highland industrial "
+    "integrated international keystone lakeside midland national northern pioneer precision quality riverside southern "
+    "specialty standard summit united universal valley western"
+).split()
+TRADES = (
+    "adhesives bakery batteries bearings boilers brewing cabinetry cables castings ceramics chemicals coatings controls "
+    "conveyors dairy electronics extrusions fasteners filtration foundry furniture gearworks glassworks harnesses hydraulics instruments "
+    "laminates lighting machining metalworks millwork moldings motors optics packaging plastics pneumatics printing pumps "
+    "sensors springs stampings textiles tooling trailers turbines valves welding wireforms"
+).split()
+LEGAL = set("inc incorporated incorp llc lllp corp corporation co company coy comp ltd limited ltda lp llp plc pllc holdings holding group gmbh sa ag".split())
+STOP = set("the of and amp n et und y".split())
+FAMILY = ("sons", "daughters", "brothers")
+#: Short forms that are no prefix or skeleton of one word only.
+SHORT = {
+    "intl": "international", "int": "international", "internat": "international", "natl": "national", "nat": "national", "nthn": "northern",
+    "no": "northern", "sthn": "southern", "so": "southern", "estn": "eastern", "wstn": "western", "utd": "united", "std": "standard",
+    "indl": "industrial", "ind": "industrial", "intgr": "integrated", "integ": "integrated", "contl": "continental", "cont": "continental",
+    "cons": "consolidated", "consol": "consolidated", "eng": "engineered", "engrd": "engineered", "gen": "general", "genl": "general",
+    "prec": "precision", "precis": "precision", "qual": "quality", "qlty": "quality", "univ": "universal", "univl": "universal",
+    "spec": "specialty", "splty": "specialty", "hrtg": "heritage", "cust": "custom", "adv": "advanced", "advd": "advanced",
+    "frntr": "furniture", "ptg": "printing", "prtg": "printing", "chem": "chemicals", "cntl": "central", "cent": "central", "ctrl": "central", "ctrls": "controls", "pkg": "packaging", "mfg": "manufacturing",
+    "wks": "works", "gwks": "gearworks", "fdry": "foundry", "fndry": "foundry", "btrys": "batteries", "brgs": "bearings",
+    "try": "batteries",
+}
+# Given names with the short forms people type for them.
+NICKNAMES = {
+    "anthony": "tony ant anton", "benjamin": "ben benny", "catherine": "cathy cate", "charles": "charlie chuck chas charley", "christopher": "chris kit",
+    "daniel": "dan danny", "david": "dave davy", "deborah": "deb debbie", "donald": "don donny", "dorothy": "dot dottie",
+    "edward": "ed eddie ned ted", "elizabeth": "liz beth betty eliza lizzie betsy", "eugene": "gene", "frederick": "fred freddy freddie rick fritz",
+    "gerald": "jerry gerry", "gregory": "greg", "henry": "hank harry hal", "james": "jim jimmy jamie", "jennifer": "jen jenny",
+    "john": "jack johnny jon", "joseph": "joe joey", "katherine": "kate kathy katie kat kathryn", "kenneth": "ken kenny",
+    "lawrence": "larry lars", "leonard": "len lenny leo", "margaret": "maggie peggy meg marge", "matthew": "matt", "michael": "mike mick mickey",
+    "nicholas": "nick", "patricia": "pat patty trish tricia", "patrick": "paddy", "peter": "pete", "philip": "phil",
+    "raymond": "ray", "rebecca": "becky becca", "richard": "dick rick rich richie", "robert": "bob bobby rob robbie bert", "ronald": "ron",
+    "samuel": "sam sammy", "stephen": "steve", "susan": "sue susie", "theodore": "ted teddy theo", "thomas": "tom tommy",
+    "timothy": "tim", "victoria": "vicky", "walter": "walt wally", "william": "bill billy will willie liam",
+}
+PREFIXES = {"fort": "fort", "ft": "fort", "mount": "mount", "mt": "mount", "saint": "saint", "st": "saint", "1": "one", "2": "two", "3": "three", "4": "four",
+            "5": "five", "6": "six", "7": "seven", "8": "eight", "9": "nine"} | {w: w for w in "one two three four five six seven eight nine".split()}
+# What stands in a name field when nobody knew the name.
+FILLERS = frozenset(
+    ["", "n/a", "na", "n.a.", "none", "null", "nil", "unknown", "tbd", "tba", "test", "xxxx", "xxx", "(blank)", "blank", "see notes", "no name given",
+     "company name", "not disclosed", "coming soon", "same as above", "see directory", "not available", "not provided", "no website", "www", "http://",
+     "https://", "http", "https", "?", "??", "???", "-", "--", "---", "."]
+)
+
+_GIVEN: dict[str, tuple[str, ...]] = {}
+for _full, _short in NICKNAMES.items():
+    _GIVEN.setdefault(_full, ()), _GIVEN.__setitem__(_full, (*_GIVEN[_full], _full))
+    for _s in _short.split():
+        _GIVEN[_s] = (*_GIVEN.get(_s, ()), _full)
+_SPLIT_ALIAS = re.compile(r"\s*[,;(]?\s*\b(?:d/b/a|dba|d\.b\.a\.?|doing business as|trading as|t/a|a/k/a|aka|f/k/a|fka|formerly)\b.*$")
+_DIGITS = str.maketrans("01358", "olseb")
+
+
+class Parsed(NamedTuple):
+    core: str
+    modifier: str
+    trade: str
+    given: tuple[str, ...]  # every given name it may stand for
+    initial: str
+    prefix: str
+    family: str
+
+
+def fold(text: str) -> str:
+    return unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode()
+
+
+def osa(a: str, b: str, most: int) -> int:
+    """Edits of one letter or of two swapped neighbours; stops at most + 1."""
+    if abs(len(a) - len(b)) > most:
+        return most + 1
+    if a == b:
+        return 0
+    before: list[int] = []
+    last = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            d = min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                d = min(d, before[j - 2] + 1)
+            row.append(d)
+        if min(row) > most:
+            return most + 1
+        before, last = last, row
+    return last[-1]
+
+
+def skeleton(short: str, word: str) -> bool:
+    """Whether ``short`` keeps the first letter of ``word`` and others of it in order."""
+    if not short or short[0] != word[0] or len(short) >= len(word):
+        return False
+    rest = iter(word)
+    return all(c in rest for c in short)
+
+
+def sound(text: str) -> str:
+    """One spelling for letters that are heard or read alike."""
+    for a, b in (("rn", "m"), ("ph", "f"), ("ck", "k"), ("dg", "g"), ("ai", "a"), ("au", "ow"), ("ou", "ow"), ("y", "i"), ("w", "v"), ("c", "k"), ("q", "k"), ("z", "s")):
+        text = text.replace(a, b)
+    return re.sub(r"(.)\1+", r"\1", text)
+
+
+@lru_cache(1 << 16)
+def _word(token: str, kind: str) -> tuple[str, int]:
+    """The lexicon word that a token is meant to be, and how far it is: 0 the word, 1 a misspelling, 2 a short form, 9 none."""
+    words = MODIFIERS if kind == "m" else TRADES
+    if token in words:
+        return token, 0
+    plain = token.translate(_DIGITS)
+    if len(plain) >= 5:
+        most = 1 if len(plain) < 7 else 2
+        others = {plain.replace("m", "rn"), plain.replace("rn", "m"), plain.replace("l", "i", 1), token.replace("1", "i").translate(_DIGITS)} - {plain}
+        near = [(d, w) for w in words for d in [osa(plain, w, most), *(osa(o, w, 1) + 2 * (osa(o, w, 1) > 1) for o in others)] if d <= most]
+        if near:
+            return min(near)[1], 1
+    if token in SHORT:
+        return (SHORT[token], 2) if SHORT[token] in words else ("", 9)
+    if 2 <= len(token) <= 9:
+        near = sorted((not w.startswith(token), not w.startswith(token.removesuffix("s")), len(w), w) for w in words if skeleton(token, w) or token.endswith("s") and len(token) > 3 and skeleton(token[:-1], w))
+        if near and (len(token) >= 3 or not near[0][0]):
+            return near[0][3], 2
+    return "", 9
+
+
+@lru_cache(1 << 15)
+def _glued(token: str) -> tuple[str, ...]:
+    """Parts of a token in which the space before or after a lexicon word was lost."""
+    if token in MODIFIERS or token in TRADES:
+        return (token,)
+    for words in (TRADES, MODIFIERS):
+        for w in sorted(words, key=len, reverse=True):
+            if len(token) > len(w) + 2 and token.endswith(w):
+                return (*_glued(token[: -len(w)]), w)
+            if len(token) > len(w) + 2 and token.startswith(w):
+                return (w, *_glued(token[len(w) :]))
+    return (token,)
+
+
+@lru_cache(1 << 15)
+def _given(token: str) -> tuple[str, ...]:
+    if token in _GIVEN:
+        return _GIVEN[token]
+    if len(token) >= 5:
+        near = [w for w in NICKNAMES if osa(token, w, 1) <= 1]
+        if len(near) == 1:
+            return (near[0],)
+    return ()
+
+
+def is_filler(text: str | None) -> bool:
+    return text is None or " ".join(text.split()).lower() in FILLERS
+
+
+def parse_name(name: str | None) -> Parsed | None:
+    """None for a missing or filler name."""
+    if name is None or is_filler(name):
+        return None
+    text = fold(html.unescape(name).replace("’", "'")).lower()
+    text = re.sub(r"(?<=\w)['`](?=\w)", "", text).strip()
+    text = _SPLIT_ALIAS.sub("", text) or text
+    text = re.sub(r"\bamp;", " ", text)
+
+    def bracket(m: re.Match) -> str:
+        inner = re.findall("[a-z]+", m[1])
+        return f" {m[1]} " if any(_word(x, k)[1] < 2 for x in inner for k in "mt") else " "
+
+    text = re.sub(r"\(([^)]*)\)", bracket, text) if not text.startswith("(") else text
+    text = re.sub(r"\s(?:/|-|--|\||–|—)\s.*$", " ", text)
+    text = re.sub(r",\s*[a-z]{2}\s*$", lambda m: m[0] if m[0].strip(", ") in LEGAL else " ", text)
+    tokens = re.findall(r"[a-z0-9]+", re.sub(r"\b([a-z])\.\s?(?=[a-z]\b)", r"\1", text))
+    kept = [t for t in tokens if t not in STOP]
+    while len(kept) > 1 and kept[-1] in LEGAL:
+        kept.pop()
+    kept = [t for t in kept if t not in LEGAL] or kept
+    return _assign(tuple(kept))
+
+
+@lru_cache(1 << 16)
+def _assign(tokens: tuple[str, ...]) -> Parsed | None:
+    parts = [p for t in tokens for p in (_glued(t) if len(t) > 8 else (t,))]
+    found = {"m": "", "t": ""}
+    given: tuple[str, ...] = ()
+    initial = prefix = family = ""
+    taken = [False] * len(parts)
+    for grade in (0, 1):
+        for kind in "tm":
+            for i, p in reversed(list(enumerate(parts))):
+                if not taken[i] and not found[kind] and len(p) > 1:
+                    w, how = _word(p, kind)
+                    if how == grade and (how == 0 or p not in _GIVEN):
+                        found[kind], taken[i] = w, True
+    for i, p in enumerate(parts):
+        if taken[i]:
+            continue
+        if p in PREFIXES and i < len(parts) - 1 and not prefix:
+            prefix, taken[i] = PREFIXES[p], True
+        elif p in FAMILY or len(p) >= 4 and any(osa(p, f, 1 if len(f) < 6 else 2) <= (1 if len(f) < 6 else 2) for f in FAMILY):
+            family, taken[i] = min(FAMILY, key=lambda f: osa(p, f, 3)), True
+        elif not given and (g := _given(p)):
+            given, taken[i] = g, True
+        elif not initial and len(p) == 1 and p.isalpha():
+            initial, taken[i] = p, True
+    left = [i for i in range(len(parts)) if not taken[i]]
+    for kind in "tm":
+        if not found[kind] and len(left) > 1:
+            for i in reversed(left):
+                w, how = _word(parts[i], kind)
+                if how == 2:
+                    found[kind], taken[i] = w, True
+                    left.remove(i)
+                    break
+    if not found["t"] and len(left) > 2:  # a word broken in two
+        for i in range(len(left) - 1, 0, -1):
+            w, how = _word(parts[left[i - 1]] + parts[left[i]], "t")
+            if how < 2:
+                found["t"] = w
+                del left[i - 1 : i + 1]
+                break
+    core = "".join(parts[i] for i in left).translate(_DIGITS)
+    if not (core or given):
+        core = "".join(parts)
+    return Parsed(core, found["m"], found["t"], given, initial, prefix, family)
+
+
+def jaro_winkler(a: str, b: str) -> float:
+    if a == b:
+        return 1.0
+    if not a or not b:
+        return 0.0
+    reach = max(max(len(a), len(b)) // 2 - 1, 0)
+    used = [False] * len(b)
+    hits = []
+    for i, x in enumerate(a):
+        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
+            if not used[j] and b[j] == x:
+                used[j] = True
+                hits.append(x)
+                break
+    if not hits:
+        return 0.0
+    other = [b[j] for j in range(len(b)) if used[j]]
+    swaps = sum(x != y for x, y in zip(hits, other)) / 2
+    m = len(hits)
+    j = (m / len(a) + m / len(b) + (m - swaps) / m) / 3
+    lead = 0
+    for x, y in zip(a[:4], b[:4]):
+        if x != y:
+            break
+        lead += 1
+    return j + lead * 0.1 * (1 - j)
+
+
+def monge_elkan(a: list[str], b: list[str], similar=jaro_winkler) -> float:
+    """Mean over both directions of each token's best partner."""
+    if not a or not b:
+        return 0.0
+    one = lambda x, y: sum(max(similar(s, t) for t in y) for s in x) / len(x)
+    return (one(a, b) + one(b, a)) / 2
+
+
+def core_close(a: str, b: str) -> bool:
+    """Whether two family-name cores are spellings of one: equal as heard, or few edits for their length."""
+    if a == b or sound(a) == sound(b):
+        return True
+    n = min(len(a), len(b))
+    most = 0 if n < 4 else 1 if n < 7 else 2 if n < 14 else 3
+    return osa(a, b, most) <= most or osa(sound(a), sound(b), 1) <= (1 if n >= 6 else 0)
+
+
+def given_fits(p: Parsed, q: Parsed) -> bool:
+    if p.given and q.given:
+        return bool(set(p.given) & set(q.given))
+    if p.given and q.initial:
+        return any(g[0] == q.initial for g in p.given)
+    if q.given and p.initial:
+        return any(g[0] == p.initial for g in q.given)
+    return True
+
+
+def same_name(p: Parsed | None, q: Parsed | None) -> bool:
+    """Whether two parsed names can be one organisation's, wherever it is."""
+    if p is None or q is None:
+        return False
+    if p.modifier and q.modifier and p.modifier != q.modifier or p.trade and q.trade and p.trade != q.trade:
+        return False
+    if not (p.trade and q.trade or p.modifier and q.modifier) and (p.core != q.core or (p.modifier, p.trade) != (q.modifier, q.trade)):
+        return False
+    return given_fits(p, q) and core_close(p.core, q.core)
