@@ -13,6 +13,9 @@ import unicodedata
 from functools import lru_cache
 from typing import NamedTuple
 
+import pandas as pd
+from pyspark.sql.functions import pandas_udf
+
 # Words of company names. Callers with another vocabulary pass their own Lexicon.
 MODIFIERS = (
     "advanced allied central coastal consolidated continental custom eastern engineered frontier general heritage highland industrial "
@@ -193,11 +196,11 @@ def parse_name(name: str | None) -> Parsed | None:
     while len(kept) > 1 and kept[-1] in LEGAL:
         kept.pop()
     kept = [t for t in kept if t not in LEGAL] or kept
-    return _assign(tuple(kept))
+    return _assign(tuple(kept), frozenset(re.findall(r",\s*([a-z]+)", text)))
 
 
 @lru_cache(1 << 16)
-def _assign(tokens: tuple[str, ...]) -> Parsed | None:
+def _assign(tokens: tuple[str, ...], after_comma: frozenset[str] = frozenset()) -> Parsed | None:
     parts = [p for t in tokens for p in (_glued(t) if len(t) > 8 else (t,))]
     found = {"m": "", "t": ""}
     given: tuple[str, ...] = ()
@@ -217,7 +220,7 @@ def _assign(tokens: tuple[str, ...]) -> Parsed | None:
             prefix, taken[i] = PREFIXES[p], True
         elif p in FAMILY or len(p) >= 4 and any(osa(p, f, 1 if len(f) < 6 else 2) <= (1 if len(f) < 6 else 2) for f in FAMILY):
             family, taken[i] = min(FAMILY, key=lambda f: osa(p, f, 3)), True
-        elif not given and (g := _given(p)):
+        elif not given and (i == 0 or p in NICKNAMES or p in after_comma or i == 1 and taken[0]) and (g := _given(p)) and sum(len(x) for j, x in enumerate(parts) if not taken[j]) >= len(p) + 5:
             given, taken[i] = g, True
         elif not initial and len(p) == 1 and p.isalpha():
             initial, taken[i] = p, True
@@ -230,13 +233,22 @@ def _assign(tokens: tuple[str, ...]) -> Parsed | None:
                     found[kind], taken[i] = w, True
                     left.remove(i)
                     break
-    if not found["t"] and len(left) > 2:  # a word broken in two
+    if not found["t"] and len(left) > 1:  # a word with two errors, or broken in two
+        for i in reversed(left[1:]):
+            near = sorted((osa(parts[i], w, 3), w) for w in TRADES if parts[i][0] == w[0] and len(parts[i]) >= 5)
+            if near and near[0][0] <= max(2, len(near[0][1]) // 3):
+                found["t"] = near[0][1]
+                left.remove(i)
+                break
+    if not found["t"] and len(left) > 2:
         for i in range(len(left) - 1, 0, -1):
             w, how = _word(parts[left[i - 1]] + parts[left[i]], "t")
             if how < 2:
                 found["t"] = w
                 del left[i - 1 : i + 1]
                 break
+    if found["t"].endswith("works") and len(left) > 1:
+        left = [i for i in left if parts[i] not in ("wks", "works", "work", "wrks")] or left
     core = "".join(parts[i] for i in left).translate(_DIGITS)
     if not (core or given):
         core = "".join(parts)
@@ -307,3 +319,16 @@ def same_name(p: Parsed | None, q: Parsed | None) -> bool:
     if not (p.trade and q.trade or p.modifier and q.modifier) and (p.core != q.core or (p.modifier, p.trade) != (q.modifier, q.trade)):
         return False
     return given_fits(p, q) and core_close(p.core, q.core)
+
+
+def name_struct():
+    """Arrow UDF: the parse of a name as a struct of core, its sound, modifier, trade, given (all readings), initial and prefix; null for no name."""
+    @pandas_udf("core string, sound string, modifier string, trade string, given string, initial string, prefix string")
+    def parsed(names: pd.Series) -> pd.DataFrame:
+        rows = [parse_name(n) for n in names]
+        return pd.DataFrame(
+            [(None,) * 7 if p is None else (p.core, sound(p.core), p.modifier, p.trade, "|".join(p.given), p.initial, p.prefix) for p in rows],
+            columns=["core", "sound", "modifier", "trade", "given", "initial", "prefix"],
+        )
+
+    return parsed
