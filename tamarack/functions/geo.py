@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .values import let
+
 # US states, district and territory names by postal code.
 STATES = {
     "AL": "Alabama", "AK": "Alaska", "AZ": "Arizona", "AR": "Arkansas", "CA": "California", "CO": "Colorado", "CT": "Connecticut",
@@ -58,10 +60,13 @@ def state_code(c: Column) -> Column:
     text = F.regexp_replace(text, "[, ]+(U\\.?S\\.?A?\\.?|UNITED STATES)$", "")
     text = F.regexp_replace(text, "[^A-Z]", "")
     names = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(s).alias("s")) for n, s in sorted(_NAMES.items())])
-    near = F.array_min(F.transform(names, lambda x: F.struct(F.levenshtein(x["n"], text).alias("d"), x["s"].alias("s"))))
-    fuzzy = F.when(near["d"] <= F.when(F.length(text) <= 5, 1).otherwise(2), near["s"])
-    known = F.try_element_at(literal_map(_TABLE), text)
-    return F.when(known.isNotNull(), known).when(F.length(text) >= 4, fuzzy)
+
+    def code(t: Column) -> Column:
+        near = F.array_min(F.transform(names, lambda x: F.struct(F.levenshtein(x["n"], t).alias("d"), x["s"].alias("s"))))
+        fuzzy = let(near, lambda n: F.when(n["d"] <= F.when(F.length(t) <= 5, 1).otherwise(2), n["s"]))
+        return F.coalesce(F.try_element_at(literal_map(_TABLE), t), F.when(F.length(t) >= 4, fuzzy))
+
+    return let(text, code)
 
 
 def state_code_or_text(c: Column) -> Column:

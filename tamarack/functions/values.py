@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from .names import FILLERS
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it; keeps long expressions small."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def real_text(c: Column) -> Column:
     """The trimmed text; null where it is blank or one of the fillers."""
     text = F.trim(F.regexp_replace(c, "\\s+", " "))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .values import let
+
 # Second-level labels under which names are registered.
 TWO_LABEL_SUFFIXES = (
     "co.uk org.uk ac.uk gov.uk ltd.uk plc.uk me.uk com.au net.au org.au edu.au co.nz org.nz net.nz co.jp or.jp ne.jp ac.jp "
@@ -31,16 +33,17 @@ def host_of(c: Column) -> Column:
 
 
 def registrable(host: Column) -> Column:
-    """The part of a host that someone registered: its last two labels, or three under a two-label suffix."""
-    labels = F.split(host, "\\.")
-    two = F.concat_ws(".", F.slice(labels, -2, 2))
-    n = F.size(labels)
-    return F.when(n < 2, F.lit(None)).when(two.isin(*TWO_LABEL_SUFFIXES), F.when(n >= 3, F.concat_ws(".", F.slice(F.when(n >= 3, labels).otherwise(F.array(*[F.lit("x")] * 3)), -3, 3)))).otherwise(F.concat_ws(".", F.slice(F.when(n >= 2, labels).otherwise(F.array(*[F.lit("x")] * 2)), -2, 2)))
+    """The part of a host that someone registered: its last two labels, or three under a two-label suffix; null for less."""
+
+    def part(labels: Column) -> Column:
+        n = F.size(labels)
+        two = F.concat_ws(".", F.get(labels, n - 2), F.get(labels, n - 1))
+        return F.when(~two.isin(*TWO_LABEL_SUFFIXES), F.when(n >= 2, two)).when(n >= 3, F.concat_ws(".", F.get(labels, n - 3), two))
+
+    return let(F.split(host, "\\."), part)
 
 
 def own_domain(c: Column, platforms: Sequence[str] = ()) -> Column:
     """Registrable domain of a company's own web address; null for platforms, shared hosts, mail addresses and fillers."""
-    host = host_of(c)
-    domain = registrable(host)
     shared = [*SHARED_HOSTS, *platforms]
-    return F.when(~domain.isin(*shared) & ~host.isin(*shared), domain)
+    return let(host_of(c), lambda host: F.when(~host.isin(*shared), let(registrable(host), lambda d: F.when(~d.isin(*shared), d))))
