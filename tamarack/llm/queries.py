@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import components, representative, sampling, variants
+from . import components, mixture, representative, sampling, splits, tokens, variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": representative.p1_found,
@@ -15,9 +15,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_report": sampling.p2_report,
     "p2_sample": sampling.p2_sample,
     "p2_joint_sample": sampling.p2_joint_sample,
+    "p3_found": splits.p3_found,
+    "p3_splits": splits.p3_splits,
+    "p3_report": splits.p3_report,
     "p4_found": variants.p4_found,
     "p4_groups": variants.p4_groups,
     "p5_found": components.p5_found,
     "p5_against_companies": components.p5_against_companies,
+    "p7_ids": tokens.p7_ids,
+    "p7_vocabulary_use": tokens.p7_vocabulary_use,
+    "p8_mix": mixture.p8_mix,
+    "p8_report": mixture.p8_report,
 }
 ORACLE: dict[str, str] = {}
