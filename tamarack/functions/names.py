@@ -218,7 +218,7 @@ def _assign(tokens: tuple[str, ...], after_comma: frozenset[str] = frozenset())
             continue
         if p in PREFIXES and i < len(parts) - 1 and not prefix:
             prefix, taken[i] = PREFIXES[p], True
-        elif p in FAMILY or len(p) >= 4 and any(osa(p, f, 1 if len(f) < 6 else 2) <= (1 if len(f) < 6 else 2) for f in FAMILY):
+        elif p in FAMILY or len(p) >= 4 and p not in SHORT and any(osa(p, f, 1 if len(f) < 6 else 2) <= (1 if len(f) < 6 else 2) for f in FAMILY):
             family, taken[i] = min(FAMILY, key=lambda f: osa(p, f, 3)), True
         elif not given and (i == 0 or p in NICKNAMES or p in after_comma or i == 1 and taken[0]) and (g := _given(p)) and sum(len(x) for j, x in enumerate(parts) if not taken[j]) >= len(p) + 5:
             given, taken[i] = g, True
