@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import components, mixture, representative, sampling, splits, tokens, variants
+from . import components, linkage, mixture, representative, sampling, splits, tokens, variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": representative.p1_found,
@@ -22,6 +22,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_groups": variants.p4_groups,
     "p5_found": components.p5_found,
     "p5_against_companies": components.p5_against_companies,
+    "p6_found": linkage.p6_found,
+    "p6_matches": linkage.p6_matches,
     "p7_ids": tokens.p7_ids,
     "p7_vocabulary_use": tokens.p7_vocabulary_use,
     "p8_mix": mixture.p8_mix,
