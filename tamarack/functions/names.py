@@ -94,6 +94,8 @@ def osa(a: str, b: str, most: int) -> int:
         return most + 1
     if a == b:
         return 0
+    if len((x := set(a)) - (y := set(b))) > most or len(y - x) > most:  # each edit brings or takes one letter at most
+        return most + 1
     before: list[int] = []
     last = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

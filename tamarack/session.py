@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,20 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives the executors' Python workers this package, once a session."""
+    context = spark.sparkContext
+    if getattr(context, "_tamarack_shipped", False):
+        return
+    here = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="tamarack-code-")) / "tamarack.zip"
+    with zipfile.ZipFile(target, "w") as bundle:
+        for file in here.rglob("*.py"):
+            bundle.write(file, file.relative_to(here.parent))
+    context.addPyFile(str(target))
+    context._tamarack_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder: what the cluster names in spark.checkpoint.dir; one of our own only where none is set, as in tests."""
     context = spark.sparkContext
@@ -58,8 +74,3 @@ def release(*frames: DataFrame | None) -> None:
             where = jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
             df._settled_path = None
-
-
-def utc(spark: SparkSession) -> SparkSession:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
