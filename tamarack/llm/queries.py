@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import components, linkage, mixture, representative, sampling, splits, tokens, variants
+from . import components, linkage, mixture, pii, representative, sampling, splits, tokens, variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": representative.p1_found,
@@ -28,5 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_vocabulary_use": tokens.p7_vocabulary_use,
     "p8_mix": mixture.p8_mix,
     "p8_report": mixture.p8_report,
+    "p9_found": pii.p9_found,
+    "p9_redacted": pii.p9_redacted,
 }
 ORACLE: dict[str, str] = {}
