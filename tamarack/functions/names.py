@@ -126,6 +126,20 @@ def sound(text: str) -> str:
     return re.sub(r"(.)\1+", r"\1", text)
 
 
+@lru_cache(256)
+def _about(kind: str, length: int, most: int) -> tuple[str, ...]:
+    return tuple(w for w in (MODIFIERS if kind == "m" else TRADES) if abs(len(w) - length) <= most)
+
+
+@lru_cache(1 << 16)
+def _kin(token: str) -> str:
+    """The family word that a token is meant to be, or nothing."""
+    if token in FAMILY or len(token) < 4 or token in SHORT:
+        return token if token in FAMILY else ""
+    near = [(d, f) for f in FAMILY if (d := osa(token, f, 1 if len(f) < 6 else 2)) <= (1 if len(f) < 6 else 2)]
+    return min(near)[1] if near else ""
+
+
 @lru_cache(1 << 16)
 def _word(token: str, kind: str) -> tuple[str, int]:
     """The lexicon word that a token is meant to be, and how far it is: 0 the word, 1 a misspelling, 2 a short form, 9 none."""
@@ -136,7 +150,8 @@ def _word(token: str, kind: str) -> tuple[str, int]:
     if len(plain) >= 5:
         most = 1 if len(plain) < 7 else 2
         others = {plain.replace("m", "rn"), plain.replace("rn", "m"), plain.replace("l", "i", 1), token.replace("1", "i").translate(_DIGITS)} - {plain}
-        near = [(d, w) for w in words for d in [osa(plain, w, most), *(osa(o, w, 1) + 2 * (osa(o, w, 1) > 1) for o in others)] if d <= most]
+        near = [(d, w) for w in _about(kind, len(plain), most) if (d := osa(plain, w, most)) <= most]
+        near += [(d, w) for o in others for w in _about(kind, len(o), 1) if (d := osa(o, w, 1)) <= 1]
         if near:
             return min(near)[1], 1
     if token in SHORT:
@@ -220,8 +235,8 @@ def _assign(tokens: tuple[str, ...], after_comma: frozenset[str] = frozenset())
             continue
         if p in PREFIXES and i < len(parts) - 1 and not prefix:
             prefix, taken[i] = PREFIXES[p], True
-        elif p in FAMILY or len(p) >= 4 and p not in SHORT and any(osa(p, f, 1 if len(f) < 6 else 2) <= (1 if len(f) < 6 else 2) for f in FAMILY):
-            family, taken[i] = min(FAMILY, key=lambda f: osa(p, f, 3)), True
+        elif kin := _kin(p):
+            family, taken[i] = kin, True
         elif not given and (i == 0 or p in NICKNAMES or p in after_comma or i == 1 and taken[0]) and (g := _given(p)) and sum(len(x) for j, x in enumerate(parts) if not taken[j]) >= len(p) + 5:
             given, taken[i] = g, True
         elif not initial and len(p) == 1 and p.isalpha():
