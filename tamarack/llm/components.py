@@ -96,6 +96,12 @@ def components(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return every.join(least, "root").select(F.col("node").alias("record_id"), "group_id")
 
 
+def small_components(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """As ``components``, by minimum propagation alone: for links whose groups are no giants."""
+    every = settle(propagate(settle(links(pairs, a, b))))
+    return every.join(every.groupBy("root").agg(F.min("node").alias("group_id")), "root").select(F.col("node").alias("record_id"), "group_id")
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of the records, anchor records included, that merge decisions join."""
     rows = table(spark, folder, "pair_decisions")

@@ -14,8 +14,9 @@ from ..functions.geo import city_key, state_code
 from ..functions.names import core_close, name_struct
 from ..functions.web import own_domain
 from ..session import settle
+from .components import small_components
 from .tables import payloads, platforms, table
-from .variants import entity_tags, form_table
+from .variants import entity_tags, form_table, hub_links
 
 #: Bits of a vector, bits that each q-gram sets, and parts of a vector that are indexed.
 BITS, SETS, PARTS = 64, 3, 8
@@ -25,7 +26,6 @@ RADIUS = PARTS * 2 - 1
 BINS = 40
 #: Weights of the attributes in the score.
 WEIGHTS = {"name": 0.6, "domain": 0.25, "city": 0.15}
-_CUTS = [BITS * i // PARTS for i in range(PARTS + 1)]
 
 
 def bit_vector(text: Column) -> Column:
@@ -42,9 +42,9 @@ def bit_vector(text: Column) -> Column:
     return F.when(F.length(text) > 0, F.aggregate(grams, F.lit(0).cast("bigint"), lambda acc, g: acc.bitwiseOR(mask(g))))
 
 
-def _parts(vector: Column) -> list[tuple[Column, int]]:
-    """The vector's parts as numbers, with their widths."""
-    return [(F.shiftrightunsigned(vector, low).bitwiseAND(F.lit((1 << (high - low)) - 1)), high - low) for low, high in zip(_CUTS, _CUTS[1:])]
+def _part(vector: Column, i: Column) -> Column:
+    """The i-th part of a vector as a number of BITS / PARTS bits."""
+    return F.call_function("shiftrightunsigned", vector, (i * (BITS // PARTS)).cast("int")).bitwiseAND(F.lit((1 << BITS // PARTS) - 1))
 
 
 def hamming_pairs(queries: DataFrame, items: DataFrame, block: Sequence[str]) -> DataFrame:
@@ -57,11 +57,12 @@ def hamming_pairs(queries: DataFrame, items: DataFrame, block: Sequence[str]) ->
     """
     keys = [F.col(c) for c in block]
     some = lambda d: d.filter(F.col("vector").isNotNull())
-    filed = some(items).select(F.col("form").alias("v"), F.col("vector").alias("y"), F.explode(F.array(*[F.xxhash64(F.lit(i), p, *keys) for i, (p, _) in enumerate(_parts(F.col("vector")))])).alias("key"))
-    near = []
-    for i, (p, width) in enumerate(_parts(F.col("vector"))):
-        near += [F.xxhash64(F.lit(i), p, *keys), *[F.xxhash64(F.lit(i), p.bitwiseXOR(F.lit(1 << b)), *keys) for b in range(width)]]
-    asked = some(queries).select(F.col("form").alias("u"), F.col("vector").alias("x"), F.explode(F.array(*near)).alias("key"))
+    places = F.sequence(F.lit(0), F.lit(PARTS - 1))
+    turned = F.array(*[F.lit(x).cast("bigint") for x in (0, *(1 << b for b in range(BITS // PARTS)))])
+    own = F.transform(places, lambda i: F.xxhash64(i, _part(F.col("vector"), i), *keys))
+    near = F.flatten(F.transform(places, lambda i: F.transform(turned, lambda t: F.xxhash64(i, _part(F.col("vector"), i).bitwiseXOR(t), *keys))))
+    filed = some(items).select(F.col("form").alias("v"), F.col("vector").alias("y"), F.explode(own).alias("key"))
+    asked = some(queries).select(F.col("form").alias("u"), F.col("vector").alias("x"), F.explode(near).alias("key"))
     distance = F.bit_count(F.col("x").bitwiseXOR(F.col("y")))
     return asked.join(filed, "key").withColumn("distance", distance).filter((F.col("distance") <= RADIUS) & (F.col("u") != F.col("v"))).select("u", "v", "distance").distinct()
 
@@ -155,11 +156,8 @@ def p6_matches(spark: SparkSession, folder: str) -> DataFrame:
     The confidence of a pair is that of its field-weighted Dice score, calibrated where both sides name a web domain:
     there equal domains are true and different ones are not.
     """
-    from .components import components
-    from .variants import hub_links
-
     rows = settle(_records(spark, folder))
-    groups = components(hub_links(settle(match_sources(rows)), "key"), "key", "hub")
+    groups = small_components(hub_links(settle(match_sources(rows)), "key"), "key", "hub")
     named = settle(groups.select(F.col("record_id").alias("key"), "group_id").join(rows, "key"))
     facts = [F.col("record_id"), bit_vector(F.col("sound")).alias("name"), bit_vector(F.col("domain")).alias("domain"), bit_vector(F.col("city")).alias("city")]
     left, right = (named.filter(F.col("side") == s).select("group_id", F.struct(*facts).alias(n)) for s, n in ((0, "a"), (1, "b")))

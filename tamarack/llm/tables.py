@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.values import payload_field
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -19,4 +17,5 @@ def platforms(spark: SparkSession, folder: str) -> list[str]:
 
 def payloads(raw: DataFrame, *fields: str) -> DataFrame:
     """Columns id, source, ingested_at and the named payload fields as text."""
-    return raw.select("id", "source", "ingested_at", *[payload_field(F.col("payload_json"), f).alias(f) for f in fields])
+    parsed = raw.select("id", F.col("source").alias("__source"), "ingested_at", F.json_tuple("payload_json", *fields).alias(*[f"__{f}" for f in fields]))  # one parse for all fields
+    return parsed.select("id", F.col("__source").alias("source"), "ingested_at", *[F.col(f"__{f}").alias(f) for f in fields])
