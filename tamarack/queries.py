@@ -1,10 +1,627 @@
-"""The named queries of the general operators and the SQL that says the same."""
+"""The named queries of the general operators, over whole tables, and the SQL that says the same."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+from .functions import geo, keys, text, values, web
+from .functions.grounding import grounded, invalid, normalised
+from .functions.names import name_struct
+from .functions.pages import best_links, page_links, read_page, site_names
+from .operators import canon, cluster, evaluate, market, match, sample, score, upsert
+from .oracle import ORACLE
+from .plans.resolve import load_records, resolve
+from .plans.thesis import Range, Thesis
+from .session import settle
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+THESIS = Thesis(
+    name="makers", naics_prefixes=("332", "333", "3261"), states=("GA", "NC", "SC", "TN"), keywords=("castings", "precision", "machining"), end_markets=("aerospace", "medical device"),
+    employees=Range(20, 250), revenue_usd_m=Range(2, 40), prefer=("family_owned",), exclude_keywords=("laminates", "cabinetry"), exclude_domains=(), countries=("US",),
+)
+
+
+def query(f: Query) -> Query:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def hosts(spark: SparkSession, folder: str) -> list[str]:
+    return sorted(r.host for r in table(spark, folder, "platform_hosts").limit(10_000).collect())  # a fixed table of a few rows
+
+
+# ---- keys and normalisation ---------------------------------------------------------------------------------------------
+
+
+@query
+def name_key_companies(spark: SparkSession, folder: str) -> DataFrame:
+    c = table(spark, folder, "companies")
+    name = F.col("canonical_name")
+    return c.select("id", keys.name_key(name).alias("name_key"), F.array_join(keys.word_keys(name), " ").alias("word_keys"), F.array_join(keys.distinctive_tokens(name), " ").alias("distinctive"))
+
+
+@query
+def guessed_domains(spark: SparkSession, folder: str) -> DataFrame:
+    c = table(spark, folder, "companies")
+    return c.select("id", F.array_join(keys.candidate_domains(F.col("canonical_name")), " ").alias("guesses"), F.array_join(keys.entity_words(F.col("canonical_name")), " ").alias("entity_words"))
+
+
+@query
+def own_domain_raw(spark: SparkSession, folder: str) -> DataFrame:
+    r = table(spark, folder, "raw_records")
+    site = values.payload_field(F.col("payload_json"), "website")
+    return r.select("id", web.own_domain(site, hosts(spark, folder)).alias("domain"))
+
+
+@query
+def state_city_country(spark: SparkSession, folder: str) -> DataFrame:
+    c = table(spark, folder, "companies")
+    return c.select("id", geo.state_code_or_text(F.col("state")).alias("state"), geo.city_plain(F.col("city")).alias("city"), geo.country_code(F.col("country")).alias("country"))
+
+
+@query
+def label_keys(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "label_rows")
+    return rows.select("row_number", keys.label_key(F.col("company_name"), web.own_domain(F.col("website"), hosts(spark, folder)), geo.state_code_or_text(F.col("state"))).alias("label_key"))
+
+
+@query
+def search_keys(spark: SparkSession, folder: str) -> DataFrame:
+    m = table(spark, folder, "match_records")
+    return m.select("id", keys.search_key(F.nullif(F.trim("uei"), F.lit("")), F.col("name"), F.col("state")).alias("search_key"))
+
+
+@query
+def row_hashes(spark: SparkSession, folder: str) -> DataFrame:
+    m = table(spark, folder, "match_records")
+    return m.select("id", keys.row_hash({c: F.col(c) for c in ("name", "domain", "state", "city")}).alias("row_hash"))
+
+
+@query
+def typed_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    r = table(spark, folder, "raw_records")
+    staff = values.payload_field(F.col("payload_json"), "employees")
+    return r.select("id", keys.typed_int(staff).alias("typed_int"), values.head_count(staff).alias("head_count"), keys.typed_revenue(values.payload_field(F.col("payload_json"), "revenue_usd_m")).alias("revenue"))
+
+
+@query
+def naics_flags(spark: SparkSession, folder: str) -> DataFrame:
+    c = table(spark, folder, "companies")
+    joined = F.array_join("naics_codes", "~")
+    return c.select("id", F.explode(keys.naics_codes_of(joined)).alias("x")).select("id", "x.code", F.coalesce("x.flag", F.lit("")).alias("flag"))
+
+
+@query
+def parsed_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts of every company's typed name (rows only: the parse has no SQL)."""
+    c = table(spark, folder, "companies")
+    return c.select("id", name_struct()("canonical_name").alias("p")).select("id", "p.core", "p.modifier", "p.trade", "p.prefix")
+
+
+# ---- scoring ------------------------------------------------------------------------------------------------------------
+
+
+def facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Companies with what their pages say: products and markets named in their documents, and who owns them."""
+    c = table(spark, folder, "companies")
+    d = table(spark, folder, "documents").filter("company_id is not null and text is not null")
+    low = F.lower("text")
+    says = d.groupBy("company_id").agg(*[F.max(low.contains(w).cast("int")).alias(f"m{i}") for i, w in enumerate(THESIS.end_markets)], F.max(low.contains("family still owns").cast("int")).alias("family"))
+    markets = F.filter(F.array(*[F.when(F.col(f"m{i}") == 1, w) for i, w in enumerate(THESIS.end_markets)]), lambda x: x.isNotNull())
+    null = "cast(null as {0}) as {1}".format
+    extraction = F.when(F.col("family").isNotNull(), F.struct(
+        F.lit(None).cast("string").alias("summary"), F.array().cast("array<string>").alias("product_lines"), markets.alias("end_markets"), F.lit(None).cast("string").alias("business_model"),
+        F.struct(*[F.expr(null("bigint", n)) if n != "employee_count_quote" else F.expr(null("string", n)) for n in ("employee_count", "employee_count_quote", "facility_count", "facility_sqft_total", "founded_year")]).alias("size_signals"),
+        F.struct(F.expr(null("string", "founder_led")), F.when(F.col("family") == 1, "yes").otherwise("unknown").alias("family_owned"), F.expr(null("bigint", "generation")), F.expr(null("string", "pe_or_strategic_backed")), F.expr(null("string", "publicly_traded"))).alias("ownership"),
+        F.array().cast("array<struct<claim:string,page:string,quote:string>>").alias("evidence"),
+    ))
+    joined = c.join(says, c.id == says.company_id, "left")
+    return joined.select(F.col("id").alias("company_id"), F.coalesce("canonical_name", F.lit("")).alias("name"), F.lower("domain").alias("domain"), geo.state_code_or_text(F.col("state")).alias("state"), geo.country_code(F.col("country")).alias("country"),
+                         "naics_codes", "employee_count", "employee_count_source", "revenue_usd_m", F.when(F.col("family").isNotNull(), "ok").alias("enrichment_status"), extraction.alias("extraction"))
+
+
+@query
+def thesis_rank(spark: SparkSession, folder: str) -> DataFrame:
+    """Companies ranked against the thesis, with the components, confidence and exclusion of each."""
+    out = score.ranked(score.score(facts(spark, folder), THESIS))
+    return out.select("company_id", "rank", "total", "sector", "size", "geography", "ownership", "confidence", "excluded", "exclusion_rule")
+
+
+@query
+def thesis_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    """The written reason of each company's score (rows only)."""
+    return score.score(facts(spark, folder), THESIS).select("company_id", "total", "reason", F.array_join("evidenced", ",").alias("evidenced"))
+
+
+@query
+def score_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    return score.summary(score.score(facts(spark, folder), THESIS), THESIS.threshold)
+
+
+@query
+def naics_in_thesis(spark: SparkSession, folder: str) -> DataFrame:
+    c = table(spark, folder, "companies")
+    return c.select("id", keys.naics_matches(F.col("naics_codes"), THESIS.naics_prefixes).alias("in_thesis"))
+
+
+# ---- matching -----------------------------------------------------------------------------------------------------------
+
+
+def match_input(spark: SparkSession, folder: str) -> DataFrame:
+    m = table(spark, folder, "match_records")
+    return m.select("id", F.coalesce(keys.name_key(F.col("name")), F.lit("")).alias("key"), web.own_domain(F.col("domain"), hosts(spark, folder)).alias("domain"), geo.state_code_or_text(F.col("state")).alias("state"),
+                    geo.city_plain(F.col("city")).alias("city"), geo.country_code(F.col("country")).alias("country"), F.nullif(F.trim("uei"), F.lit("")).alias("uei"))
+
+
+@query
+def block_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    return match.candidate_pairs(settle(match_input(spark, folder)))[0]
+
+
+@query
+def block_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    return match.block_keys(match_input(spark, folder)).groupBy("kind", "block").agg(F.count("*").alias("records"))
+
+
+@query
+def match_decisions(spark: SparkSession, folder: str) -> DataFrame:
+    """Decision, method and reason of every blocked pair (rows only: the similarity is tested by brute force)."""
+    records = settle(match_input(spark, folder))
+    return match.decide(match.candidate_pairs(records)[0], records)
+
+
+@query
+def resolved_companies(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole way from raw records to companies that keep their former ids (rows only)."""
+    raw = table(spark, folder, "raw_records")
+    former = table(spark, folder, "company_records").select(F.col("raw_record_id").alias("id"), "company_id")
+    out = resolve(raw, hosts(spark, folder), table(spark, folder, "source_priority"), former)
+    return out.companies.withColumn("naics_codes", F.array_join("naics_codes", ","))
+
+
+@query
+def review_queue(spark: SparkSession, folder: str) -> DataFrame:
+    """What of the matching of match_records is to be looked at (rows only)."""
+    records = settle(match_input(spark, folder))
+    decisions = settle(match.decide(match.candidate_pairs(records)[0], records))
+    assignments, links = cluster.cluster(records, decisions)
+    return cluster.review_pairs(decisions, settle(links), settle(assignments))
+
+
+def _assigned(spark: SparkSession, folder: str) -> DataFrame:
+    records = load_records(table(spark, folder, "raw_records"), hosts(spark, folder))
+    held = table(spark, folder, "company_records").select(F.col("raw_record_id").alias("id"), "company_id")
+    order = table(spark, folder, "source_priority").select(values.source_label(F.col("source")).alias("source"), "priority")
+    return records.join(held, "id").join(F.broadcast(order.limit(10_000)), "source", "left")  # a fixed table of a few rows
+
+
+@query
+def canonical_records(spark: SparkSession, folder: str) -> DataFrame:
+    out = canon.canonical_record(_assigned(spark, folder), "company_id", F.col("priority"))
+    return out.withColumn("naics_codes", F.array_join("naics_codes", ","))
+
+
+@query
+def best_evidence(spark: SparkSession, folder: str) -> DataFrame:
+    """The strongest merge decision that touches each record."""
+    p = table(spark, folder, "pair_decisions").filter(F.lower(F.trim("decision")) == "merge").filter("a <> b")
+    both = p.select(F.col("a").alias("id"), F.col("b").alias("other"), "method", "score").unionByName(p.select(F.col("b").alias("id"), F.col("a").alias("other"), "method", "score"))
+    ranked = both.withColumn("strength", match.strength("method", "score"))
+    return ranked.groupBy("id").agg(F.max("strength").alias("strength"), F.count_distinct("other").alias("others"))
+
+
+@query
+def review_between_companies(spark: SparkSession, folder: str) -> DataFrame:
+    p = table(spark, folder, "pair_decisions").filter(F.lower(F.trim("decision")) == "review").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    held = table(spark, folder, "company_records")
+    at = lambda n: held.select(F.col("raw_record_id").alias(n), F.col("company_id").alias(f"company_{n}"))
+    return p.join(at("a"), "a").join(at("b"), "b").filter("company_a <> company_b")
+
+
+# ---- joins, aggregates and windows --------------------------------------------------------------------------------------
+
+
+@query
+def delivery_counts(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "raw_records")
+    return upsert.delivery_changes(rows, ["source", "source_record_id"], "payload_hash", ["ingested_at", "id"]).groupBy("source", "change").agg(F.count("*").alias("records"))
+
+
+@query
+def latest_deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "raw_records")
+    return upsert.latest(rows, ["source", "source_record_id"], [F.col("ingested_at"), F.col("id")]).select("id", "source", "source_record_id", "payload_hash")
+
+
+@query
+def snapshot_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """What taking in the second half of the deliveries did to the table of the first half."""
+    rows = table(spark, folder, "raw_records").select("source", "source_record_id", "id", "ingested_at", "payload_hash")
+    cut = F.expr("timestamp '2025-08-01'")
+    last = lambda r: upsert.latest(r, ["source", "source_record_id"], [F.col("ingested_at"), F.col("id")])
+    merged = upsert.upsert(last(rows.filter(F.col("ingested_at") < cut)), last(rows.filter(F.col("ingested_at") >= cut)), ["source", "source_record_id"], "payload_hash")
+    return merged.groupBy("source", "change").agg(F.count("*").alias("records"), F.max("id").alias("last_id"))
+
+
+@query
+def company_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Companies with or without documents: how many, and the longest."""
+    c, d = table(spark, folder, "companies"), table(spark, folder, "documents")
+    per = d.filter("company_id is not null").groupBy("company_id").agg(F.count("*").alias("documents"), F.max("n_chars").alias("longest"))
+    return c.join(per, c.id == per.company_id, "left").select("id", F.coalesce("documents", F.lit(0)).alias("documents"), "longest")
+
+
+@query
+def company_sources(spark: SparkSession, folder: str) -> DataFrame:
+    held, raw = table(spark, folder, "company_records"), table(spark, folder, "raw_records")
+    per = held.join(raw, held.raw_record_id == raw.id).groupBy("company_id").agg(F.array_join(F.array_sort(F.collect_set("source")), "; ").alias("sources"))
+    return table(spark, folder, "companies").select(F.col("id").alias("company_id")).join(per, "company_id", "left")
+
+
+@query
+def company_uei(spark: SparkSession, folder: str) -> DataFrame:
+    held, raw = table(spark, folder, "company_records"), table(spark, folder, "raw_records")
+    uei = F.get_json_object("payload_json", "$.extra.uei")
+    return held.join(raw, held.raw_record_id == raw.id).filter(uei.isNotNull()).groupBy("company_id").agg(F.min_by(uei, "raw_record_id").alias("uei"))
+
+
+@query
+def unlabelled_companies(spark: SparkSession, folder: str) -> DataFrame:
+    """Companies whose domain and whose name with state no label has."""
+    c = table(spark, folder, "companies").select("id", web.own_domain(F.col("domain"), hosts(spark, folder)).alias("domain"), keys.name_key(F.col("canonical_name")).alias("key"), geo.state_code_or_text(F.col("state")).alias("state"))
+    rows = table(spark, folder, "label_rows")
+    sites = rows.select(web.own_domain(F.col("website"), hosts(spark, folder)).alias("domain")).filter("domain is not null").distinct()
+    names = rows.select(keys.name_key(F.col("company_name")).alias("key"), geo.state_code_or_text(F.col("state")).alias("state")).filter("key is not null and state is not null").distinct()
+    return c.join(sites, "domain", "left_anti").join(names, ["key", "state"], "left_anti").select("id")
+
+
+@query
+def labelled_in_states(spark: SparkSession, folder: str) -> DataFrame:
+    c = table(spark, folder, "companies").select("id", geo.state_code_or_text(F.col("state")).alias("state"))
+    states = spark.createDataFrame([(s,) for s in THESIS.states], "state string")
+    return c.join(F.broadcast(states), "state", "left_semi")
+
+
+@query
+def latest_run(spark: SparkSession, folder: str) -> DataFrame:
+    e = table(spark, folder, "events")
+    return e.groupBy("event_type").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"), F.max("ts").alias("ts"))
+
+
+@query
+def status_counts(spark: SparkSession, folder: str) -> DataFrame:
+    p = table(spark, folder, "pair_decisions")
+    said = F.lower(F.trim("decision"))
+    return p.groupBy("method").agg(F.count("*").alias("pairs"), F.sum((said == "merge").cast("bigint")).alias("merges"), F.sum((said == "review").cast("bigint")).alias("reviews"), F.count_distinct("a").alias("records"), F.sum(F.when(F.col("score") >= 93, 1).otherwise(0)).alias("similar"))
+
+
+@query
+def latency_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    e = table(spark, folder, "events")
+    return upsert.nearest_rank(e, ["event_type"], "value", {"p95": 0.95}, median="p50")
+
+
+@query
+def timing_summary(spark: SparkSession, folder: str) -> DataFrame:
+    e = table(spark, folder, "events")
+    return e.groupBy("event_type").agg(F.percentile("value", F.lit(0.5)).alias("median_value"), F.max("value").alias("max_value"), F.count("*").alias("events"))
+
+
+@query
+def daily_requests(spark: SparkSession, folder: str) -> DataFrame:
+    e = table(spark, folder, "events")
+    return e.groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count("*").alias("requests"))
+
+
+@query
+def json_values(spark: SparkSession, folder: str) -> DataFrame:
+    r = table(spark, folder, "raw_records")
+    batch = F.get_json_object("payload_json", "$.extra.batch")
+    return r.groupBy("source").agg(F.count(batch).alias("with_batch"), F.count_distinct(batch).alias("batches"), F.max(F.get_json_object("payload_json", "$.revenue_usd_m").try_cast("double")).alias("max_revenue"))
+
+
+@query
+def label_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels by key: how many, and whether they agree."""
+    from .sources.files import LABELS
+
+    said = F.lower(F.trim("decision"))
+    means = F.when(said.isin(*LABELS["pursue"]), "pursue").when(said.isin(*LABELS["pass"]), "pass")
+    rows = table(spark, folder, "label_rows").withColumn("d", means).filter("d is not null and key is not null")
+    return rows.groupBy("key").agg(F.count("*").alias("labels"), (F.count_distinct("d") == 1).alias("agree"), F.min("d").alias("first_decision"))
+
+
+@query
+def split_contingency(spark: SparkSession, folder: str) -> DataFrame:
+    split = sample.stratified_split(_labels(spark, folder), "key", ["decision"], 0.3, 7)
+    return split.rollup("split").agg(F.sum((F.col("decision") == "pursue").cast("bigint")).alias("pursue"), F.sum((F.col("decision") == "pass").cast("bigint")).alias("pass"), F.count("*").alias("labels"))
+
+
+# ---- evaluation ---------------------------------------------------------------------------------------------------------
+
+
+def _labels(spark: SparkSession, folder: str) -> DataFrame:
+    """(key, decision) of the keys whose labels agree."""
+    return label_groups(spark, folder).filter("agree").select("key", F.col("first_decision").alias("decision"))
+
+
+def items(spark: SparkSession, folder: str) -> DataFrame:
+    """Scored companies with a label by their domain: (id, score, positive, excluded)."""
+    scored = score.score(facts(spark, folder), THESIS)
+    rows = scored.groupBy("domain").agg(F.min_by(F.struct("company_id", "total", "excluded"), "company_id").alias("x")).filter("domain is not null")
+    labels = _labels(spark, folder).filter(F.col("key").startswith("d:")).select(F.expr("substring(key, 3)").alias("domain"), (F.col("decision") == "pursue").alias("positive"))
+    return rows.join(labels, "domain").select(F.col("x.company_id").alias("id"), F.col("x.total").alias("score"), "positive", F.col("x.excluded").alias("excluded"))
+
+
+@query
+def confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    return evaluate.confusion(items(spark, folder), 40.0)
+
+
+@query
+def precision_interval(spark: SparkSession, folder: str) -> DataFrame:
+    c = evaluate.confusion(items(spark, folder), 40.0)
+    w = evaluate.wilson(F.col("tp").cast("double"), (F.col("tp") + F.col("fp")).cast("double"))
+    return c.select("tp", "fp", w.alias("w")).select("tp", "fp", F.col("w.low").alias("low"), F.col("w.high").alias("high"))
+
+
+@query
+def average_precision(spark: SparkSession, folder: str) -> DataFrame:
+    return evaluate.average_precision(items(spark, folder))
+
+
+@query
+def roc_auc(spark: SparkSession, folder: str) -> DataFrame:
+    return evaluate.roc_auc(items(spark, folder))
+
+
+@query
+def precision_at_k(spark: SparkSession, folder: str) -> DataFrame:
+    return evaluate.precision_at(items(spark, folder))
+
+
+@query
+def bootstrap_interval(spark: SparkSession, folder: str) -> DataFrame:
+    """Percentile bounds of 2,000 stratified resamples (rows only: tested against a plain version)."""
+    return evaluate.bootstrap(settle(items(spark, folder)), 11)
+
+
+@query
+def label_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels matched to companies by domain, or by the one most similar name of their state (rows only)."""
+    at = hosts(spark, folder)
+    labels = table(spark, folder, "label_rows").select(F.col("row_number").alias("label"), web.own_domain(F.col("website"), at).alias("domain"), keys.name_key(F.col("company_name")).alias("key"), geo.state_code(F.col("state")).alias("state"))
+    companies = table(spark, folder, "companies").select(F.col("id").alias("company_id"), web.own_domain(F.col("domain"), at).alias("domain"), keys.name_key(F.col("canonical_name")).alias("key"), geo.state_code(F.col("state")).alias("state"))
+    return evaluate.match_labels(labels, companies, match.name_similarity)
+
+
+# ---- samples ------------------------------------------------------------------------------------------------------------
+
+
+@query
+def stratified_split(spark: SparkSession, folder: str) -> DataFrame:
+    return sample.stratified_split(_labels(spark, folder), "key", ["decision"], 0.3, 7)
+
+
+@query
+def hash_split(spark: SparkSession, folder: str) -> DataFrame:
+    return sample.hash_split(table(spark, folder, "customer").select("c_custkey"), "c_custkey", 0.3, 7)
+
+
+@query
+def spread_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """120 companies spread over the states: a sampling operator."""
+    c = table(spark, folder, "companies").select("id", geo.state_code_or_text(F.col("state")).alias("state")).filter("state is not null")
+    return sample.spread(c, "id", "state", 120, 3, most=5).select("id", "state", "turn")
+
+
+@query
+def sample_order(spark: SparkSession, folder: str) -> DataFrame:
+    c = table(spark, folder, "companies").select("id", geo.state_code_or_text(F.col("state")).alias("state")).filter("state is not null")
+    return sample.interleaved(c, "id", "state", 3)
+
+
+@query
+def hand_check_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """50 match records in the seeded order: a sampling operator."""
+    return sample.take(table(spark, folder, "match_records").select("id", "ref"), "id", 50, 5)
+
+
+# ---- market statistics --------------------------------------------------------------------------------------------------
+
+
+@query
+def size_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items by ship mode of quantity: totals and a map of classes, written as text."""
+    li = table(spark, folder, "lineitem")
+    code = F.when(F.col("l_quantity") < 10, "210").when(F.col("l_quantity") < 30, "220").otherwise("230")
+    each = li.groupBy("l_returnflag", "l_linestatus", code.alias("code")).agg(F.count("*").alias("n"))
+    total = li.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n")).withColumn("code", F.lit("001"))
+    rows = each.unionByName(total).withColumn("label", F.concat(F.lit("class "), "code"))
+    out = market.pivot_classes(rows, ["l_returnflag", "l_linestatus"], "code", "label", "n")
+    shown = F.array_join(F.transform(F.array_sort(F.map_entries("classes")), lambda e: F.concat(e["key"], F.lit("="), e["value"]["n"].cast("string"))), ",")
+    return out.select("l_returnflag", "l_linestatus", "total", shown.alias("classes"))
+
+
+@query
+def market_sectors(spark: SparkSession, folder: str) -> DataFrame:
+    c = table(spark, folder, "companies").select("id", F.explode("naics_codes").alias("code")).filter("code rlike '^[0-9]{2,6}$' and code not rlike '^0+$'")
+    return c.filter(market.concerns_sector(F.col("code"), ["332", "33320", "3110"])).groupBy("code").agg(F.count("*").alias("companies"))
+
+
+@query
+def market_areas(spark: SparkSession, folder: str) -> DataFrame:
+    d = table(spark, folder, "nation").join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = d.select("n_nationkey", F.when(F.col("n_nationkey") % 5 == 0, "us").otherwise("county").alias("level"), F.concat("n_name", F.lit(", "), "r_name").alias("name"))
+    return rows.filter(market.concerns_area(F.col("level"), F.col("name"), ["ASIA", "EUROPE"])).select("n_nationkey", "level", "name")
+
+
+@query
+def recipient_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    o = table(spark, folder, "orders").select("o_custkey", F.col("o_totalprice").alias("amount"), F.substring("o_orderpriority", 1, 1).alias("prefix"), "o_orderkey")
+    out = market.recipients(o.filter("o_custkey is not null"), "o_custkey", "amount", "prefix", "o_orderkey")
+    return out.select("o_custkey", F.round("total_amount", 2).alias("total_amount"), F.array_join("prefixes", ",").alias("prefixes"))
+
+
+@query
+def reject_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Why raw records would be left out, by the first rule they break."""
+    r = table(spark, folder, "raw_records")
+    get = lambda f: values.payload_field(F.col("payload_json"), f)
+    reason = (
+        F.when(values.real_text(get("name")).isNull(), "unnamed").when(geo.country_code(get("country")).isNotNull() & (geo.country_code(get("country")) != "US"), "abroad")
+        .when(~geo.state_code_or_text(get("state")).isin(*THESIS.states) | geo.state_code_or_text(get("state")).isNull(), "place").when(~F.coalesce(get("naics").rlike("^(332|333|3261)"), F.lit(False)), "sector").otherwise("kept")
+    )
+    return r.select(reason.alias("reject_reason")).groupBy("reject_reason").agg(F.count("*").alias("records"))
+
+
+# ---- texts --------------------------------------------------------------------------------------------------------------
+
+
+def _docs(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").filter("text is not null")
+
+
+@query
+def scrubbed_contacts(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without mail addresses and telephone numbers (rows only: RE2 has no lookbehind)."""
+    return _docs(spark, folder).select("doc_id", text.scrub_contacts(F.col("text")).alias("text"))
+
+
+@query
+def scrubbed_mail(spark: SparkSession, folder: str) -> DataFrame:
+    return _docs(spark, folder).select("doc_id", F.sha2(F.regexp_replace("text", text.MAIL, F.lit(text.REMOVED)), 256).alias("digest"))
+
+
+@query
+def phrase_hits(spark: SparkSession, folder: str) -> DataFrame:
+    low = F.lower("text")
+    return _docs(spark, folder).select("doc_id", *[text.phrase_in(p, low).alias(p.replace(" ", "_")) for p in ("medical device", "aerospace", "heat exchanger", "family")])
+
+
+@query
+def document_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    n = text.numbers_in(F.col("text"))
+    return _docs(spark, folder).select("doc_id", F.size(n).alias("numbers"), F.array_max(n).alias("largest"))
+
+
+@query
+def distinct_lines(spark: SparkSession, folder: str) -> DataFrame:
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda x: F.trim(F.regexp_replace(x, "[ \t\r]+", " "))), lambda x: F.length(x) >= 2)
+    return _docs(spark, folder).select("doc_id", F.size(lines).alias("lines"), F.size(F.array_distinct(lines)).alias("distinct_lines"))
+
+
+@query
+def first_sentence_lengths(spark: SparkSession, folder: str) -> DataFrame:
+    """The first two sentences of every document (rows only)."""
+    return _docs(spark, folder).select("doc_id", text.first_sentences(F.col("text")).alias("opening"))
+
+
+@query
+def clean_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """Sources, domains and languages by company as cleaned lists."""
+    d = table(spark, folder, "documents").filter("company_id is not null")
+    per = d.groupBy("company_id").agg(F.array_sort(F.collect_list(F.coalesce("lang", F.lit("n/a")))).alias("x"))
+    return per.select("company_id", F.array_join(text.clean_list(F.col("x")), "|").alias("langs"))
+
+
+@query
+def quote_snippets(spark: SparkSession, folder: str) -> DataFrame:
+    """What stands around the first mention of a workforce (rows only)."""
+    d = _docs(spark, folder).filter(F.col("text").contains("employees"))
+    return d.select("doc_id", text.snippet(text.scrub_contacts(F.col("text")), "employees").alias("snippet"))
+
+
+@query
+def company_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """One document a company out of its pages, within a budget of characters (rows only)."""
+    pages = _docs(spark, folder).filter("company_id is not null").groupBy("company_id").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("page_path", F.lit("/")).alias("path"), F.col("text").alias("body")))).alias("pages"))
+    return pages.select("company_id", text.build_document(F.col("pages"), 24_000, 8_000).alias("document"))
+
+
+@query
+def cache_keys(spark: SparkSession, folder: str) -> DataFrame:
+    d = table(spark, folder, "documents").filter("domain is not null")
+    url = F.concat(F.lit("https://"), F.lower("domain"), F.coalesce("page_path", F.lit("/")))
+    params = F.create_map(F.lit("page"), F.col("doc_id").cast("string"), F.lit("api_key"), F.lit("x"), F.lit("lang"), F.coalesce("lang", F.lit("-")))
+    return d.select("doc_id", F.sha2(text.cache_url(url, params), 256).alias("cache_key"))
+
+
+@query
+def header_parts(spark: SparkSession, folder: str) -> DataFrame:
+    e = table(spark, folder, "events")
+    kind = F.concat(F.lit("text/html; Charset=\"ISO-"), (F.col("event_id") % 9).cast("string"), F.lit("\""))
+    name = F.concat(F.lit("attachment; filename=\"extract "), F.col("event_id").cast("string"), F.lit(".zip\"; size=1"))
+    wait = F.when(F.col("event_id") % 3 == 0, "soon").otherwise((F.col("event_id") % 100).cast("string"))
+    return e.select("event_id", text.header_charset(kind).alias("charset"), text.header_filename(name).alias("filename"), text.header_retry_after(wait).alias("retry_after"))
+
+
+@query
+def masked_persons(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with names of persons masked (rows only)."""
+    d = _docs(spark, folder)
+    return d.select("doc_id", text.masked(F.col("text"), F.coalesce("domain", F.lit("")), F.lit("")).alias("text"))
+
+
+@query
+def page_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Visible text of documents read as pages (rows only)."""
+    page = F.concat(F.lit("<html><head><title>"), F.coalesce("domain", F.lit("")), F.lit(" | site</title></head><body>"), "text", F.lit("</body></html>"))
+    return _docs(spark, folder).select("doc_id", read_page(page).alias("p")).select("doc_id", "p.title", F.length("p.text").alias("chars"), F.array_join(site_names(F.col("p.title"), F.col("p.site_name")), "; ").alias("site_names"))
+
+
+@query
+def page_link_choice(spark: SparkSession, folder: str) -> DataFrame:
+    """Links worth reading of pages that link to every path of their domain (rows only)."""
+    d = table(spark, folder, "documents").filter("domain is not null and page_path is not null")
+    per = d.groupBy("domain").agg(F.array_join(F.transform(F.array_sort(F.collect_set("page_path")), lambda p: F.concat(F.lit('<a href="'), p, F.lit('">page</a>'))), " ").alias("page"))
+    links = page_links(F.col("page"), F.concat(F.lit("https://"), F.col("domain"), F.lit("/")))
+    return per.select("domain", F.array_join(best_links(links, 5), " ").alias("links"))
+
+
+@query
+def grounded_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    """Quotes that stand verbatim in their document, and founding years that it names."""
+    d = _docs(spark, folder).filter("length(trim(text)) > 60")
+    body = F.regexp_replace("text", "[ \t\r\n]+", " ")
+    quote = F.when(F.col("doc_id") % 2 == 0, F.upper(F.substring(body, 5, 40))).otherwise(F.concat(F.substring(body, 5, 20), F.lit(" zz")))
+    there = F.contains(F.lower(body), F.lower(quote))
+    year = (1900 + F.col("doc_id") % 120).cast("bigint")
+    return d.select("doc_id", there.alias("quoted"), F.array_contains(text.numbers_in(F.col("text")), year).alias("year_there"))
+
+
+@query
+def grounded_extractions(spark: SparkSession, folder: str) -> DataFrame:
+    """Extractions made of documents, cleaned, grounded and checked (rows only)."""
+    d = _docs(spark, folder)
+    raw = F.struct(
+        F.substring("text", 1, 200).alias("summary"), F.array(F.lit("castings "), F.lit("Castings"), F.lit("n/a")).alias("product_lines"), F.array(F.lit("aerospace")).alias("end_markets"), F.lit("maker").alias("business_model"),
+        F.struct((F.col("doc_id") % 300).alias("employee_count"), F.regexp_extract("text", "[^.]*employees[^.]*", 0).alias("employee_count_quote"), F.lit(2).cast("bigint").alias("facility_count"), F.lit(5).cast("bigint").alias("facility_sqft_total"), (1650 + F.col("doc_id") % 370).alias("founded_year")).alias("size_signals"),
+        F.struct(F.lit("yes").alias("founder_led"), F.lit("maybe").alias("family_owned"), (F.col("doc_id") % 12).alias("generation"), F.lit("no").alias("pe_or_strategic_backed"), F.lit("unknown").alias("publicly_traded")).alias("ownership"),
+        F.array(F.struct(F.lit("founded_year").alias("claim"), F.lit("/").alias("page"), F.substring("text", 1, 30).alias("quote")), F.struct(F.lit("x").alias("claim"), F.lit("/").alias("page"), F.lit("not there at all").alias("quote"))).alias("evidence"),
+    )
+    rows = settle(d.select("doc_id", "text", raw.alias("x"))).withColumn("x", normalised(F.col("x")))
+    out, dropped = grounded(F.col("x"), F.col("text"))
+    return rows.select("doc_id", F.size(out["evidence"]).alias("evidence"), out["size_signals"]["employee_count"].alias("employee_count"), F.array_join(dropped, ",").alias("dropped"), F.array_join(invalid(F.col("x")), ",").alias("invalid"))
+
+
+@query
+def fiscal_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Fiscal year (from 1 October) of each order, and the first Sunday of its month."""
+    o = table(spark, folder, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
+    return o.select("o_orderkey", (F.year("d") + (F.month("d") >= 10).cast("int")).alias("fiscal_year"), F.next_day(F.date_sub(F.trunc("d", "month"), 1), "Sun").alias("first_sunday"))
+
+
+@query
+def number_formats(spark: SparkSession, folder: str) -> DataFrame:
+    p = table(spark, folder, "part")
+    return p.select("p_partkey", F.format_number(F.col("p_partkey") * 1000, 0).alias("grouped"), text.general_number(F.col("p_size").cast("double")).alias("general"), text.ordinal(F.col("p_size")).alias("ordinal"))
