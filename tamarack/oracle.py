@@ -178,6 +178,12 @@ ORACLE: dict[str, str] = {
     "naics_in_thesis": f"SELECT id, {_IN_THESIS} AS in_thesis FROM companies",
     "block_pairs": _MATCH + " SELECT DISTINCT x.id AS a, y.id AS b FROM blocks x JOIN blocks y ON x.kind = y.kind AND x.block = y.block AND x.id < y.id",
     "block_sizes": _MATCH + " SELECT kind, block, count(*) AS records FROM blocks GROUP BY 1, 2",
+    "canonical_records": "WITH last AS (SELECT arg_max(id, (ingested_at, id)) AS id FROM raw_records GROUP BY source, source_record_id), x AS (SELECT r.* FROM raw_records r JOIN last USING (id)), " + with_domain("x", _NOW("website"), "id, source, payload_json")
+    + f", f AS (SELECT d.id, c.company_id, lower(trim(d.source, ' ')) AS source, {_REAL(_NOW('name'))} AS name, domain, {city(_NOW('city'))} AS city, {state(_NOW('state'))} AS state, {country(_NOW('country'))} AS country, {_NOW('naics')} AS naics, {head_count(_NOW('employees'))} AS emp, try_cast({_NOW('revenue_usd_m')} AS DOUBLE) AS rev FROM d JOIN company_records c ON c.raw_record_id = d.id), "
+    "g AS (SELECT f.*, (coalesce(p.priority, 1073741824), -(coalesce(name <> '', false)::INT + coalesce(domain <> '', false)::INT + coalesce(city <> '', false)::INT + coalesce(state <> '', false)::INT + coalesce(country <> '', false)::INT + coalesce(naics <> '', false)::INT + (emp IS NOT NULL)::INT + (rev IS NOT NULL)::INT), f.id) AS o FROM f LEFT JOIN source_priority p ON p.source = f.source) "
+    "SELECT company_id, (list(name ORDER BY o))[1] AS canonical_name, arg_min(domain, o) FILTER (domain <> '') AS domain, (list(city ORDER BY o) FILTER (state <> ''))[1] AS city, arg_min(state, o) FILTER (state <> '') AS state, arg_min(country, o) FILTER (country <> '') AS country, "
+    "coalesce(string_agg(DISTINCT naics, ',' ORDER BY naics) FILTER (naics <> ''), '') AS naics_codes, arg_min(emp, o) FILTER (emp IS NOT NULL) AS employee_count, arg_min(source, o) FILTER (emp IS NOT NULL) AS employee_count_source, arg_min(rev, o) FILTER (rev IS NOT NULL) AS revenue_usd_m FROM g GROUP BY 1",
+    "cache_keys": "SELECT doc_id, sha256('https://' || lower(domain) || coalesce(page_path, '/') || '?lang=' || replace(url_encode(coalesce(lang, '-')), '%20', '+') || '&page=' || doc_id) AS cache_key FROM documents WHERE domain IS NOT NULL",
     "best_evidence": "WITH p AS (SELECT a, b, method, score FROM pair_decisions WHERE lower(trim(decision, ' ')) = 'merge' AND a <> b), t AS (SELECT a AS id, b AS other, method, score FROM p UNION ALL SELECT b, a, method, score FROM p) "
     "SELECT id, max(coalesce(score, 0.0) + CASE method WHEN 'override' THEN 1000.0 WHEN 'uei' THEN 500.0 WHEN 'domain' THEN 200.0 ELSE 0.0 END) AS strength, count(DISTINCT other) AS others FROM t GROUP BY id",
     "review_between_companies": "SELECT p.a, p.b, x.company_id AS company_a, y.company_id AS company_b FROM (SELECT DISTINCT least(a, b) AS a, greatest(a, b) AS b FROM pair_decisions WHERE lower(trim(decision, ' ')) = 'review') p JOIN company_records x ON x.raw_record_id = p.a JOIN company_records y ON y.raw_record_id = p.b WHERE x.company_id <> y.company_id",
