@@ -188,6 +188,7 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_vocabulary_use(spark: SparkSession, folder: str) -> DataFrame:
-    """How often each token id occurs in the corpus, and in how many documents."""
-    ids = p7_ids(spark, folder)
-    return ids.select("doc_id", F.explode("ids").alias("token_id")).groupBy("token_id", "doc_id").count().groupBy("token_id").agg(F.sum("count").alias("occurrences"), F.count("*").alias("documents"))
+    """How often each token id occurs in the corpus, and in how many documents; counts are combined before the shuffle."""
+    ids = settle(p7_ids(spark, folder).select("ids"))
+    each = ids.select(F.explode("ids").alias("token_id"), F.lit(1).alias("o"), F.lit(0).alias("d")).unionByName(ids.select(F.explode(F.array_distinct("ids")).alias("token_id"), F.lit(0).alias("o"), F.lit(1).alias("d")))
+    return each.groupBy("token_id").agg(F.sum("o").alias("occurrences"), F.sum("d").alias("documents"))
