@@ -28,6 +28,7 @@ TRADES = (
     "laminates lighting machining metalworks millwork moldings motors optics packaging plastics pneumatics printing pumps "
     "sensors springs stampings textiles tooling trailers turbines valves welding wireforms"
 ).split()
+_WORDS = (*TRADES, *MODIFIERS)
 LEGAL = set("inc incorporated incorp llc lllp corp corporation co company coy comp ltd limited ltda lp llp plc pllc holdings holding group gmbh sa ag".split())
 STOP = set("the of and amp n et und y".split())
 FAMILY = ("sons", "daughters", "brothers")
@@ -127,8 +128,16 @@ def sound(text: str) -> str:
 
 
 @lru_cache(256)
-def _about(kind: str, length: int, most: int) -> tuple[str, ...]:
-    return tuple(w for w in (MODIFIERS if kind == "m" else TRADES) if abs(len(w) - length) <= most)
+def _about(kind: str, length: int, most: int) -> tuple[tuple[str, frozenset[str]], ...]:
+    """Words of about a length, with their letters."""
+    words = {"m": MODIFIERS, "t": TRADES, "g": list(NICKNAMES)}[kind]
+    return tuple((w, frozenset(w)) for w in words if abs(len(w) - length) <= most)
+
+
+def _near(token: str, words: tuple[tuple[str, frozenset[str]], ...], most: int) -> list[tuple[int, str]]:
+    """The words within so many edits of a token; most are ruled out by their letters alone."""
+    letters = frozenset(token)
+    return [(d, w) for w, own in words if len(letters - own) <= most and len(own - letters) <= most and (d := osa(token, w, most)) <= most]
 
 
 @lru_cache(1 << 16)
@@ -150,8 +159,9 @@ def _word(token: str, kind: str) -> tuple[str, int]:
     if len(plain) >= 5:
         most = 1 if len(plain) < 7 else 2
         others = {plain.replace("m", "rn"), plain.replace("rn", "m"), plain.replace("l", "i", 1), token.replace("1", "i").translate(_DIGITS)} - {plain}
-        near = [(d, w) for w in _about(kind, len(plain), most) if (d := osa(plain, w, most)) <= most]
-        near += [(d, w) for o in others for w in _about(kind, len(o), 1) if (d := osa(o, w, 1)) <= 1]
+        near = _near(plain, _about(kind, len(plain), most), most)
+        for o in others:
+            near += _near(o, _about(kind, len(o), 1), 1)
         if near:
             return min(near)[1], 1
     if token in SHORT:
@@ -166,7 +176,7 @@ def _word(token: str, kind: str) -> tuple[str, int]:
 @lru_cache(1 << 15)
 def _glued(token: str) -> tuple[str, ...]:
     """Parts of a token in which the space before or after a lexicon word was lost."""
-    if token in MODIFIERS or token in TRADES:
+    if token in _WORDS or not (token.endswith(_WORDS) or token.startswith(_WORDS)):
         return (token,)
     for words in (TRADES, MODIFIERS):
         for w in sorted(words, key=len, reverse=True):
@@ -182,9 +192,9 @@ def _given(token: str) -> tuple[str, ...]:
     if token in _GIVEN:
         return _GIVEN[token]
     if len(token) >= 5:
-        near = [w for w in NICKNAMES if osa(token, w, 1) <= 1]
+        near = _near(token, _about("g", len(token), 1), 1)
         if len(near) == 1:
-            return (near[0],)
+            return (near[0][1],)
     return ()
 
 
