@@ -175,8 +175,8 @@ def _take(it: Iterator[str], n: int) -> Iterator[str]:
         yield x
 
 
-def person_names(text: str, tokens: list[tuple[str, int, int]], know: Learned) -> list[tuple[int, int]]:
-    """Spans of persons' names, by what is known of given names and patterns."""
+def person_names(text: str, tokens: list[tuple[str, int, int]], know: Learned, taken: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """Spans of persons' names, by what is known of given names and patterns; a title inside a span that is taken (Foundry Dr.) is none."""
     spans: list[tuple[int, int]] = []
     families: set[str] = set()
     weak: list[tuple[int, int, str]] = []
@@ -185,7 +185,7 @@ def person_names(text: str, tokens: list[tuple[str, int, int]], know: Learned) -
         word = tokens[i][0]
         low = fold(word)
         style = _style(word)
-        if low in TITLES and not (word.isupper() and len(word) > 1) and (word != "m" and word != "M" or i + 1 < n and tokens[i + 1][0] == ".") and (word[0].isupper() or low.startswith("se")):
+        if low in TITLES and not (word.isupper() and len(word) > 1) and not any(a <= tokens[i][1] < b for a, b, _ in taken) and (word != "m" and word != "M" or i + 1 < n and tokens[i + 1][0] == ".") and (word[0].isupper() or low.startswith("se")):
             j = i + 1 + (i + 1 < n and tokens[i + 1][0] == ".")
             if j < n and not text[tokens[i][1] : tokens[j][1]].strip(" . \t") == word:
                 i += 1
@@ -278,7 +278,7 @@ def find_all(text: str, know: Learned) -> list[tuple[int, int, str]]:
     for m in ID_ANY.finditer(text):
         if known(m.start(), m.end(), "id_number"):
             add(m.start(), m.end(), "id_number")
-    for a, b in person_names(text, tokens, know):
+    for a, b in person_names(text, tokens, know, list(taken)):
         add(a, b, "name")
     return sorted(taken)
 
