@@ -213,3 +213,83 @@ def parse_area(text: str) -> dict[str, object]:
     if not m or (m[1] == "county") != bool(m[3]):
         raise SourceError("an area is us, state:<codes> or county:<codes>/state:<code>")
     return {"level": m[1], "codes": tuple(m[2].split(",")), "within": m[3]}
+
+
+@source("registry_archive")
+def read_registry_archive(spark: SparkSession, path: str, fields: Mapping[str, int] = REGISTRY_FIELDS, least: int = 119) -> DataFrame:
+    """As read_registry, of ZIP archives: the first .dat member of each is read as a stream, one archive a task, since ZIP can't be split."""
+    import io
+    import zipfile
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    names, places = list(fields), list(fields.values())
+
+    def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for content in part["content"]:
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    member = next((n for n in z.namelist() if n.lower().endswith(".dat")), None)
+                    if member is None:
+                        continue
+                    out, held = [], ""
+                    for line in io.TextIOWrapper(z.open(member), encoding="utf-8", errors="replace"):
+                        line = line.rstrip("\r\n")
+                        if line.startswith(("BOF", "EOF")):
+                            continue
+                        held = f"{held} {line}" if held else line
+                        if not held.endswith("!end"):
+                            continue
+                        cells = held[:-4].split("|")
+                        held = ""
+                        if len(cells) >= least:
+                            out.append([cells[i].strip() or None for i in places])
+                        if len(out) >= 10_000:
+                            yield pd.DataFrame(out, columns=names)
+                            out = []
+                    yield pd.DataFrame(out, columns=names)
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(rows, ", ".join(f"{n} string" for n in names))
+
+
+def expand_prefixes(spark: SparkSession, prefixes: Sequence[str], reference: DataFrame) -> DataFrame:
+    """(prefix, code): prefixes of three or five digits with the codes one digit longer that the reference (code) has; others as they are."""
+    asked = spark.createDataFrame([(p,) for p in dict.fromkeys(prefixes)], "prefix string")
+    longer = F.length("prefix").isin(3, 5)
+    child = asked.filter(longer).join(reference.select("code").distinct(), F.col("code").startswith(F.col("prefix")) & (F.length("code") == F.length("prefix") + 1))
+    return asked.filter(~longer).select("prefix", F.col("prefix").alias("code")).unionByName(child.select("prefix", "code"))
+
+
+def area_params(area: Mapping[str, object]) -> dict[str, str]:
+    """Request parameters for an area of ``parse_area``."""
+    if area["level"] == "us":
+        return {"for": "us:*"}
+    out = {"for": f"{area['level']}:{','.join(area['codes'])}"}
+    return out | ({"in": f"state:{area['within']}"} if area["within"] else {})
+
+
+def request_grid(spark: SparkSession, codes: Sequence[str], areas: Sequence[str], year: int) -> DataFrame:
+    """Every request for codes and areas, one row each; years from 2017 to 2023."""
+    if not 2017 <= year <= 2023:
+        raise SourceError("years from 2017 to 2023")
+    places = [(a, json_params(area_params(parse_area(a)))) for a in areas]
+    return spark.createDataFrame([(c,) for c in codes], "code string").crossJoin(spark.createDataFrame(places, "area string, params string")).withColumn("year", F.lit(year))
+
+
+def json_params(params: Mapping[str, str]) -> str:
+    import json
+
+    return json.dumps(dict(params), sort_keys=True)
+
+
+def load_overrides(spark: SparkSession, path: str, refs: DataFrame) -> tuple[DataFrame, int]:
+    """(pairs (a, b, kind) of ids, number of unknown references) out of a YAML file with lists merge and split of pairs of references (``refs``: ref, id)."""
+    import yaml
+
+    tree = yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {}
+    rows = [(str(p[0]), str(p[1]), kind) for kind in ("merge", "split") for p in tree.get(kind) or ()]
+    asked = spark.createDataFrame(rows, "ra string, rb string, kind string")
+    known = asked.join(refs.select(F.col("ref").alias("ra"), F.col("id").alias("a")), "ra", "left").join(refs.select(F.col("ref").alias("rb"), F.col("id").alias("b")), "rb", "left")
+    unknown = known.agg(F.coalesce(F.sum(F.col("a").isNull().cast("int") + F.col("b").isNull().cast("int")), F.lit(0)).alias("n")).first().n
+    return known.filter("a is not null and b is not null").select("a", "b", "kind"), unknown
