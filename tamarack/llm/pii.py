@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +32,7 @@ _SEP = r"[-. \u00a0\u2009\u202f/‐‑–]"
 _EXT = r"(?:,?\s?(?:x|ext\.?|extension|Durchwahl|poste)\s?\d{1,5})?"
 _WORD_DIGIT = r"(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)"
 PHONE = re.compile(
-    rf"""(?<![\w+#/.-])(?:
+    rf"""(?=[\d+(zofstein])(?<![\w+#/.-])(?:
       (?:\+?1[-. ]?)?(?:\(\d{{3}}\)\s?|\d{{3}}{_SEP}\s?)\d{{3}}{_SEP}\n?(?:\d{{4}}|[A-Z]{{4}}){_EXT}       # North America
     | \+?1[-.]\d{{3}}[-.]\d{{3}}[-.]\n?(?:\d{{4}}|[A-Z]{{4}}){_EXT}
     | (?:\+|00)(?:49|43|41)[ ]?(?:\(0\)[ ]?)?\d{{2,5}}[ /-]?\d{{3,4}}[ -]?\d{{2,5}}(?:-\d{{1,4}})?{_EXT}    # German
@@ -54,8 +56,10 @@ ID_LABEL = (
     r"(?:ssn|soc(?:ial)?\.? ?sec(?:urity)?\.?(?: (?:no\.?|number|num))?|social(?: is)?|itin|tin|tax(?:payer)? (?:no\.?|id|number)|passport(?: no\.?| number)?|reisepass(?:nr\.?)?|passeport(?: n°)?|pasaporte"
     r"|(?:driver['’]?s )?licen[cs]e(?: no\.?| number)?|dl|dni|nie|nif|nir|n° de sécurité sociale|numéro de sécurité sociale|steuer-?id(?:nr\.?)?|idnr\.?|(?:personal)?ausweis(?:nr\.?|nummer)?|(?:id|identity) card(?: no\.?)?)"
 )
-ID_NUMBER = re.compile(rf"(?<![\w/]){ID_LABEL}\s*[#:]?\s*({ID_VALUE})", re.I)
-ID_ANY = re.compile(rf"(?<![\w-])({ID_VALUE})")
+ID_NUMBER = re.compile(rf"(?=[a-z])(?<![\w/]){ID_LABEL}\s*[#:]?\s*({ID_VALUE})", re.I)
+ID_ANY = re.compile(rf"(?=[\dA-Z])(?<![\w-])({ID_VALUE})")
+_SOME_AT = re.compile(r"[@＠]|&#64;|%40|[\[({]\s?(?:at|AT|arroba)\s?[\])}]|\sAT\s")
+_SOME_ID = re.compile(rf"(?=[\dA-Z]){ID_VALUE}")
 
 _CAP = r"(?:[A-ZÀ-Þ][\w'’À-ÿ-]*|\d{1,3}(?:st|nd|rd|th|ST|ND|RD|TH))"
 _STREET_DOT = r"(?:St|Dr|Blvd|ST|DR|BLVD)\.?"
@@ -65,7 +69,7 @@ _DIR = r"(?:[NSEW]\.?(?:\s?[EW]\.?)?|North|South|East|West)"
 _UNIT = r"(?:,?\s?\n?\s?(?:(?:Suite|Ste\.?|STE\.?|SUITE|Unit|UNIT|Bldg\.?|BLDG\.?|Building|Apt\.?|Room|Rm\.?)\s?[#]?[A-Z0-9-]{1,5}\b|[#]\s?\d+[A-Z]?\b|\d{1,2}(?:st|nd|rd|th|ST|ND|RD|TH)\s(?:Floor|FLOOR|Fl\.?)))?"
 _NUMBER = r"(?:\d{1,5}(?:-[A-Z])?|One|Two|Three|Four|Five|Six|Seven|Eight|Nine|Ten|ONE|TWO|THREE|FOUR|FIVE|SIX|SEVEN|EIGHT|NINE|TEN)"
 ADDRESS = re.compile(
-    rf"""(?<![\w#/.-])(?:
+    rf"""(?=[\dA-ZÄÖÜ])(?<![\w#/.-])(?:
       {_NUMBER}[ ](?:{_DIR}[ ])?(?:(?:County|COUNTY|State|STATE)[ ](?:Road|ROAD|Route|ROUTE|Highway|HIGHWAY)[ ]\d+|{_CAP}(?:[ ]{_CAP}){{0,3}}?[ ]{_STREETS}(?!\w))(?:[ ](?:[NSEW]\.?[EW]\.?|North|South|East|West|[NSEW]\.?)(?![\w]))?{_UNIT}
     | (?:P\.?\s?O\.?\s?Box|PO\sBOX|P\.O\.\sBOX|Post\sOffice\sBox|Postfach|Apartado)\s\d+
     | (?:Rural\sRoute|RURAL\sROUTE|RR|R\.R\.)\s\d+,\s(?:Box|BOX)\s\d+
@@ -99,6 +103,7 @@ _TOKEN = re.compile(rf"{_PART}(?:-{_PART})*|\d+|[^\w\s]")
 _GAP = re.compile(r"^[ \t   ]+$")
 
 
+@lru_cache(1 << 16)
 def fold(text: str) -> str:
     return unicodedata.normalize("NFKD", text.replace("ø", "o").replace("Ø", "O").replace("’", "'").replace("ł", "l")).encode("ascii", "ignore").decode().lower()
 
@@ -107,6 +112,7 @@ def tokens_of(text: str) -> list[tuple[str, int, int]]:
     return [(m[0], m.start(), m.end()) for m in _TOKEN.finditer(text)]
 
 
+@lru_cache(1 << 16)
 def _style(word: str) -> str:
     """How a word is written: T for a capital first, U for all capitals, l for small letters."""
     if word.isupper() and len(word) > 1:
@@ -181,8 +187,12 @@ def person_names(text: str, tokens: list[tuple[str, int, int]], know: Learned, t
     families: set[str] = set()
     weak: list[tuple[int, int, str]] = []
     i, n = 0, len(tokens)
+    words = [t[0] for t in tokens]
     while i < n:
-        word = tokens[i][0]
+        word = words[i]
+        if not word[0].isalpha():
+            i += 1
+            continue
         low = fold(word)
         style = _style(word)
         if low in TITLES and not (word.isupper() and len(word) > 1) and not any(a <= tokens[i][1] < b for a, b, _ in taken) and (word != "m" and word != "M" or i + 1 < n and tokens[i + 1][0] == ".") and (word[0].isupper() or low.startswith("se")):
@@ -208,7 +218,7 @@ def person_names(text: str, tokens: list[tuple[str, int, int]], know: Learned, t
                         families.add(fold(tokens[k - 1][0]))
                         i = k
                         continue
-        if style != "l" or low in PARTICLES or len(word) > 3:
+        if (style != "l" or low in PARTICLES or len(word) > 3) and "," in (words[i + 1 : i + 4]):
             # family name, given name
             j = _family(text, tokens, i, "l" if style == "l" and low not in PARTICLES else "T")
             if j > i and j + 1 < n and tokens[j][0] == "," and tokens[j][1] == tokens[j - 1][2] and text[tokens[j][2] : tokens[j + 1][1]] == " ":
@@ -247,6 +257,13 @@ def person_names(text: str, tokens: list[tuple[str, int, int]], know: Learned, t
     return spans
 
 
+def _at(tokens: list[tuple[str, int, int]], a: int, b: int) -> tuple[int | None, int | None]:
+    """Numbers of the tokens that begin at a and end at b."""
+    i = bisect_left(tokens, a, key=lambda t: t[1])
+    j = bisect_left(tokens, b, key=lambda t: t[2])
+    return (i if i < len(tokens) and tokens[i][1] == a else None), (j if j < len(tokens) and tokens[j][2] == b else None)
+
+
 def find_all(text: str, know: Learned) -> list[tuple[int, int, str]]:
     """Spans (begin, end, kind) of personal information in a text, in order and without overlap."""
     taken: list[tuple[int, int, str]] = []
@@ -256,16 +273,14 @@ def find_all(text: str, know: Learned) -> list[tuple[int, int, str]]:
             taken.append((a, b, kind))
 
     tokens = tokens_of(text)
-    starts = {t[1]: i for i, t in enumerate(tokens)}
-    ends = {t[2]: i for i, t in enumerate(tokens)}
 
     def known(a: int, b: int, kind: str) -> bool:
-        i, j = starts.get(a), ends.get(b)
+        i, j = _at(tokens, a, b)
         return i is not None and j is not None and any(f"{kind} {p}" in know.patterns for p in contexts(tokens, i, j))
 
-    for m in EMAIL.finditer(text):
+    for m in EMAIL.finditer(text) if _SOME_AT.search(text) else ():
         add(m.start(), m.end(), "email")
-    for m in ID_NUMBER.finditer(text):
+    for m in ID_NUMBER.finditer(text) if _SOME_ID.search(text) else ():
         add(m.start(1), m.end(1), "id_number")
     for m in ADDRESS.finditer(text):
         add(m.start(), m.end(), "address")
@@ -276,7 +291,7 @@ def find_all(text: str, know: Learned) -> list[tuple[int, int, str]]:
         if known(m.start(), m.end(), "phone"):
             add(m.start(), m.end(), "phone")
     for m in ID_ANY.finditer(text):
-        if known(m.start(), m.end(), "id_number"):
+        if all(m.end() <= x or m.start() >= y for x, y, _ in taken) and known(m.start(), m.end(), "id_number"):
             add(m.start(), m.end(), "id_number")
     for a, b in person_names(text, tokens, know, list(taken)):
         add(a, b, "name")
@@ -293,23 +308,21 @@ def evidence(text: str) -> Iterator[tuple[str, str, str, int]]:
     the number's shape with its digits, known if a label or a separator pattern tells what it is.
     """
     tokens = tokens_of(text)
-    starts = {t[1]: i for i, t in enumerate(tokens)}
-    ends = {t[2]: i for i, t in enumerate(tokens)}
     for i in range(len(tokens) - 1):
         a, b = tokens[i], tokens[i + 1]
-        if _style(a[0]) == "T" and len(a[0]) > 2 and _style(b[0]) == "T" and len(b[0]) > 3 and _gap(text, a, b):
+        if a[0][0].isupper() and b[0][0].isupper() and _style(a[0]) == "T" and len(a[0]) > 2 and _style(b[0]) == "T" and len(b[0]) > 3 and _gap(text, a, b):
             low = fold(a[0])
             if low in NO_NAME or low in COMPANY or low in TITLES or fold(b[0]) in NO_NAME or fold(b[0]) in COMPANY or _company(text, tokens, i, i + 2):
                 continue
             for p in contexts(tokens, i, i + 1):
                 yield "name", low, p, int(low in _SEEDS)
-    spans = [(m.start(1), m.end(1), "id_number", 1) for m in ID_NUMBER.finditer(text)]
+    spans = [(m.start(1), m.end(1), "id_number", 1) for m in ID_NUMBER.finditer(text)] if _SOME_ID.search(text) else []
     spans += [(m.start(), m.end(), "phone", 1) for m in PHONE.finditer(text) if not NOT_PHONE.search(text[max(0, m.start() - 25) : m.start()])]
     covered = {(a, b) for a, b, _, _ in spans}
     spans += [(m.start(), m.end(), "phone", 0) for m in BARE_PHONE.finditer(text) if (m.start(), m.end()) not in covered]
     spans += [(m.start(1), m.end(1), "id_number", 0) for m in ID_ANY.finditer(text) if (m.start(1), m.end(1)) not in covered]
     for a, b, kind, seed in spans:
-        i, j = starts.get(a), ends.get(b)
+        i, j = _at(tokens, a, b)
         if i is not None and j is not None:
             for p in contexts(tokens, i, j):
                 yield kind, f"{kind}:{seed}", f"{kind} {p}", seed
