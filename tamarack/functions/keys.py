@@ -129,11 +129,11 @@ def row_hash(columns: Mapping[str, Column]) -> Column:
 
 
 def typed_int(text: Column) -> Column:
-    """A typed whole number: of a range the middle, rounded half to even, else the first number; thousands' commas are ignored."""
+    """A typed whole number: of a range the middle, rounded half to even, else the first number rounded so; thousands' commas are ignored."""
     plain = F.regexp_replace(text, ",", "")
     span = "(\\d+(?:\\.\\d+)?)\\s*(?:-|–|to)\\s*(\\d+(?:\\.\\d+)?)"
     a, b = F.regexp_extract(plain, span, 1).try_cast("double"), F.regexp_extract(plain, span, 2).try_cast("double")
-    return F.coalesce(F.bround((a + b) / 2), F.floor(F.regexp_extract(plain, "\\d+(?:\\.\\d+)?", 0).try_cast("double"))).cast("bigint")
+    return F.coalesce(F.bround((a + b) / 2), F.bround(F.regexp_extract(plain, "\\d+(?:\\.\\d+)?", 0).try_cast("double"))).cast("bigint")
 
 
 def typed_revenue(text: Column, unit: str = "usd_m") -> Column:

@@ -34,9 +34,9 @@ def first_sunday(day: Column) -> Column:
 
 
 def latest_month(day: Column) -> Column:
-    """The first Sunday, of this month or the one before, that isn't after the day: when the latest monthly extract came out."""
+    """The first Sunday, of this month or the one before, that is before the day: when the latest monthly extract came out."""
     here = first_sunday(day)
-    return F.when(here <= day, here).otherwise(first_sunday(F.add_months(day, -1)))
+    return F.when(here < day, here).otherwise(first_sunday(F.add_months(day, -1)))
 
 
 def fresh(fetched: Column, now: Column, most: timedelta | None) -> Column:

@@ -100,7 +100,7 @@ def typed_int(x: str) -> str:
     t = f"replace({x}, ',', '')"
     span = "(\\d+(?:\\.\\d+)?)\\s*(?:-|–|to)\\s*(\\d+(?:\\.\\d+)?)"
     a, b = f"try_cast(nullif(regexp_extract({t}, '{span}', 1), '') AS DOUBLE)", f"try_cast(nullif(regexp_extract({t}, '{span}', 2), '') AS DOUBLE)"
-    return f"CAST(coalesce(round_even(({a} + {b}) / 2, 0), floor(try_cast(nullif(regexp_extract({t}, '\\d+(?:\\.\\d+)?'), '') AS DOUBLE))) AS BIGINT)"
+    return f"CAST(coalesce(round_even(({a} + {b}) / 2, 0), round_even(try_cast(nullif(regexp_extract({t}, '\\d+(?:\\.\\d+)?'), '') AS DOUBLE), 0)) AS BIGINT)"
 
 
 def phrase(p: str, x: str) -> str:

@@ -36,12 +36,19 @@ def source(name: str) -> Callable:
 
 # Headers by field, squashed to letters, and words of headers that hold contact details.
 HEADERS = {
-    "name": ["companyname", "company", "name", "accountname", "organization", "businessname", "legalname"], "website": ["website", "url", "domain", "web", "homepage", "companywebsite"],
-    "city": ["city", "town", "hqcity"], "state": ["state", "st", "province", "hqstate", "region"], "country": ["country", "hqcountry"], "naics": ["naics", "naicscode", "naicscodes", "industrycode"],
-    "employees": ["employees", "employeecount", "headcount", "numberofemployees", "staff"], "revenue": ["revenue", "revenuem", "annualrevenue", "revenueusdm", "sales"],
-    "description": ["description", "notes", "about", "summary", "comments"], "source_record_id": ["id", "recordid", "sourceid"],
-}
-CONTACT_WORDS = set("contact email mail phone mobile fax telephone linkedin ceo owner president executive person".split())
+    "name": "name company companyname businessname legalname accountname organization organisation".split(),
+    "website": "website url domain web homepage site websiteurl companywebsite".split(),
+    "city": "city town hqcity".split(),
+    "state": "state st province stateprovince hqstate".split(),
+    "country": "country hqcountry".split(),
+    "naics": "naics naicscode primarynaics".split(),
+    "employees": "employees employeecount headcount numemployees fte staffcount".split(),
+    "revenue": "revenue annualrevenue sales revenueusd revenuem revenueusdm revenuemm".split(),
+    "description": "description desc about businessdescription".split(),
+    "source_record_id": "id recordid companyid sourceid".split(),
+}
+CONTACT_WORDS = set("email emails phone phones telephone tel mobile cell fax contact contacts linkedin person ceo president street address zip zipcode postal".split())
+CONTACT_PAIRS = {("e", "mail"), ("first", "name"), ("last", "name"), ("full", "name"), ("owner", "name"), ("linked", "in")}
 PERSON_URL = "(?i)linkedin\\.com/in/"
 
 
@@ -54,7 +61,8 @@ def header_words(header: str) -> list[str]:
 
 
 def is_contact_header(header: str) -> bool:
-    return bool(CONTACT_WORDS & set(header_words(header)))
+    words = header_words(header)
+    return bool(CONTACT_WORDS & set(words) or CONTACT_PAIRS & set(zip(words, words[1:])))
 
 
 def sniff(path: str | Path, size: int = 8192) -> str:
@@ -133,9 +141,10 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
     return rows
 
 
-# Positions of the registry extract's columns that are read.
-REGISTRY_FIELDS = {"uei": 0, "extract_code": 5, "updated": 8, "name": 11, "city": 17, "state": 18, "country": 21, "exclusion": 113, "naics": 34, "website": 26, "no_public_display": 118}
-REJECTS = ["inactive", "no_public_display", "excluded", "place", "naics", "restricted"]
+# Places (from 0) of the registry extract's columns that are read, and the day from which restricted data are free.
+REGISTRY_FIELDS = {"uei": 0, "extract_code": 5, "updated": 9, "name": 11, "city": 17, "state": 18, "country": 21, "restricted": 23, "website": 26, "primary_naics": 32, "naics": 34, "exclusion": 115, "no_public_display": 118}
+REJECTS = ["inactive", "not_public", "excluded", "place", "naics", "restricted"]
+FREE_FROM = "20220404"
 
 
 @source("registry_extract")
@@ -151,18 +160,30 @@ def registry_reject(states: Sequence[str], prefixes: Sequence[str]) -> Column:
     """Why a registry record is left out, by the first rule it breaks in their order; null for those that stay."""
     from ..functions.keys import naics_codes_of, naics_matches
 
-    codes = F.transform(naics_codes_of(F.col("naics")), lambda x: x["code"])
+    codes = F.array_distinct(F.concat(F.array_compact(F.array("primary_naics")), F.transform(F.coalesce(naics_codes_of(F.col("naics")), F.array().cast("array<struct<code:string,flag:string>>")), lambda x: x["code"])))
     no = lambda c: ~F.coalesce(c, F.lit(False))
-    return (
-        F.when(no(F.col("extract_code") == "A"), REJECTS[0]).when(F.coalesce(F.col("no_public_display") == "NPDY", F.lit(False)), REJECTS[1]).when(F.coalesce(F.col("exclusion") == "D", F.lit(False)), REJECTS[2])
-        .when(no((F.col("country") == "USA") & F.col("state").isin(*states)), REJECTS[3]).when(~naics_matches(codes, prefixes), REJECTS[4])
-    )
+    tests = [
+        no(F.col("extract_code") == "A"), F.upper("no_public_display").startswith("NPDY"), F.col("exclusion") == "D", no((F.col("country") == "USA") & F.col("state").isin(*states)),
+        ~naics_matches(codes, prefixes), (F.col("restricted") == "Y") & (F.coalesce("updated", F.lit("")) < FREE_FROM),
+    ]
+    return F.coalesce(*[F.when(t, why) for t, why in zip(tests, REJECTS)])
 
 
 # What map tags say of makers.
-CRAFT = {"metal_construction": "332", "sawmill": "321", "brewery": "312", "pottery": "327", "printer": "323", "electronics": "334", "joiner": "321", "bakery": "311"}
-INDUSTRIAL = {"factory": None, "works": None, "metal": "332", "machine_shop": "3327", "food": "311", "chemical": "325", "plastics": "326", "brewery": "312", "sawmill": "321", "textile": "313"}
-PRODUCT = {"steel": "331", "metal": "332", "machinery": "333", "furniture": "337", "plastic": "326", "paper": "322", "cement": "327", "beer": "312", "food": "311"}
+CRAFT = {
+    "brewery": "312120", "winery": "312130", "distillery": "312140", "cider": "312130", "metal_construction": "332312", "welder": "332312", "blacksmith": "332111", "window_construction": "332321",
+    "cabinet_maker": "337110", "joiner": "321911", "furniture": "337122", "upholsterer": "337121", "sawmill": "321113", "boatbuilder": "336612", "confectionery": "311340", "bakery": "311812",
+    "signmaker": "339950", "printer": "323111", "electronics": "334", "toolmaker": "333514", "agricultural_engines": "333111", "steel": "3311",
+}
+INDUSTRIAL = {
+    "brewery": "312120", "distillery": "312140", "winery": "312130", "bakery": "311812", "food_industry": "311", "food": "311", "machine_shop": "332710", "metal_processing": "332", "metal_working": "332",
+    "metal": "332", "steel": "3311", "furniture": "337", "plastic": "3261", "plastics": "3261", "chemical": "325", "paper": "322", "sawmill": "321113", "concrete_plant": "327320", "printing": "323111",
+    "textile": "313", "aerospace": "336413", "electronics": "334", "automotive": "3363", "factory": None, "manufacturing": None, "yes": None,
+}
+PRODUCT = {
+    "beer": "312120", "wine": "312130", "spirits": "312140", "bread": "311812", "furniture": "337", "concrete": "327320", "steel": "3311", "plastic": "3261", "paper": "322", "chemicals": "325", "food": "311",
+    "machinery": "333",
+}
 
 
 def tag(name: str) -> Column:
@@ -192,9 +213,12 @@ def read_statistics(spark: SparkSession, path: str) -> DataFrame:
     whole = spark.read.option("wholetext", True).text(str(path)).select(F.from_json("value", "array<array<string>>").alias("a"))
     rows = whole.select(F.get("a", 0).alias("h"), F.explode(F.slice("a", 2, 1 << 30)).alias("r"))
     at = lambda n: F.get("r", (F.array_position("h", n) - 1).cast("int"))
-    area = F.coalesce(*[F.when(F.array_contains("h", g), F.concat(F.lit(f"{g}:"), at(g))) for g in ("county", "state", "us")])
-    flat = rows.select(F.coalesce(at("NAICS2017"), F.lit("")).alias("naics"), area.alias("area"), at("NAME").alias("area_name"), at("EMPSZES").alias("code"), at("EMPSZES_LABEL").alias("label"), at("ESTAB").try_cast("bigint").alias("n"), at("EMP").try_cast("bigint").alias("employees"))
-    totals = flat.filter("code = '001'").groupBy("naics", "area").agg(F.max("area_name").alias("area_name"), F.max("employees").alias("employees"))
+    area = F.coalesce(*[F.when(F.array_contains("h", g), F.concat(F.lit(f"{g}:"), F.coalesce(at("state"), F.lit("")) if g == "county" else F.lit(""), at(g))) for g in ("county", "state", "us")])
+    flat = rows.filter(F.coalesce(at("LFO"), F.lit("001")) == "001").select(
+        F.coalesce(at("NAICS2017"), F.lit("")).alias("naics"), area.alias("area"), at("NAME").alias("area_name"), F.coalesce(at("EMPSZES"), F.lit("001")).alias("code"), at("EMPSZES_LABEL").alias("label"),
+        at("ESTAB").try_cast("bigint").alias("n"), at("EMP").try_cast("bigint").alias("employees"), at("EMP_N").alias("noise_flag"), at("PAYANN").try_cast("bigint").alias("payroll_usd_k"),
+    )
+    totals = flat.filter("code = '001'").groupBy("naics", "area").agg(*[F.max(c).alias(c) for c in ("area_name", "employees", "noise_flag", "payroll_usd_k")])
     return pivot_classes(flat, ["naics", "area"], "code", "label", "n").join(totals, ["naics", "area"], "left")
 
 
@@ -264,7 +288,7 @@ def expand_prefixes(spark: SparkSession, prefixes: Sequence[str], reference: Dat
 def area_params(area: Mapping[str, object]) -> dict[str, str]:
     """Request parameters for an area of ``parse_area``."""
     if area["level"] == "us":
-        return {"for": "us:*"}
+        return {"for": "us:1"}
     out = {"for": f"{area['level']}:{','.join(area['codes'])}"}
     return out | ({"in": f"state:{area['within']}"} if area["within"] else {})
 

@@ -19,7 +19,8 @@ def write(path, text):
 def test_csv(spark, tmp_path):
     path = write(tmp_path / "c.csv", "﻿Company Name;Website;ST;Employees;Revenue ($M);Contact Email;Misc;Notes\nNorth Pumps;north.test;GA;40-60;1,200.5;a@b.cd;x@y.zz;call 478-555-1234\n;;;;;;;\nOak Mill;;;12;;;q@r.st;\n")
     got = files.read_csv(spark, path).orderBy("name").collect()
-    assert [(r.name, r.website, r.state, r.employees, r.revenue_usd_m, r.description) for r in got] == [("North Pumps", "north.test", "GA", 50, 1200.5, "call [removed]"), ("Oak Mill", None, None, 12, None, None)]
+    assert [(r.name, r.website, r.state, r.employees, r.revenue_usd_m, r.description) for r in got] == [("North Pumps", "north.test", "GA", 50, 1200.5, None), ("Oak Mill", None, None, 12, None, None)]
+    assert got[0].extra == {"Notes": "call [removed]"}
     assert all("Misc" not in r.extra and "Contact Email" not in r.extra for r in got)
     with pytest.raises(files.SourceError):
         files.read_csv(spark, path, {"name": "No Such"})
@@ -45,16 +46,16 @@ def test_registry(spark, tmp_path):
             cells[files.REGISTRY_FIELDS[name]] = value
         return "|".join(cells) + "!end\n"
 
-    text = "BOF PUBLIC\n" + row() + row(uei="U2", extract_code="E") + row(uei="U3", state="TX") + row(uei="U4", naics="111111Y").replace("Acme", "Ac\nme") + row(uei="U5", exclusion="D") + row(uei="U6", no_public_display="NPDY") + "short|row!end\n" + "EOF 7\n"
+    text = "BOF PUBLIC\n" + row() + row(uei="U2", extract_code="E") + row(uei="U3", state="TX") + row(uei="U4", naics="111111Y").replace("Acme", "Ac\nme") + row(uei="U5", exclusion="D") + row(uei="U6", no_public_display="NPDY") + row(uei="U7", restricted="Y", updated="20210101") + row(uei="U8", naics="", primary_naics="332100") + "short|row!end\n" + "EOF 7\n"
     got = {r.uei: (r.name, r.why) for r in files.read_registry(spark, write(tmp_path / "x.dat", text)).withColumn("why", files.registry_reject(["GA"], ["332"])).collect()}
-    assert got == {"U1": ("Acme", None), "U2": ("Acme", "inactive"), "U3": ("Acme", "place"), "U4": ("Ac me", "naics"), "U5": ("Acme", "excluded"), "U6": ("Acme", "no_public_display")}
+    assert got == {"U1": ("Acme", None), "U2": ("Acme", "inactive"), "U3": ("Acme", "place"), "U4": ("Ac me", "naics"), "U5": ("Acme", "excluded"), "U6": ("Acme", "not_public"), "U7": ("Acme", "restricted"), "U8": ("Acme", None)}
 
 
 def test_map(spark, tmp_path):
     tags = lambda **k: "".join(f'<tag k="{a.replace("__", ":")}" v="{b}"/>' for a, b in k.items())
     text = f'<osm><node id="1" lat="0" lon="0">{tags(name="Saw", website="s.test", craft="sawmill", addr__city="Rome")}</node><node id="2">{tags(name="Chain", website="c.test", craft="sawmill", brand="B")}</node><way id="3">{tags(website="n.test", man_made="works", product="steel")}</way><node id="4">{tags(name="Off", craft="sawmill")}</node></osm>'
     got = {r.source_record_id: (r.naics, r.deciding_tag, r.reject_reason) for r in files.read_map(spark, write(tmp_path / "m.osm", text)).collect()}
-    assert got == {"node/1": ("321", "craft=sawmill", None), "node/2": ("321", "craft=sawmill", "brand"), "way/3": ("331", "man_made=works", "unnamed")}
+    assert got == {"node/1": ("321113", "craft=sawmill", None), "node/2": ("321113", "craft=sawmill", "brand"), "way/3": ("3311", "man_made=works", "unnamed")}
 
 
 def test_statistics_and_awards(spark, tmp_path):
