@@ -85,6 +85,7 @@ ADDRESS = re.compile(
 
 # Fixed values.
 TITLES = set("mr mrs ms miss dr prof frau herr mme mlle m sr sra srta senor senora senorita monsieur madame".split())
+BEFORE_M = set("de à par avec chez pour contre".split())  # elsewhere M. is an initial and no title
 PARTICLES = set("van von de la del der den di da du".split())
 COMPANY = set(MODIFIERS) | set(TRADES) | (LEGAL - {"co", "sa", "ag"}) | set("sons daughters brothers".split())
 #: Given names that are words too: in small letters they are no names.
@@ -195,7 +196,7 @@ def person_names(text: str, tokens: list[tuple[str, int, int]], know: Learned, t
             continue
         low = fold(word)
         style = _style(word)
-        if low in TITLES and not (word.isupper() and len(word) > 1) and not any(a <= tokens[i][1] < b for a, b, _ in taken) and (word != "m" and word != "M" or i + 1 < n and tokens[i + 1][0] == ".") and (word[0].isupper() or low.startswith("se")):
+        if low in TITLES and not (word.isupper() and len(word) > 1) and not any(a <= tokens[i][1] < b for a, b, _ in taken) and (low != "m" or words[i + 1 : i + 2] == ["."] and words[i - 1 : i] and words[i - 1].lower() in BEFORE_M) and (word[0].isupper() or low.startswith("se")):
             j = i + 1 + (i + 1 < n and tokens[i + 1][0] == ".")
             if j < n and not text[tokens[i][1] : tokens[j][1]].strip(" . \t") == word:
                 i += 1

@@ -60,7 +60,8 @@ def test_names():
     assert found("cc: Vilmore, Lawrence J., and KATHERINE VAN TOLL-HUND") == [("name", "Vilmore, Lawrence J."), ("name", "KATHERINE VAN TOLL-HUND")]
     assert found("ask for R. Toronfick at (2") == [("name", "R. Toronfick")] and found("saw R. Toronfick once") == []
     assert found("Demandez richard kricknar à l'accueil") == [("name", "richard kricknar")]
-    assert found("M. O'Brien et Frau von Gell") == [("name", "O'Brien"), ("name", "von Gell")]
+    assert found("le dossier de M. O'Brien et Frau von Gell") == [("name", "O'Brien"), ("name", "von Gell")]
+    assert found("ask for M. Tusdirvack at (2") == [("name", "M. Tusdirvack")]
     for none in ("Robert Keck Precision Castings LLC", "Coastal Castings of Samuel Vilmore", "Henry is our oldest press", "left a message, will retry", "Jackson, MS. PAST DUE", "The Keck & Vilmore pattern", "15 Foundry Dr. Asked about"):
         assert [k for k, _ in found(none) if k == "name"] == [], none
 
