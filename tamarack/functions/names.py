@@ -202,6 +202,7 @@ def is_filler(text: str | None) -> bool:
     return text is None or " ".join(text.split()).lower() in FILLERS
 
 
+@lru_cache(1 << 15)
 def parse_name(name: str | None) -> Parsed | None:
     """None for a missing or filler name."""
     if name is None or is_filler(name):
