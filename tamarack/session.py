@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -28,16 +29,21 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
 
 
 def ship(spark: SparkSession) -> None:
-    """Gives the executors' Python workers this package, once a session."""
+    """Gives the executors' Python workers this package, once a session, by way of the checkpoint folder."""
     context = spark.sparkContext
     if getattr(context, "_tamarack_shipped", False):
         return
     here = Path(__file__).resolve().parent
-    target = Path(tempfile.mkdtemp(prefix="tamarack-code-")) / "tamarack.zip"
-    with zipfile.ZipFile(target, "w") as bundle:
-        for file in here.rglob("*.py"):
-            bundle.write(file, file.relative_to(here.parent))
-    context.addPyFile(str(target))
+    bundle = io.BytesIO()
+    with zipfile.ZipFile(bundle, "w") as z:
+        for file in sorted(here.rglob("*.py")):
+            z.write(file, file.relative_to(here.parent))
+    target = f"{ensure_checkpoint_dir(spark)}/tamarack-{uuid.uuid4().hex}.zip"
+    where = spark._jvm.org.apache.hadoop.fs.Path(target)
+    out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where)
+    out.write(bytearray(bundle.getvalue()))
+    out.close()
+    context.addPyFile(target)
     context._tamarack_shipped = True
 
 
