@@ -16,7 +16,7 @@ from ..functions.web import own_domain
 from ..session import settle
 from .components import small_components
 from .tables import payloads, platforms, table
-from .variants import entity_tags, form_table, hub_links
+from .variants import SHAPE, entity_tags, form_table, hub_links
 
 #: Bits of a vector, bits that each q-gram sets, and parts of a vector that are indexed.
 BITS, SETS, PARTS = 64, 3, 8
@@ -130,8 +130,10 @@ def match_sources(rows: DataFrame) -> DataFrame:
     forms of the same modifier, trade and state, and forms without a state with those of the same modifier and trade,
     by multi-index Hamming hashing.  Cores of close pairs are then compared letter by letter.  A record without a state
     is placed by its city, or where only one state has its name.  Web domains are exact: equal own domains are one tag.
+    Null keys take no part, records with neither name nor domain get no tag, equal rows count once, further columns are
+    ignored, and an empty table gives no tag.
     """
-    rows = settle(rows)
+    rows = settle(rows.filter("key is not null").select("key", "side", *SHAPE))
     forms, held = form_table(rows, "key")
     forms = settle(forms.withColumn("vector", bit_vector(F.col("sound"))))
     asking = forms.join(held.join(rows.filter("side = 0").select("key").distinct(), "key", "left_semi").select("form").distinct(), "form", "left_semi")

@@ -44,7 +44,9 @@ def mix(documents: DataFrame, key: str, group: str, size: str, text_hash: str, s
     drawn without replacement by Pareto order sampling: documents are ranked by the odds of a random number divided by
     their inclusion odds, and the first are taken up to the document that brings the tokens closest to the target.
     Inclusion falls with the number of documents of the same text, so repeated texts don't crowd out others.  Documents
-    of no listed source, and documents without tokens, are in no mixture; a source without documents falls short.
+    of no listed (or a null) source, and documents without (or with null) tokens, are in no mixture; a source without
+    documents falls short.  Documents with equal keys are drawn together, further columns are ignored, an empty table
+    gives an empty mixture.
     Only tokens by source and multiplicity (at most the root of twice the documents a source) come to the driver.
     """
     spark = documents.sparkSession

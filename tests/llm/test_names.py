@@ -7,13 +7,13 @@ from tamarack.llm.components import small_components
 from tamarack.llm.linkage import RADIUS, bit_vector, calibrate, dice, hamming_pairs, match_sources
 from tamarack.llm.variants import RECALL, ROWS, SIMILARITY, band_count, collision, entity_links, form_table, hub_links, spelling_pairs, star_clusters
 
-SHAPE = "key bigint, core string, sound string, modifier string, trade string, state string, city string, domain string"
 
 
 def typed(spark, rows):
     """Rows (key, name, state, city, domain) as the matchers take them."""
     d = spark.createDataFrame(rows, "key bigint, name string, state string, city string, domain string")
-    return d.select("key", name_struct()("name").alias("p"), "state", "city", "domain").select("key", "p.core", "p.sound", "p.modifier", "p.trade", "state", "city", "domain")
+    parts = d.select("key", name_struct()("name").alias("p"), "state", "city", "domain").select("key", "p.core", "p.sound", "p.modifier", "p.trade", "state", "city", "domain")
+    return parts.selectExpr("*", "'clash' form", "1 weight", "'x' tag", "2 hub", "'y' center")
 
 
 ROWS_ = [
