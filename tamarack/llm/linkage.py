@@ -56,13 +56,16 @@ def hamming_pairs(queries: DataFrame, items: DataFrame, block: Sequence[str]) ->
     pair within the radius is lost.  Nulls of a block are not equal to anything; rows without a vector find nothing.
     """
     keys = [F.col(c) for c in block]
-    some = lambda d: d.filter(F.col("vector").isNotNull())
+    some = lambda d: d.filter(F.col("vector").isNotNull()).select("form", "vector", *block)
+    queries, items = some(queries), some(items)
+    items = items.join(queries.select(*block).distinct(), list(block), "left_semi")
+    queries = queries.join(items.select(*block).distinct(), list(block), "left_semi")
     places = F.sequence(F.lit(0), F.lit(PARTS - 1))
     turned = F.array(*[F.lit(x).cast("bigint") for x in (0, *(1 << b for b in range(BITS // PARTS)))])
     own = F.transform(places, lambda i: F.xxhash64(i, _part(F.col("vector"), i), *keys))
     near = F.flatten(F.transform(places, lambda i: F.transform(turned, lambda t: F.xxhash64(i, _part(F.col("vector"), i).bitwiseXOR(t), *keys))))
-    filed = some(items).select(F.col("form").alias("v"), F.col("vector").alias("y"), F.explode(own).alias("key"))
-    asked = some(queries).select(F.col("form").alias("u"), F.col("vector").alias("x"), F.explode(near).alias("key"))
+    filed = items.select(F.col("form").alias("v"), F.col("vector").alias("y"), F.explode(own).alias("key"))
+    asked = queries.select(F.col("form").alias("u"), F.col("vector").alias("x"), F.explode(near).alias("key"))
     distance = F.bit_count(F.col("x").bitwiseXOR(F.col("y")))
     return asked.join(filed, "key").withColumn("distance", distance).filter((F.col("distance") <= RADIUS) & (F.col("u") != F.col("v"))).select("u", "v", "distance").distinct()
 
@@ -138,8 +141,10 @@ def match_sources(rows: DataFrame) -> DataFrame:
     forms = settle(forms.withColumn("vector", bit_vector(F.col("sound"))))
     asking = forms.join(held.join(rows.filter("side = 0").select("key").distinct(), "key", "left_semi").select("form").distinct(), "form", "left_semi")
     block = ["modifier", "trade"]
-    inside = hamming_pairs(asking.filter("state is not null"), forms.filter("state is not null"), [*block, "state"])
-    outside = hamming_pairs(asking.filter("state is not null"), forms.filter("state is null"), block).select(F.col("v").alias("u"), F.col("u").alias("v"))
+    placed = forms.filter("state is not null")
+    several = placed.groupBy(*block, "state").count().filter("count > 1").drop("count")
+    inside = hamming_pairs(asking.filter("state is not null").join(several, [*block, "state"], "left_semi"), placed, [*block, "state"])
+    outside = hamming_pairs(forms.filter("state is null"), asking.filter("state is not null"), block).select("u", "v")
     lost = hamming_pairs(asking.filter("state is null"), forms, block)
     cores_u, cores_v = forms.select(F.col("form").alias("u"), F.col("core").alias("cu")), forms.select(F.col("form").alias("v"), F.col("core").alias("cv"), F.col("state").alias("sv"))
     exact = lambda pairs: pairs.join(cores_u, "u").join(cores_v, "v").filter(_spelled()("cu", "cv"))
