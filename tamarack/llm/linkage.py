@@ -58,8 +58,6 @@ def hamming_pairs(queries: DataFrame, items: DataFrame, block: Sequence[str]) ->
     keys = [F.col(c) for c in block]
     some = lambda d: d.filter(F.col("vector").isNotNull()).select("form", "vector", *block)
     queries, items = some(queries), some(items)
-    items = items.join(queries.select(*block).distinct(), list(block), "left_semi")
-    queries = queries.join(items.select(*block).distinct(), list(block), "left_semi")
     places = F.sequence(F.lit(0), F.lit(PARTS - 1))
     turned = F.array(*[F.lit(x).cast("bigint") for x in (0, *(1 << b for b in range(BITS // PARTS)))])
     own = F.transform(places, lambda i: F.xxhash64(i, _part(F.col("vector"), i), *keys))
@@ -139,11 +137,10 @@ def match_sources(rows: DataFrame) -> DataFrame:
     rows = settle(rows.filter("key is not null").select("key", "side", *SHAPE))
     forms, held = form_table(rows, "key")
     forms = settle(forms.withColumn("vector", bit_vector(F.col("sound"))))
-    asking = forms.join(held.join(rows.filter("side = 0").select("key").distinct(), "key", "left_semi").select("form").distinct(), "form", "left_semi")
+    asking = settle(forms.join(held.join(rows.filter("side = 0").select("key").distinct(), "key", "left_semi").select("form").distinct(), "form", "left_semi"))
     block = ["modifier", "trade"]
     placed = forms.filter("state is not null")
-    several = placed.groupBy(*block, "state").count().filter("count > 1").drop("count")
-    inside = hamming_pairs(asking.filter("state is not null").join(several, [*block, "state"], "left_semi"), placed, [*block, "state"])
+    inside = hamming_pairs(asking.filter("state is not null"), placed, [*block, "state"])
     outside = hamming_pairs(forms.filter("state is null"), asking.filter("state is not null"), block).select("u", "v")
     lost = hamming_pairs(asking.filter("state is null"), forms, block)
     cores_u, cores_v = forms.select(F.col("form").alias("u"), F.col("core").alias("cu")), forms.select(F.col("form").alias("v"), F.col("core").alias("cv"), F.col("state").alias("sv"))
