@@ -15,7 +15,7 @@ from .operators import canon, cluster, evaluate, market, match, sample, score, u
 from .oracle import ORACLE
 from .plans.resolve import load_records, resolve
 from .plans.thesis import Range, Thesis
-from .session import settle
+from .session import few_rows, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,7 +36,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def hosts(spark: SparkSession, folder: str) -> list[str]:
-    return sorted(r.host for r in table(spark, folder, "platform_hosts").limit(10_000).collect())  # a fixed table of a few rows
+    return sorted(r.host for r in few_rows(table(spark, folder, "platform_hosts").select("host")))
 
 
 # ---- keys and normalisation ---------------------------------------------------------------------------------------------
@@ -201,7 +201,7 @@ def _assigned(spark: SparkSession, folder: str) -> DataFrame:
     records = load_records(table(spark, folder, "raw_records"), hosts(spark, folder))
     held = table(spark, folder, "company_records").select(F.col("raw_record_id").alias("id"), "company_id")
     order = table(spark, folder, "source_priority").select(values.source_label(F.col("source")).alias("source"), "priority")
-    return records.join(held, "id").join(F.broadcast(order.limit(10_000)), "source", "left")  # a fixed table of a few rows
+    return records.join(held, "id").join(order, "source", "left")
 
 
 @query

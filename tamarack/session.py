@@ -60,6 +60,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def few_rows(df: DataFrame, most: int = 10_000) -> list:
+    """The rows of a small fixed table; refuses a table that is no such thing rather than cutting it."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a fixed table has more than {most} rows")
+    return rows
+
+
 def settle(df: DataFrame) -> DataFrame:
     """The same rows, written to the shared checkpoint folder: lineage ends there and a lost executor costs nothing."""
     spark = df.sparkSession
