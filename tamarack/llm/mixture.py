@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.values import source_label
 from ..operators.running import running_total, uniform
-from ..session import settle
+from ..session import few_rows, settle
 from .tables import table
 from .tokens import token_count
 
@@ -86,7 +86,7 @@ def _sized(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, Share
     rows = table(spark, folder, "documents").select("doc_id", source_label(F.col("source")).alias("source"), F.xxhash64("text").alias("text_hash"), token_count()("text").cast("bigint").alias("tokens"))
     sized = settle(rows)
     total = sized.agg(F.sum("tokens").alias("t")).first().t or 0
-    targets = table(spark, folder, "mix_targets").limit(10_000).collect()  # a fixed table of a few rows
+    targets = few_rows(table(spark, folder, "mix_targets"))
     return sized, {r.source: Share(r.target_weight, r.max_repeats) for r in targets}, total
 
 

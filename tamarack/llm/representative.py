@@ -50,7 +50,7 @@ def _grouped(spark: SparkSession, folder: str) -> DataFrame:
     several = assigned.groupBy("company_id").count().filter("count >= 2").select("company_id")
     assigned = assigned.join(several, "company_id", "left_semi")
     trust = table(spark, folder, "source_priority").select(source_label(F.col("source")).alias("__source"), F.col("priority").alias("trust"))
-    trust = F.broadcast(trust.groupBy("__source").agg(F.min("trust").alias("trust")).limit(10_000))  # a fixed table of a few rows
+    trust = trust.groupBy("__source").agg(F.min("trust").alias("trust"))
     raw = payloads(table(spark, folder, "raw_records"), "name", "website", "employees")
     rows = raw.join(assigned, raw.id == assigned.raw_record_id)
     rows = rows.join(trust, source_label(rows.source) == trust["__source"], "left")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import state_code
 from ..operators.running import running_total, uniform
+from ..session import few_rows
 from .tables import table
 
 #: The category of rows whose value has no target.
@@ -166,7 +167,7 @@ def _companies(spark: SparkSession, folder: str) -> DataFrame:
 
 def _margins(spark: SparkSession, folder: str) -> dict[str, Margin]:
     targets: dict[str, Margin] = {}
-    for r in table(spark, folder, "sample_targets").orderBy("dimension", "category").limit(100_000).collect():  # a fixed table of a few rows
+    for r in sorted(few_rows(table(spark, folder, "sample_targets")), key=lambda r: (r.dimension, r.category)):
         m = targets.setdefault(r.dimension, Margin(r.dimension, {}, {}))
         m.shares[r.category], m.minimums[r.category] = r.target_share, r.min_rows
     return targets

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import few_rows
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -12,7 +14,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def platforms(spark: SparkSession, folder: str) -> list[str]:
     """Hosts of platform_hosts: a fixed table of a few rows."""
-    return [r.host for r in table(spark, folder, "platform_hosts").limit(10_000).collect()]
+    return [r.host for r in few_rows(table(spark, folder, "platform_hosts"))]
 
 
 def payloads(raw: DataFrame, *fields: str) -> DataFrame:
