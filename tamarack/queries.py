@@ -192,7 +192,7 @@ def resolved_companies(spark: SparkSession, folder: str) -> DataFrame:
 def review_queue(spark: SparkSession, folder: str) -> DataFrame:
     """What of the matching of match_records is to be looked at (rows only)."""
     records = settle(match_input(spark, folder))
-    decisions = settle(match.decide(match.candidate_pairs(records)[0], records))
+    decisions = settle(match.decide(match.candidate_pairs(records, least=match.MAYBE)[0], records))
     assignments, links = cluster.cluster(records, decisions)
     return cluster.review_pairs(decisions, settle(links), settle(assignments))
 

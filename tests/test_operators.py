@@ -42,6 +42,24 @@ def test_oversized_blocks_are_split_not_dropped(spark):
     assert over.count() == 2 and {(x.a, x.b) for x in pairs.collect()} == {(a, b) for a, b in combinations(range(12), 2)}
 
 
+def test_oversized_blocks_are_compared_whole(spark):
+    names = ["saint pirran tool", "saint pirrans tool", "saimt pirran tool", "sain tpirran tool", "saint prran tool", "saint xirran tool"]
+    rows = [(i, names[i % 6] + (f" {i // 6}" if i >= 12 else ""), None, "GA", "macon", "US", None) for i in range(36)]
+    pairs, over = match.candidate_pairs(records(spark, rows), max_block=5)
+    assert over.count() == 5 and {(x.a, x.b) for x in pairs.collect()} == {(a, b) for a, b in combinations(range(36), 2) if names[a % 6][:5] == names[b % 6][:5] or names[a % 6].replace(" ", "")[:4] == names[b % 6].replace(" ", "")[:4]}
+
+
+def test_names_that_are_left_out_are_distinct(spark):
+    r = random.Random(8)
+    words = ["saint", "st", "a", "pirran", "tool", "toolworks", "42", "é"]
+    typo = lambda x: x[: (i := r.randrange(len(x) + 1))] + r.choice(["", "x", " ", "tt"]) + x[i + r.randrange(2) :]
+    rows = [(i, " ".join(typo(" ".join(r.choice(words) for _ in range(r.randrange(0, 5)))).split()), r.choice([None, None, "a", "b"]), r.choice(["GA", None]), None, "US", r.choice([None, None, "U"])) for i in range(150)]
+    d = records(spark, rows)
+    whole, near = match.candidate_pairs(d, max_block=7)[0], match.candidate_pairs(d, max_block=7, least=match.MAYBE)[0]
+    told = lambda p: {tuple(x) for x in match.decide(p, d).filter("decision <> 'distinct'").collect()}
+    assert told(whole) == told(near) and near.count() < whole.count()
+
+
 def test_constrained_clusters(spark):
     rows = records(spark, [(1, "x", "a", None, None, None, None), (2, "x", None, None, None, None, None), (3, "x", "b", None, None, None, None), (4, "y", None, None, None, None, None), (5, "y", None, None, None, None, None), (6, "z", None, None, None, None, None)])
     d = "a bigint, b bigint, decision string, method string, score double, reason string, strength double"
