@@ -8,7 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 from .geo import STATES
 from .names import NICKNAMES
@@ -181,6 +181,16 @@ def masked(text: Column, company: Column, city: Column) -> Column:
     return run(text, company, city)
 
 
+def all_masked(texts: Column, company: Column, city: Column) -> Column:
+    """Arrow UDF of mask_persons for an array of texts."""
+
+    @F.pandas_udf(ArrayType(StringType()))
+    def run(t: pd.Series, c: pd.Series, p: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None else [mask_persons(y, *z) for y in x] for x, *z in zip(t, c, p)], dtype=object)
+
+    return run(texts, company, city)
+
+
 def word_rank(text: Column, words: Sequence[str]) -> Column:
     """Place of the first of the words (in their order) that begins a word of the text; null if none does."""
     places = [F.when(F.lower(text).rlike(f"(?<![a-z]){re.escape(w)}"), i) for i, w in enumerate(words)]

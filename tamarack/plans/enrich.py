@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.grounding import grounded, invalid, normalised
 from ..functions.pages import read_page
-from ..functions.text import build_document, masked, scrub_contacts
+from ..functions.text import all_masked, build_document, scrub_contacts
 from ..operators.score import EXTRACTION
 from ..session import settle
 
@@ -82,7 +82,7 @@ def enrich(companies: DataFrame, pages: DataFrame, model: Callable[[str], str],
     """(company_id, status, extraction, dropped, key, answer, cache_hit, latency_ms) of companies (company_id, name, city, domain).
 
     status: no_website, no_text, an error of the model, invalid fields as llm_invalid_output, or ok.  The extraction is
-    cleaned, stripped of what the pages don't say, and its summary masked of persons' names.
+    cleaned, stripped of what the pages don't say, and its summary and quotes masked of persons' names.
     """
     docs = documents_of(pages.join(companies.select("company_id"), "company_id", "left_semi"))
     answers = settle(ask(settle(docs.filter("length(document) > 0")), model, name, kept))
@@ -91,5 +91,9 @@ def enrich(companies: DataFrame, pages: DataFrame, model: Callable[[str], str],
     judged = settle(parsed.withColumn("bad", invalid(F.col("x"))).withColumn("g", out).withColumn("dropped", dropped))
     rows = companies.join(judged, "company_id", "left")
     status = F.when(F.col("domain").isNull(), "no_website").when(F.col("key").isNull(), "no_text").when(F.col("error").isNotNull(), F.col("error")).when(F.size("bad") > 0, "llm_invalid_output").otherwise("ok")
-    clean = F.col("g").withField("summary", masked(F.col("g.summary"), F.coalesce("name", F.lit("")), F.coalesce("city", F.lit(""))))
+    quotes = F.coalesce(F.transform("g.evidence", lambda e: e["quote"]), F.array().cast("array<string>"))
+    texts = F.concat(F.array("g.summary", "g.size_signals.employee_count_quote"), quotes)
+    rows = rows.withColumn("m", all_masked(texts, F.coalesce("name", F.lit("")), F.coalesce("city", F.lit(""))))
+    told = F.transform("g.evidence", lambda e, i: e.withField("quote", F.get("m", i + 2)))
+    clean = F.col("g").withField("summary", F.get("m", F.lit(0))).withField("size_signals.employee_count_quote", F.get("m", F.lit(1))).withField("evidence", told)
     return rows.withColumn("status", status).select("company_id", "status", F.when(F.col("status") == "ok", clean).alias("extraction"), "dropped", "key", "answer", "cache_hit", "latency_ms")

@@ -80,6 +80,19 @@ def test_enrich(spark):
     assert {r.company_id: r.cache_hit for r in ask(docs, model, "stub", kept).collect()} == {1: True, 4: False, 5: False}
 
 
+def test_quotes_are_masked(spark):
+    companies = spark.createDataFrame([(1, "Acme", "Rome", "a.test"), (2, "John Smith Tool", None, "b.test")], "company_id bigint, name string, city string, domain string")
+    said = "Founded by John Smith in 1950. President John Smith employs 50 people. We cast."
+    pages = spark.createDataFrame([(i, "/", page("Acme", said)) for i in (1, 2)], "company_id bigint, path string, html string")
+    evidence = [{"claim": "family_owned", "page": "/", "quote": q} for q in ("Founded by John Smith in 1950", "We cast")]
+    answer = json.dumps(ANSWER | {"size_signals": {"employee_count": 50, "employee_count_quote": "President John Smith employs 50 people"}, "evidence": evidence})
+    got = {r.company_id: r.extraction for r in enrich(companies, pages, lambda document: answer, "stub").collect()}
+    assert got[1].size_signals.employee_count_quote == "President [PERSON] employs 50 people" and [e.quote for e in got[1].evidence] == ["Founded by [PERSON] in 1950", "We cast"]
+    assert got[2].evidence[0].quote == "Founded by John Smith in 1950" and got[1].evidence[0].page == "/"
+    bare = enrich(companies, pages, lambda document: json.dumps({"summary": "Led by John Smith."}), "stub").filter("company_id = 1").first().extraction
+    assert bare.summary == "Led by [PERSON]." and bare.evidence is None
+
+
 def test_archive_and_requests(spark, tmp_path):
     cells = [""] * 120
     cells[files.REGISTRY_FIELDS["uei"]], cells[files.REGISTRY_FIELDS["name"]] = "U1", "Ac\nme"
