@@ -6,7 +6,7 @@ import re
 import unicodedata
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -19,8 +19,10 @@ from ..session import settle
 from .tables import table
 
 ROUNDS, ACCEPT, SMOOTH = 3, 0.5, 2.0
-#: A pattern or given name must have this share of all candidates (and be seen LEAST times); so at most 1/SHARE of them are kept.
-SHARE, LEAST = 1e-5, 3
+#: Times a pattern or given name must be seen.
+LEAST = 3
+#: Characters of texts that are read together with what was learned about their words.
+CHUNK = 500_000
 KINDS = ("email", "phone", "id_number", "address", "name")
 
 # ---- shapes of mail addresses, numbers and street addresses -------------------------------------------------------------
@@ -182,8 +184,19 @@ def _take(it: Iterator[str], n: int) -> Iterator[str]:
         yield x
 
 
-def person_names(text: str, tokens: list[tuple[str, int, int]], know: Learned, taken: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-    """Spans of persons' names, by what is known of given names and patterns; a title inside a span that is taken (Foundry Dr.) is none."""
+def person_names(text: str, tokens: list[tuple[str, int, int]], know: Learned, taken: list[tuple[int, int, str]], asked: set[str] | None = None) -> list[tuple[int, int]]:
+    """Spans of persons' names, by what is known of given names and patterns; a title inside a span that is taken (Foundry Dr.) is none.
+
+    With ``asked`` every place is looked at, whatever stands before it, and all patterns that could decide are added to it.
+    """
+
+    def near(first: int, last: int) -> bool:
+        around = contexts(tokens, first, last)
+        if asked is not None:
+            asked.update(around)
+            return False
+        return any(p in know.patterns for p in around)
+
     spans: list[tuple[int, int]] = []
     families: set[str] = set()
     weak: list[tuple[int, int, str]] = []
@@ -196,7 +209,7 @@ def person_names(text: str, tokens: list[tuple[str, int, int]], know: Learned, t
             continue
         low = fold(word)
         style = _style(word)
-        if low in TITLES and not (word.isupper() and len(word) > 1) and not any(a <= tokens[i][1] < b for a, b, _ in taken) and (low != "m" or words[i + 1 : i + 2] == ["."] and words[i - 1 : i] and words[i - 1].lower() in BEFORE_M) and (word[0].isupper() or low.startswith("se")):
+        if asked is None and low in TITLES and not (word.isupper() and len(word) > 1) and not any(a <= tokens[i][1] < b for a, b, _ in taken) and (low != "m" or words[i + 1 : i + 2] == ["."] and words[i - 1 : i] and words[i - 1].lower() in BEFORE_M) and (word[0].isupper() or low.startswith("se")):
             j = i + 1 + (i + 1 < n and tokens[i + 1][0] == ".")
             if j < n and not text[tokens[i][1] : tokens[j][1]].strip(" . \t") == word:
                 i += 1
@@ -214,7 +227,7 @@ def person_names(text: str, tokens: list[tuple[str, int, int]], know: Learned, t
             if j < n and _gap(text, tokens[j - 1], tokens[j]):
                 k = _family(text, tokens, j, "T" if style == "T" else style)
                 if k > j and not _company(text, tokens, i, k):
-                    if style != "l" or any(p in know.patterns for p in contexts(tokens, i, k - 1)):
+                    if near(i, k - 1) if style == "l" else asked is None:
                         spans.append((tokens[i][1], tokens[k - 1][2]))
                         families.add(fold(tokens[k - 1][0]))
                         i = k
@@ -232,12 +245,12 @@ def person_names(text: str, tokens: list[tuple[str, int, int]], know: Learned, t
                 known = fold(g[0]) in know.given and len(g[0]) > 1
                 longer = k < n and _gap(text, tokens[k - 1], tokens[k]) and _family(text, tokens, k, _style(g[0])) > k and _style(tokens[k][0]) != "l"
                 if known and _style(g[0]) == _style(tokens[j - 1][0]) and (not longer or initial) and not _company(text, tokens, i, k):
-                    if style != "l" or any(p in know.patterns for p in contexts(tokens, i, k - 1)):
+                    if near(i, k - 1) if style == "l" else asked is None:
                         spans.append((tokens[i][1], tokens[k - 1][2]))
                         families.add(fold(tokens[j - 1][0]))
                         i = k
                         continue
-                if single and any(p in know.patterns for p in contexts(tokens, i, k)):
+                if single and near(i, k):
                     spans.append((tokens[i][1], tokens[k][2]))
                     i = k + 1
                     continue
@@ -247,7 +260,7 @@ def person_names(text: str, tokens: list[tuple[str, int, int]], know: Learned, t
                 j += 2
             k = _family(text, tokens, j, _style(tokens[j][0]) if tokens[j][0].lower() not in PARTICLES else "T")
             if k > j and _style(tokens[k - 1][0]) != "l" and not _company(text, tokens, i, k):
-                if any(p in know.patterns for p in contexts(tokens, i, k - 1)):
+                if near(i, k - 1):
                     spans.append((tokens[i][1], tokens[k - 1][2]))
                     families.add(fold(tokens[k - 1][0]))
                     i = k
@@ -299,6 +312,24 @@ def find_all(text: str, know: Learned) -> list[tuple[int, int, str]]:
     return sorted(taken)
 
 
+def words_of(text: str) -> set[str]:
+    """The words of a text that could be given names."""
+    return {fold(w) for w, _, _ in tokens_of(text) if len(w) > 1 and w[0].isalpha()}
+
+
+def patterns_of(text: str, know: Learned) -> set[str]:
+    """The patterns of a text that find_all() could look up, by the given names that are known."""
+    asked: set[str] = set()
+    tokens = tokens_of(text)
+    for kind, spans in (("phone", [m.span() for m in BARE_PHONE.finditer(text)]), ("id_number", [m.span() for m in ID_ANY.finditer(text)])):
+        for a, b in spans:
+            i, j = _at(tokens, a, b)
+            if i is not None and j is not None:
+                asked.update(f"{kind} {p}" for p in contexts(tokens, i, j))
+    person_names(text, tokens, know, [], asked)
+    return asked
+
+
 # ---- what the corpus teaches --------------------------------------------------------------------------------------------
 
 
@@ -348,8 +379,8 @@ def score_graph(edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, Data
     return patterns, scores
 
 
-def learn(documents: DataFrame, text: str) -> Learned:
-    """Patterns and given names that the whole corpus supports; what comes to the driver is at most 1/SHARE of each."""
+def lessons(documents: DataFrame, text: str) -> DataFrame:
+    """(kind, value) of what the whole corpus supports: its patterns (kind pattern) and given names (kind given), however many there are."""
 
     def gather(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -361,39 +392,89 @@ def learn(documents: DataFrame, text: str) -> Learned:
     texts = documents.select(F.col(text).alias("t")).filter("t is not null and t <> ''")
     edges = settle(texts.mapInPandas(gather, "kind string, instance string, pattern string, known int, n bigint").groupBy("kind", "instance", "pattern", "known").agg(F.sum("n").alias("n")))
     patterns, scores = score_graph(edges)
-    total = edges.groupBy("kind").agg(F.sum("n").alias("t"))
-    enough = lambda d, n: d.join(F.broadcast(total), "kind").filter((F.col(n) >= LEAST) & (F.col(n) >= SHARE * F.col("t")) & (F.col("score") >= ACCEPT))
+    enough = lambda d, n: d.filter((F.col(n) >= LEAST) & (F.col("score") >= ACCEPT))
+    given = enough(scores.filter("kind = 'name'"), "m").select(F.lit("given").alias("kind"), F.col("instance").alias("value"))
+    return settle(enough(patterns, "n").select(F.lit("pattern").alias("kind"), F.col("pattern").alias("value")).unionByName(given).distinct())
+
+
+def learn(documents: DataFrame, text: str) -> Learned:
+    """What the corpus supports in the driver's memory, all of it: for corpora whose lessons fit there; the others stay a table."""
+    know = Learned()
+    for r in lessons(documents, text).collect():
+        (know.given if r.kind == "given" else know.patterns).add(r.value)
+    return know
+
+
+def _pairs(of: Callable[[str], set[str]], part: pd.DataFrame) -> pd.DataFrame:
+    """(chunk, value) of the values of a part's texts, each once."""
+    values: dict[int, set[str]] = {}
+    for c, t in zip(part["chunk"], part["t"]):
+        values.setdefault(c, set()).update(of(t))
+    return pd.DataFrame([(c, v) for c, vs in values.items() for v in vs], columns=["chunk", "value"])
+
+
+def _known(lines: pd.DataFrame) -> Learned:
     know = Learned()
-    know.patterns = {r.pattern for r in enough(patterns, "n").select("pattern").collect()}
-    know.given |= {r.instance for r in enough(scores.filter("kind = 'name'"), "m").select("instance").collect()}
+    know.given |= set(lines["value"][lines["kind"] == "given"])
+    know.patterns = set(lines["value"][lines["kind"] == "pattern"])
     return know
 
 
+def _with_lessons(rows: DataFrame, run: Callable[[Iterator[pd.DataFrame], Learned], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """What run() makes of the rows (k, t) with what the same rows teach.
+
+    The rows are dealt into chunks; the words of a chunk, and then the patterns that its texts could look up, are joined
+    to what was learned, so a chunk is read with all lessons that matter to it and no place holds all lessons.
+    """
+    learned = lessons(rows, "t")
+    size = rows.agg(F.sum(F.length("t"))).first()[0] or 0
+    chunked = rows.withColumn("chunk", F.pmod(F.xxhash64(F.col("k").cast("string"), "t"), F.lit(size // CHUNK + 1).cast("bigint")))
+    full = chunked.filter("t is not null and t <> ''")
+
+    def words(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            yield _pairs(words_of, part)
+
+    def patterns(part: pd.DataFrame, lines: pd.DataFrame) -> pd.DataFrame:
+        know = _known(lines)
+        return _pairs(lambda t: patterns_of(t, know), part)
+
+    def read(part: pd.DataFrame, lines: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([*run(iter([part]), _known(lines))], ignore_index=True)
+
+    pick = lambda asked, kind: asked.distinct().join(learned.filter(F.col("kind") == kind), "value").select("chunk", "kind", "value")
+    by = lambda d: d.groupBy("chunk")
+    given = settle(pick(full.select("chunk", "t").mapInPandas(words, "chunk bigint, value string"), "given"))
+    near = pick(by(full.select("chunk", "t")).cogroup(by(given)).applyInPandas(patterns, "chunk bigint, value string"), "pattern")
+    return by(chunked).cogroup(by(settle(given.unionByName(near)))).applyInPandas(read, schema)
+
+
+def _apply(rows: DataFrame, know: Learned | None, run: Callable[[Iterator[pd.DataFrame], Learned], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    return _with_lessons(rows, run, schema) if know is None else rows.mapInPandas(lambda parts: run(parts, know), schema)
+
+
 def personal_spans(documents: DataFrame, key: str, text: str, know: Learned | None = None) -> DataFrame:
     """(key, begin, end, kind, found_text) of every stretch of personal information, offsets in code points.
 
-    ``know`` is learned from the same documents if it isn't given.  Null and empty texts have none; whole texts are
+    What the same documents teach is used if ``know`` isn't given.  Null and empty texts have none; whole texts are
     read, however long.  Rows with a null key are kept.  Columns beside the two are ignored.
     """
-    know = know or learn(documents, text)
     schema = f"k {documents.schema[key].dataType.simpleString()}, begin int, end int, kind string, found_text string"
 
-    def find(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def find(parts: Iterator[pd.DataFrame], know: Learned) -> Iterator[pd.DataFrame]:
         for part in parts:
             rows = [(k, a, b, kind, t[a:b]) for k, t in zip(part["k"], part["t"]) for a, b, kind in find_all(t, know)]
-            if rows:
-                yield pd.DataFrame(rows, columns=["k", "begin", "end", "kind", "found_text"])
+            yield pd.DataFrame(rows, columns=["k", "begin", "end", "kind", "found_text"])
 
     rows = documents.select(F.col(key).alias("k"), F.col(text).alias("t")).filter("t is not null and t <> ''")
-    return rows.mapInPandas(find, schema).withColumnRenamed("k", key)
+    return _apply(rows, know, find, schema).withColumnRenamed("k", key)
 
 
 def redact(documents: DataFrame, key: str, text: str, know: Learned | None = None) -> DataFrame:
     """(key, text): every text with "[KIND]" in place of each stretch and all else as it was; null stays null."""
-    know = know or learn(documents, text)
     kind_of = documents.schema[key].dataType.simpleString()
 
-    def cover(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cover(parts: Iterator[pd.DataFrame], know: Learned) -> Iterator[pd.DataFrame]:
         for part in parts:
             out = []
             for t in part["t"]:
@@ -408,7 +489,7 @@ def redact(documents: DataFrame, key: str, text: str, know: Learned | None = Non
             yield pd.DataFrame({"k": part["k"], "t": out})
 
     rows = documents.select(F.col(key).alias("k"), F.col(text).alias("t"))
-    return rows.mapInPandas(cover, f"k {kind_of}, t string").select(F.col("k").alias(key), F.col("t").alias(text))
+    return _apply(rows, know, cover, f"k {kind_of}, t string").select(F.col("k").alias(key), F.col("t").alias(text))
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
-from tamarack.llm.pii import Learned, find_all, learn, personal_spans, redact
+from tamarack.llm import pii
+from tamarack.llm.pii import Learned, find_all, learn, patterns_of, personal_spans, redact, words_of
 from tamarack.llm.tokens import encode_corpus, ranked, replay, tokenizer_file
 
 TEXTS = [None, "", " ", "\n\n  x", "Hello world! It's 42—ok", "aaaaaaaaaaaaaaaa", "naïve café 日本語 👍🏽", "<|endoftext|> stays text", "don’t DON'T  tabs\t\tand   runs ", "x" * 5000 + " " * 300, "0123456789" * 40, "﻿​ zero"]
@@ -78,3 +79,28 @@ def test_learning_and_redaction(spark):
     shown = {r.doc_id: r.text for r in redact(d, "doc_id", "text", know).collect()}
     assert shown[40] == "Please ask for [NAME] today." and shown[200] is None and shown[201] == "" and len(shown[202]) == 40000 + len(" mail [EMAIL] ") and shown[100] == rows[48][1]
     assert personal_spans(d.limit(0), "doc_id", "text").count() == 0
+
+
+def test_rare_names_are_learned_in_large_corpora(spark):
+    common = [(i, f"Please ask for {g} Vil{chr(97 + i % 20)}more today.") for i, g in enumerate(["Robert", "Walter", "Samuel", "Henry"] * 10)]
+    bulk = [(1000 + i, " ".join(f"the Golden{chr(97 + j % 26)} Castle{chr(97 + i % 26)} stood," for j in range(400))) for i in range(300)]
+    d = spark.createDataFrame([*common, (100, "Please ask for Zorana Kolbrane today."), *bulk], "doc_id bigint, text string")
+    assert "zorana" in learn(d, "text").given
+    assert {(r.doc_id, r.found_text) for r in personal_spans(d, "doc_id", "text").filter("doc_id < 1000").collect()} >= {(100, "Zorana Kolbrane"), (0, "Robert Vilamore")}
+
+
+def test_lessons_by_chunk_are_those_of_the_whole(spark, monkeypatch):
+    monkeypatch.setattr(pii, "CHUNK", 300)
+    rows = [(i, f"Please ask for {g} Vil{chr(97 + i % 20)}more at (203) 555-01{i % 90 + 10}, or ask for R. Tol{chr(97 + i % 9)}bane.") for i, g in enumerate((["Robert", "Walter", "Samuel", "Zorana"] * 10))]
+    rows += [(200, "please ask for zorana keckbane today, or ask for robert zorana vilmore."), (201, "my SSN 902-48-4940; mail a@b.test"), (202, None), (203, ""), (None, "ask for Zorana Zell"), (None, "ask for Zorana Zell"), (204, "line is 2035550148 or 2035550149")]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    know = learn(d, "text")
+    rows_of = lambda x: sorted(map(repr, x.collect()))
+    assert rows_of(personal_spans(d, "doc_id", "text")) == rows_of(personal_spans(d, "doc_id", "text", know))
+    assert rows_of(redact(d, "doc_id", "text")) == rows_of(redact(d, "doc_id", "text", know))
+    for _, t in rows:
+        if t:
+            least = Learned(given=Learned().given | (know.given & words_of(t)))
+            least.patterns = know.patterns & patterns_of(t, least)
+            assert find_all(t, least) == find_all(t, know)
+    assert personal_spans(d.limit(0), "doc_id", "text").count() == 0 and redact(d.limit(0), "doc_id", "text").count() == 0
