@@ -528,7 +528,7 @@ def first_sentence_lengths(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def clean_lists(spark: SparkSession, folder: str) -> DataFrame:
-    """Sources, domains and languages by company as cleaned lists."""
+    """Languages by company as a cleaned list; sources and domains are not listed."""
     d = table(spark, folder, "documents").filter("company_id is not null")
     per = d.groupBy("company_id").agg(F.array_sort(F.collect_list(F.coalesce("lang", F.lit("n/a")))).alias("x"))
     return per.select("company_id", F.array_join(text.clean_list(F.col("x")), "|").alias("langs"))
