@@ -98,6 +98,13 @@ def calibrate(scored: DataFrame, score: str, truth: str) -> list[float]:
     return [yes / n for yes, n, k in blocks for _ in range(int(k))]
 
 
+def with_confidence(scored: DataFrame, score: str, truth: str) -> DataFrame:
+    """Pairs with the confidence of their score, by the curve of the same score; null where there is none."""
+    curve = F.array(*[F.lit(x) for x in calibrate(scored.filter(F.col(score).isNotNull()), score, truth)])
+    place = F.least(F.floor(F.col(score) * BINS), F.lit(BINS - 1)).cast("int")
+    return scored.withColumn("confidence", F.when(F.col(score).isNotNull(), F.get(curve, place)))
+
+
 def _spelled():
     @F.pandas_udf(BooleanType())
     def spelled(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -157,8 +164,9 @@ def match_sources(rows: DataFrame) -> DataFrame:
 def p6_matches(spark: SparkSession, folder: str) -> DataFrame:
     """(match_record_id, raw_record_id, score, confidence) of the records that are one organisation.
 
-    The confidence of a pair is that of its field-weighted Dice score, calibrated where both sides name a web domain:
-    there equal domains are true and different ones are not.
+    The score is the field-weighted Dice score of all fields, the confidence that of name and city alone, calibrated where
+    both sides name a web domain: there equal domains are true and different ones are not.  It holds for pairs that are
+    linked, and is null where neither name nor city can be compared.
     """
     rows = settle(_records(spark, folder))
     groups = small_components(hub_links(settle(match_sources(rows)), "key"), "key", "hub")
@@ -170,9 +178,7 @@ def p6_matches(spark: SparkSession, folder: str) -> DataFrame:
     scored = settle(pairs.select(F.col("a.record_id").alias("match_record_id"), F.col("b.record_id").alias("raw_record_id"), weighted_score({n: (F.col(f"a.{n}"), F.col(f"b.{n}")) for n in WEIGHTS}).alias("score"),
                                  weighted_score({"name": (F.col("a.name"), F.col("b.name")), "city": (F.col("a.city"), F.col("b.city"))}).alias("blind"),
                                  F.when(F.col("a.domain").isNotNull() & F.col("b.domain").isNotNull(), (F.col("a.domain") == F.col("b.domain")).cast("int")).alias("truth")))
-    curve = F.array(*[F.lit(x) for x in calibrate(scored.filter("blind is not null"), "blind", "truth")])
-    by = F.coalesce("score", F.lit(0.0))
-    return scored.select("match_record_id", "raw_record_id", F.round("score", 6).alias("score"), F.round(F.get(curve, F.least(F.floor(by * BINS), F.lit(BINS - 1)).cast("int")), 6).alias("confidence"))
+    return with_confidence(scored, "blind", "truth").select("match_record_id", "raw_record_id", F.round("score", 6).alias("score"), F.round("confidence", 6).alias("confidence"))
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from tamarack.functions.names import core_close, name_struct
 from tamarack.llm.components import small_components
-from tamarack.llm.linkage import RADIUS, bit_vector, calibrate, dice, hamming_pairs, match_sources
+from tamarack.llm import linkage
+from tamarack.llm.linkage import RADIUS, bit_vector, calibrate, dice, hamming_pairs, match_sources, with_confidence
 from tamarack.llm.variants import RECALL, ROWS, SIMILARITY, band_count, collision, entity_links, form_table, hub_links, spelling_pairs, star_clusters
 
 
@@ -108,3 +109,19 @@ def test_vectors_and_calibration(spark):
     c = spark.createDataFrame([(0.9, 1)] * 50 + [(0.1, 0)] * 50 + [(0.5, None)], "s double, y int")
     curve = calibrate(c, "s", "y")
     assert curve == sorted(curve) and curve[36] > 0.9 and curve[4] < 0.1
+
+
+def test_confidence_is_of_the_score_it_is_fitted_on(spark):
+    rows = [(0.95, 0.15, 0)] * 50 + [(0.15, 0.95, 1)] * 50 + [(0.95, 0.15, None), (0.95, None, None), (1.0, 1.0, None)]
+    d = spark.createDataFrame(rows, "score double, blind double, truth int")
+    got = with_confidence(d, "blind", "truth").filter("truth is null").select("score", "blind", "confidence").collect()
+    by = {r.blind: r.confidence for r in got}
+    assert by[0.15] < 0.1 and by[None] is None and by[1.0] > 0.9
+
+
+def test_p6_confidence_rises_with_name_and_city(spark, monkeypatch):
+    scored = []
+    monkeypatch.setattr(linkage, "calibrate", lambda rows, score, truth: scored.append(score) or [b / 100 for b in range(linkage.BINS)])
+    monkeypatch.setattr(linkage, "weighted_score", lambda sides: F.lit(0.99 if "domain" in sides else 0.01).cast("double"))
+    got = {r.confidence for r in linkage.p6_matches(spark, "/root/testdata/sf0.001").select("confidence").distinct().collect()}
+    assert scored == ["blind"] and got == {0.0}
