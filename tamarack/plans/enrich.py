@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.grounding import grounded, invalid, normalised
 from ..functions.pages import read_page
-from ..functions.text import all_masked, build_document, scrub_contacts
+from ..functions.persons import all_masked
+from ..functions.text import build_document, scrub_contacts
 from ..operators.score import EXTRACTION
 from ..session import settle
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import geo, keys, text, values, web
+from .functions import geo, keys, persons, text, values, web
 from .functions.grounding import grounded, invalid, normalised
 from .functions.names import name_struct
 from .functions.pages import best_links, page_links, read_page, site_names
@@ -569,7 +569,7 @@ def header_parts(spark: SparkSession, folder: str) -> DataFrame:
 def masked_persons(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with names of persons masked (rows only)."""
     d = _docs(spark, folder)
-    return d.select("doc_id", text.masked(F.col("text"), F.coalesce("domain", F.lit("")), F.lit("")).alias("text"))
+    return d.select("doc_id", persons.masked(F.col("text"), F.coalesce("domain", F.lit("")), F.lit("")).alias("text"))
 
 
 @query

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tamarack.functions import geo, keys, names, text, values, web
+from tamarack.functions import geo, keys, names, persons, text, values, web
 from tamarack.functions.pages import best_links, page_links, page_parts, page_verdict, place_match
 from tamarack.operators.match import common_subsequence, token_sort_similarity
 
@@ -132,11 +132,21 @@ def test_text_helpers(spark):
     assert one(spark, lambda c: text.cache_url(c, F.create_map(F.lit("b"), F.lit("2"), F.lit("a"), F.lit("1 x"), F.lit("key"), F.lit("s"))), "http://h") == "http://h?a=1+x&b=2"
 
 
-def test_mask_persons():
-    assert text.mask_persons("Founded by John Smith in 1950.") == "Founded by [PERSON] in 1950."
-    assert text.mask_persons("Mary Jones, President, and Mr. Bo Lee") == "[PERSON], President, and Mr. [PERSON]"
-    assert text.mask_persons("owner William Steel", company="William Steel Works") == "owner William Steel"
-    assert text.mask_persons(None) is None
+@pytest.mark.parametrize("given,company,want", [
+    ("Founded by John Smith in 1950.", "Acme", "Founded by [PERSON] in 1950."), ("Founded in 1962 by John Smith, Acme is family-owned.", "Acme", "Founded in 1962 by [PERSON], Acme is family-owned."),
+    ("Mary Jones, President, and Mr. Bo Lee", "", "[PERSON], President, and Mr. [PERSON]"), ("Our President, Mary Jones, leads the team.", "Acme", "Our President, [PERSON], leads the team."),
+    ("owner William Steel", "William Steel Works", "owner William Steel"), ("Founded by Robert and Linda Walsh", "Acme", "Founded by [PERSON]"), ("CEO Tom Harris said", "Acme", "CEO [PERSON] said"),
+    ("Dr. Alan Turing designed the line.", "Acme", "Dr. [PERSON] designed the line."), ("Smith & Sons has served Georgia since 1950.", "Smith & Sons", "Smith & Sons has served Georgia since 1950."),
+    ("Founded by Taylor Devices engineers", "Taylor Devices", "Founded by Taylor Devices engineers"), ("Precision Machining for Aerospace", "Acme", "Precision Machining for Aerospace"),
+    ("Serving New York and North Carolina", "Acme", "Serving New York and North Carolina"), ("run by Otto B. Zed Jr. since", "Acme", "run by [PERSON] since"), ("son of Ole Hansen III (our Vice President)", "", "son of [PERSON] (our Vice President)"),
+    ("President and John Ek", "", "President and [PERSON]"), ("Zoe Quill (our Vice President)", "", "[PERSON] (our Vice President)"), ("x" * 50_000 + " Ann Lee", "", "x" * 50_000 + " [PERSON]"), ("", "", ""), (None, None, None),
+])
+def test_mask_persons(given, company, want):
+    assert persons.mask_persons(given, company) == want
+
+
+def test_city_is_nobodys_name():
+    assert persons.mask_persons("Owned by Grand Rapids investors", "Acme", "Grand Rapids") == "Owned by Grand Rapids investors"
 
 
 PAGE = """<html><head><title>Acme Tools | Home</title><meta name="description" content="We  make"><script>var t="</p>";</script></head>
