@@ -11,15 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from ..functions.geo import city_key, state_code
-from ..functions.names import core_close, name_struct
 from ..functions.web import own_domain
 from ..session import settle
 from .components import small_components
+from .names import core_close, learn_words, name_struct
 from .tables import payloads, platforms, table
 from .variants import SHAPE, entity_tags, form_table, hub_links
 
 #: Bits of a vector, bits that each q-gram sets, and parts of a vector that are indexed.
-BITS, SETS, PARTS = 64, 3, 8
+BITS, SETS, PARTS = 64, 1, 8
 #: Within this distance two vectors surely agree in one part but for a bit: PARTS * 2 - 1.
 RADIUS = PARTS * 2 - 1
 #: Bins of the score by which confidence is calibrated.
@@ -124,7 +124,8 @@ def _records(spark: SparkSession, folder: str) -> DataFrame:
     left = table(spark, folder, "match_records").select(F.col("id"), F.lit(0).alias("side"), "name", "domain", "state", "city")
     right = payloads(table(spark, folder, "raw_records"), "name", "website", "state", "city").select("id", F.lit(1).alias("side"), "name", F.col("website").alias("domain"), "state", "city")
     rows = left.unionByName(right).filter("id is not null")
-    clean = rows.select((F.col("id") * 2 + F.col("side")).alias("key"), "side", F.col("id").alias("record_id"), name_struct()("name").alias("p"),
+    words = learn_words(left, "name")
+    clean = rows.select((F.col("id") * 2 + F.col("side")).alias("key"), "side", F.col("id").alias("record_id"), name_struct(words)("name").alias("p"),
                         state_code(F.col("state")).alias("own"), city_key(F.col("city")).alias("city"), own_domain(F.col("domain"), hosts).alias("domain"))
     flat = settle(clean.select("key", "side", "record_id", "p.core", "p.sound", "p.modifier", "p.trade", "own", "city", "domain"))
     homes = flat.filter("own is not null and domain is not null").groupBy("domain", "own").count().groupBy("domain").agg(F.max_by("own", F.struct("count", "own")).alias("home"))

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geo import state_code
-from ..functions.names import name_struct
 from ..functions.web import own_domain
 from ..operators.running import running_total, uniform
 from ..session import few_rows, release, settle
 from .components import links, propagate
+from .names import learn_words, name_struct
 from .tables import platforms, table
 from .variants import entity_links
 
@@ -122,7 +122,8 @@ def _label_rows(spark: SparkSession, folder: str) -> DataFrame:
         F.struct(F.col("company_name").alias("name"), own_domain(F.col("website"), hosts).alias("domain")),
         F.struct(F.regexp_extract(F.when(named, rest), "^([^|]*)", 1).alias("name"), own_domain(F.when(kind == "d:", rest), hosts).alias("domain")),
     )).alias("x"), F.coalesce(own_state, key_state).alias("state"))
-    parsed = base.select("row_number", name_struct()("x.name").alias("p"), "state", F.col("x.domain").alias("domain"))
+    words = learn_words(rows.select(F.col("company_name").alias("name")).unionByName(table(spark, folder, "companies").select(F.col("canonical_name").alias("name"))), "name")
+    parsed = base.select("row_number", name_struct(words)("x.name").alias("p"), "state", F.col("x.domain").alias("domain"))
     return parsed.select("row_number", "p.core", "p.sound", "p.modifier", "p.trade", "state", F.lit(None).cast("string").alias("city"), "domain").distinct()
 
 

@@ -5,26 +5,25 @@ from __future__ import annotations
 import math
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import ArrayType, BooleanType, LongType
 
 from ..functions.geo import city_key, state_code
-from ..functions.names import core_close, jaro_winkler, monge_elkan, name_struct
 from ..functions.web import own_domain
 from ..session import release, settle
 from .components import small_components
+from .names import core_close, jaro_winkler, learn_words, monge_elkan, name_struct
 from .tables import payloads, platforms, table
 
-#: Sharing of q-grams from which two spellings are to be found, and the share of such pairs that bands must find.
-SIMILARITY, RECALL, ROWS = 0.36, 0.99, 1
+#: Sharing of q-grams from which two spellings are to be found, the share of such pairs that bands must find, and the hashes of a band.
+SIMILARITY, RECALL, ROWS = 0.4, 0.99, 2
 #: Columns of rows that are matched.
 SHAPE = ["core", "sound", "modifier", "trade", "state", "city", "domain"]
-#: A band bucket above this is compared through its heaviest form first.
-HOT_BUCKET = 64
 #: Monge-Elkan similarity of the parts of two names from which they are looked at letter by letter.
-PARTS = 0.86
+PARTS = 0.8
 
 
 def band_count(similarity: float, recall: float, rows: int) -> int:
@@ -48,50 +47,66 @@ def _spelling(a: pd.Series, b: pd.Series, words: pd.Series) -> pd.Series:
     return pd.Series([same(*sorted((x, y)), w) for x, y, w in zip(a, b, words)], dtype=bool)
 
 
-def _salted(k: int):
-    return lambda gram: F.xxhash64(gram, F.lit(k))
+_MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Well mixed bits of 64-bit numbers."""
+    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
+    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
+    return x ^ (x >> np.uint64(31))
+
+
+def band_keys(texts: list[str], bands: int, rows: int) -> np.ndarray:
+    """Keys (texts x bands) of the bands of MinHash signatures over padded 2-grams."""
+    salts = _mixed(np.arange(1, bands * rows + 1, dtype=np.uint64))
+    codes = np.frombuffer("".join(f"^{t}$" for t in texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    ends = np.cumsum([len(t) + 2 for t in texts])
+    inside = np.ones(len(codes), dtype=bool)
+    inside[ends - 1] = False  # a text's last sign begins no gram
+    at = np.flatnonzero(inside)
+    grams = _mixed((codes[at] << np.uint64(32)) | codes[at + 1])
+    starts = np.concatenate(([0], ends[:-1])) - np.arange(len(texts))
+    least = np.minimum.reduceat(_mixed(grams[:, None] ^ salts[None, :]), starts, axis=0).reshape(len(texts), bands, rows)
+    key = _mixed(np.arange(bands, dtype=np.uint64))[None, :]
+    for r in range(rows):
+        key = _mixed(key ^ least[:, :, r])
+    return key.view(np.int64)
+
+
+def _signatures(bands: int, rows: int):
+    @F.pandas_udf(ArrayType(LongType()))
+    def signed(texts: pd.Series) -> pd.Series:
+        values = list(texts)
+        parts = [band_keys(values[i : i + 1000], bands, rows) for i in range(0, len(values), 1000)]
+        return pd.Series([row for part in parts for row in part], dtype=object)
+
+    return signed
 
 
 def banded(forms: DataFrame, *block: str) -> DataFrame:
     """Every form with its band keys: MinHash over the padded 2-grams of ``sound``, within the values of ``block``."""
-    bands = band_count(SIMILARITY, RECALL, ROWS)
-    padded = F.concat(F.lit("^"), F.col("sound"), F.lit("$"))
-    grams = F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.xxhash64(F.substring(padded, i, F.lit(2))))
-    hashed = forms.withColumn("__g", F.array_distinct(grams))
-    least = [F.array_min(F.transform("__g", _salted(k))) for k in range(bands * ROWS)]
-    keys = F.array(*[F.xxhash64(F.lit(b), *least[b * ROWS : (b + 1) * ROWS], *[F.col(c) for c in block]) for b in range(bands)])
-    return hashed.withColumn("band", F.explode(keys)).drop("__g")
+    signed = forms.withColumn("__key", F.explode(_signatures(band_count(SIMILARITY, RECALL, ROWS), ROWS)("sound")))
+    return signed.withColumn("band", F.xxhash64("__key", *block)).drop("__key")
 
 
 def spelling_pairs(forms: DataFrame) -> DataFrame:
     """Links (u, v) between forms of the same modifier, trade and state whose cores are spellings of one name.
 
-    Forms share a band bucket to be compared.  In a bucket above HOT_BUCKET everything is compared with its heaviest form
-    first; forms linked to that are in one cluster with it and aren't compared with each other, but what isn't linked to
-    it is compared with all others, so no link that joins clusters is lost.
+    Forms that share a band bucket are compared, all of them: a bucket of two gives its pair as it is counted, larger ones
+    are joined with themselves, where a hot one is split by Spark's skew join.
     """
     block = ["modifier", "trade", "state"]
     shared = forms.groupBy(*[F.coalesce(c, F.lit("")).alias(f"__{c}") for c in block]).count().filter("count > 1").drop("count")
     alone = forms.join(shared, [F.coalesce(forms[c], F.lit("")) == shared[f"__{c}"] for c in block], "left_semi")
     texts = forms.select("form", "core", F.concat_ws(" ", "modifier", "trade").alias("words"))
-    filed = settle(banded(alone.select("form", "sound", *block, "weight"), *block).select("band", "form", "weight"))
-    heads = filed.groupBy("band").agg(F.count("*").alias("n"), F.max_by("form", F.struct("weight", "form")).alias("head")).filter("n > 1")
-    inside = settle(filed.select("band", "form").join(heads, "band"))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).filter("u <> v").distinct()
-        pairs = pairs.join(texts.select(F.col("form").alias("u"), F.col("core").alias("cu"), "words"), "u").join(texts.select(F.col("form").alias("v"), F.col("core").alias("cv")), "v")
-        return settle(pairs.filter(_spelling("cu", "cv", "words")).select("u", "v"))
-
-    small = inside.filter(F.col("n") <= HOT_BUCKET).select("band", "form")
-    hot = inside.filter(F.col("n") > HOT_BUCKET).select("band", "form", "head")
-    pairs = small.withColumnRenamed("form", "u").join(small.withColumnRenamed("form", "v"), "band").filter("u < v").select("u", "v")
-    linked = verified(pairs.unionByName(hot.select(F.col("head").alias("u"), F.col("form").alias("v"))))
-    if not hot.take(1):
-        return linked
-    spokes = linked.select(F.col("u").alias("head"), F.col("v").alias("form")).unionByName(linked.select(F.col("v").alias("head"), F.col("u").alias("form")))
-    rest = hot.filter("form <> head").join(spokes, ["head", "form"], "left_anti").select("band", F.col("form").alias("u"))
-    return linked.unionByName(verified(rest.join(hot.select("band", F.col("form").alias("v")), "band").select("u", "v"))).distinct()
+    filed = settle(banded(alone.select("form", "sound", *block), *block).select("band", "form"))
+    buckets = settle(filed.groupBy("band").agg(F.count("*").alias("n"), F.min("form").alias("u"), F.max("form").alias("v")).filter("u < v"))
+    several = filed.join(buckets.filter("n > 2").select("band"), "band", "left_semi")
+    joined = several.withColumnRenamed("form", "u").join(several.withColumnRenamed("form", "v"), "band").filter("u < v").select("u", "v")
+    pairs = buckets.filter("n = 2").select("u", "v").unionByName(joined).distinct()
+    pairs = pairs.join(texts.select(F.col("form").alias("u"), F.col("core").alias("cu"), "words"), "u").join(texts.select(F.col("form").alias("v"), F.col("core").alias("cv")), "v")
+    return settle(pairs.filter(_spelling("cu", "cv", "words")).select("u", "v"))
 
 
 def star_clusters(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -108,11 +123,12 @@ def star_clusters(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     open_ = settle(both.join(ra, "a").join(rb, "b"))
     satellites: list[DataFrame] = []
     while open_.take(1):
-        centers = settle(open_.groupBy("a", "ra").agg(F.max("rb").alias("best")).filter("ra > best").select(F.col("a").alias("form")))
-        near = settle(open_.join(centers.withColumnRenamed("form", "b"), "b", "left_semi").select(F.col("a").alias("form")).distinct())
-        satellites.append(near)
-        closed = near.unionByName(centers)
-        left = settle(open_.join(closed.withColumnRenamed("form", "a"), "a", "left_anti").join(closed.withColumnRenamed("form", "b"), "b", "left_anti"))
+        first = open_.groupBy("a", "ra").agg(F.max("rb").alias("best")).filter("ra > best").select(F.col("a").alias("form"))
+        # a center and its open neighbours are closed
+        closed = settle(open_.join(first.withColumnRenamed("form", "a"), "a", "left_semi").select(F.explode(F.array(F.struct(F.col("a").alias("form"), F.lit(True).alias("center")), F.struct(F.col("b").alias("form"), F.lit(False).alias("center")))).alias("x")).select("x.*").distinct())
+        satellites.append(closed.filter("not center").select("form"))
+        gone = closed.select("form").distinct()
+        left = settle(open_.join(gone.withColumnRenamed("form", "a"), "a", "left_anti").join(gone.withColumnRenamed("form", "b"), "b", "left_anti"))
         release(open_)
         open_ = left
     out = nodes.select("form")
@@ -217,7 +233,8 @@ def _company_rows(spark: SparkSession, folder: str) -> DataFrame:
     behind = raw.join(assigned, raw.id == assigned.raw_record_id).select("company_id", "name", own_domain(F.col("website"), hosts).alias("domain"),
                                                                         state_code(F.col("state")).alias("state"), city_key(F.col("city")).alias("city"), F.lit(0).alias("stored"))
     together = stored.unionByName(behind).repartition("company_id")  # a company's equal names meet in one worker, which parses them once
-    rows = settle(together.withColumn("parsed", name_struct()("name")))
+    words = learn_words(table(spark, folder, "companies"), "canonical_name")
+    rows = settle(together.withColumn("parsed", name_struct(words)("name")))
     states = rows.filter("state is not null").groupBy("company_id", "state").agg(F.max("stored").alias("s"), F.count("*").alias("n")).groupBy("company_id").agg(F.max_by("state", F.struct("s", "n", "state")).alias("home"))
     return rows.join(states, "company_id", "left").select("company_id", "parsed.core", "parsed.sound", "parsed.modifier", "parsed.trade", F.col("home").alias("state"), "city", "domain")
 
