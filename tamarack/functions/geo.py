@@ -42,7 +42,8 @@ for _i in range(0xC0, 0x250):
 
 def ascii_fold(c: Column) -> Column:
     """Letters without their accents; what has no plain letter vanishes. Null stays null."""
-    return F.regexp_replace(F.translate(c, "".join(_ACCENTS), "".join(_ACCENTS.values())), "[^\\x00-\\x7F]", "")
+    folded = F.regexp_replace(F.translate(c, "".join(_ACCENTS), "".join(_ACCENTS.values())), "[^\\x00-\\x7F]", "")
+    return F.when(F.length(c) == F.octet_length(c), c).otherwise(folded)  # plain already
 
 
 def literal_map(table: dict[str, str]) -> Column:
@@ -66,7 +67,8 @@ def state_code(c: Column) -> Column:
         fuzzy = let(near, lambda n: F.when(n["d"] <= F.when(F.length(t) <= 5, 1).otherwise(2), n["s"]))
         return F.coalesce(F.try_element_at(literal_map(_TABLE), t), F.when(F.length(t) >= 4, fuzzy))
 
-    return let(text, code)
+    plain = F.upper(F.trim(c))
+    return F.when(plain.isin(*STATES), plain).otherwise(let(text, code))
 
 
 def state_code_or_text(c: Column) -> Column:
@@ -80,11 +82,13 @@ def state_code_or_text(c: Column) -> Column:
 def city_key(c: Column) -> Column:
     """Folded lower-case city with Saint and Fort spelt out; a trailing state code after a comma goes. Blank gives null."""
     text = F.lower(ascii_fold(c))
-    text = F.regexp_replace(text, ",\\s*[a-z]{2}\\s*$", "")
-    text = F.trim(F.regexp_replace(text, "[^a-z0-9]+", " "))
-    for short, full in (("st", "saint"), ("ft", "fort"), ("mt", "mount")):
-        text = F.regexp_replace(text, f"\\b{short}\\b", full)
-    return F.nullif(text, F.lit(""))
+    text = F.when(text.contains(","), F.regexp_replace(text, ",\\s*[a-z]{2}\\s*$", "")).otherwise(text)
+
+    def spelt(t: Column) -> Column:
+        long = reduce(lambda x, p: F.regexp_replace(x, f"\\b{p[0]}\\b", p[1]), (("st", "saint"), ("ft", "fort"), ("mt", "mount")), t)
+        return F.when(t.rlike("\\b[sfm]t\\b"), long).otherwise(t)
+
+    return F.nullif(let(F.trim(F.regexp_replace(text, "[^a-z0-9]+", " ")), spelt), F.lit(""))
 
 
 def city_plain(c: Column) -> Column:
