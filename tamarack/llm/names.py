@@ -12,6 +12,8 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -20,7 +22,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ..functions.geo import ascii_fold
 from ..session import release, settle
 
 #: Share of all words from which a word is generic: there are at most its inverse of them.
@@ -366,10 +367,16 @@ def learn_words(names: DataFrame, name: str, share: float = SHARE, beside: int =
     generic words side by side the last is a trade; a word is one or the other by the majority of its places, and a trade
     if it has none.  At most 1 / share words come to the driver.  Nulls and empty tables give no words.
     """
-    text = F.lower(ascii_fold(F.col(name)))
-    words = names.select(text.alias("t")).filter("t is not null").distinct().select(F.regexp_extract_all("t", F.lit("[a-z0-9]+"), F.lit(0)).alias("w"))
-    pairs = words.select(F.posexplode("w").alias("i", "word"), "w").select("word", F.coalesce(F.get("w", F.col("i") + 1), F.lit("")).alias("next"))
-    counts = settle(pairs.groupBy("word", "next").agg(F.count("*").alias("n")))
+    def pairs(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            seen: Counter = Counter()
+            for text in part["t"]:
+                words = _WORDS.findall((text if text.isascii() else fold(text)).lower())
+                seen.update(zip(words, [*words[1:], ""]))
+            yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["word", "next", "n"])
+
+    texts = names.select(F.col(name).alias("t")).filter("t is not null").distinct()
+    counts = settle(texts.mapInPandas(pairs, "word string, next string, n bigint").groupBy("word", "next").agg(F.sum("n").alias("n")))
     total = counts.agg(F.sum("n").alias("n")).first().n or 0
     sides = counts.select("word", "n", F.substring("next", 1, 4).alias("by")).unionByName(counts.filter("next <> ''").select(F.col("next").alias("word"), F.lit(0).cast("bigint").alias("n"), F.substring("word", 1, 4).alias("by")))
     known = LEGAL | STOP | set(FAMILY) | set(PREFIXES) | set(_GIVEN)

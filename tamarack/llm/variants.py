@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, LongType
+from pyspark.sql.types import BooleanType
 
 from ..functions.geo import city_key, state_code
 from ..functions.web import own_domain
@@ -74,20 +76,27 @@ def band_keys(texts: list[str], bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _signatures(bands: int, rows: int):
-    @F.pandas_udf(ArrayType(LongType()))
-    def signed(texts: pd.Series) -> pd.Series:
-        values = list(texts)
-        parts = [band_keys(values[i : i + 1000], bands, rows) for i in range(0, len(values), 1000)]
-        return pd.Series([row for part in parts for row in part], dtype=object)
+def banded(forms: DataFrame, *block: str) -> DataFrame:
+    """(band, form) of every form and band: MinHash over the padded 2-grams of ``sound``, within the values of ``block``."""
+    bands = band_count(SIMILARITY, RECALL, ROWS)
 
-    return signed
+    def file(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                keys = band_keys(part.column(1).to_pylist(), bands, ROWS).view(np.uint64)
+                inside = part.column(2).to_numpy().view(np.uint64)
+                band = _mixed(keys ^ inside[:, None]).view(np.int64).ravel()
+                yield pa.record_batch([pa.array(band), pa.array(np.repeat(part.column(0).to_numpy(), bands))], names=["band", "form"])
 
+    return forms.select("form", "sound", F.xxhash64(*block).alias("block")).mapInArrow(file, "band bigint, form bigint")
 
-def banded(forms: DataFrame, *block: str) -> DataFrame:
-    """Every form with its band keys: MinHash over the padded 2-grams of ``sound``, within the values of ``block``."""
-    signed = forms.withColumn("__key", F.explode(_signatures(band_count(SIMILARITY, RECALL, ROWS), ROWS)("sound")))
-    return signed.withColumn("band", F.xxhash64("__key", *block)).drop("__key")
+
+def spelt_alike(pairs: DataFrame, forms: DataFrame) -> DataFrame:
+    """Those of the pairs (u, v) of forms of the same words whose cores are spellings of one name."""
+    side = lambda n, *more: forms.select(F.col("form").alias(n), F.col("core").alias(f"c{n}"), *more)
+    both = pairs.join(side("u", F.concat_ws(" ", "modifier", "trade").alias("words")), "u").join(side("v"), "v")
+    return both.filter(_spelling("cu", "cv", "words")).select("u", "v")
 
 
 def spelling_pairs(forms: DataFrame) -> DataFrame:
@@ -99,14 +108,11 @@ def spelling_pairs(forms: DataFrame) -> DataFrame:
     block = ["modifier", "trade", "state"]
     shared = forms.groupBy(*[F.coalesce(c, F.lit("")).alias(f"__{c}") for c in block]).count().filter("count > 1").drop("count")
     alone = forms.join(shared, [F.coalesce(forms[c], F.lit("")) == shared[f"__{c}"] for c in block], "left_semi")
-    texts = forms.select("form", "core", F.concat_ws(" ", "modifier", "trade").alias("words"))
-    filed = settle(banded(alone.select("form", "sound", *block), *block).select("band", "form"))
+    filed = settle(banded(alone, *block))
     buckets = settle(filed.groupBy("band").agg(F.count("*").alias("n"), F.min("form").alias("u"), F.max("form").alias("v")).filter("u < v"))
     several = filed.join(buckets.filter("n > 2").select("band"), "band", "left_semi")
     joined = several.withColumnRenamed("form", "u").join(several.withColumnRenamed("form", "v"), "band").filter("u < v").select("u", "v")
-    pairs = buckets.filter("n = 2").select("u", "v").unionByName(joined).distinct()
-    pairs = pairs.join(texts.select(F.col("form").alias("u"), F.col("core").alias("cu"), "words"), "u").join(texts.select(F.col("form").alias("v"), F.col("core").alias("cv")), "v")
-    return settle(pairs.filter(_spelling("cu", "cv", "words")).select("u", "v"))
+    return settle(spelt_alike(buckets.filter("n = 2").select("u", "v").unionByName(joined).distinct(), forms))
 
 
 def star_clusters(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -153,13 +159,10 @@ def form_table(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
 
 def placeless_pairs(forms: DataFrame) -> DataFrame:
     """Links (u, v) from forms without a state, u, to forms of any state whose names are spellings of theirs."""
-    parts = ["form", "core", "sound", "modifier", "trade"]
-    lost = banded(forms.filter("state is null").select(*parts), "modifier", "trade")
-    kinds = forms.filter("state is null").select("modifier", "trade").distinct()
-    known = banded(forms.filter("state is not null").select(*parts).join(kinds, ["modifier", "trade"], "left_semi"), "modifier", "trade")
-    a = lost.select("band", F.col("form").alias("u"), F.col("core").alias("cu"), F.concat_ws(" ", "modifier", "trade").alias("words"))
-    b = known.select("band", F.col("form").alias("v"), F.col("core").alias("cv"))
-    return a.join(b, "band").drop("band").distinct().filter(_spelling("cu", "cv", "words")).select("u", "v")
+    lost = forms.filter("state is null")
+    known = forms.filter("state is not null").join(lost.select("modifier", "trade").distinct(), ["modifier", "trade"], "left_semi")
+    met = banded(lost, "modifier", "trade").withColumnRenamed("form", "u").join(banded(known, "modifier", "trade").withColumnRenamed("form", "v"), "band").select("u", "v").distinct()
+    return spelt_alike(met, forms)
 
 
 def placed(key: str, held: DataFrame, forms: DataFrame, cities: DataFrame, near: DataFrame) -> DataFrame:
@@ -227,15 +230,15 @@ def _company_rows(spark: SparkSession, folder: str) -> DataFrame:
     hosts = platforms(spark, folder)
     stored = table(spark, folder, "companies").select(F.col("id").alias("company_id"), F.col("canonical_name").alias("name"), own_domain(F.col("domain"), hosts).alias("domain"),
                                                       state_code(F.col("state")).alias("state"), city_key(F.col("city")).alias("city"), F.lit(1).alias("stored"))
-    known = table(spark, folder, "companies").select(F.col("id").alias("company_id")).distinct()
-    assigned = table(spark, folder, "company_records").select("company_id", "raw_record_id").join(known, "company_id", "left_semi").distinct()
+    assigned = table(spark, folder, "company_records").select("company_id", "raw_record_id")
     raw = payloads(table(spark, folder, "raw_records"), "name", "website", "state", "city")
     behind = raw.join(assigned, raw.id == assigned.raw_record_id).select("company_id", "name", own_domain(F.col("website"), hosts).alias("domain"),
                                                                         state_code(F.col("state")).alias("state"), city_key(F.col("city")).alias("city"), F.lit(0).alias("stored"))
-    together = stored.unionByName(behind).repartition("company_id")  # a company's equal names meet in one worker, which parses them once
+    # repeated deliveries count, but are parsed once
+    together = stored.unionByName(behind).groupBy("company_id", "name", "domain", "state", "city").agg(F.max("stored").alias("stored"), F.count("*").alias("n"))
     words = learn_words(table(spark, folder, "companies"), "canonical_name")
     rows = settle(together.withColumn("parsed", name_struct(words)("name")))
-    states = rows.filter("state is not null").groupBy("company_id", "state").agg(F.max("stored").alias("s"), F.count("*").alias("n")).groupBy("company_id").agg(F.max_by("state", F.struct("s", "n", "state")).alias("home"))
+    states = rows.filter("state is not null").groupBy("company_id", "state").agg(F.max("stored").alias("s"), F.sum("n").alias("n")).groupBy("company_id").agg(F.max_by("state", F.struct("s", "n", "state")).alias("home"))
     return rows.join(states, "company_id", "left").select("company_id", "parsed.core", "parsed.sound", "parsed.modifier", "parsed.trade", F.col("home").alias("state"), "city", "domain")
 
 

@@ -148,7 +148,7 @@ def test_two_edits_lie_within_the_radius(spark):
         pairs += [(sound(w), sound(x))] if core_close(w, x) else []
     d = spark.createDataFrame(pairs, "a string, b string")
     far = d.filter(F.bit_count(bit_vector(F.col("a")).bitwiseXOR(bit_vector(F.col("b")))) > RADIUS).count()
-    assert len(pairs) > 200 and far <= 0.01 * len(pairs)
+    assert len(pairs) > 100 and far <= 0.01 * len(pairs)
 
 
 def test_confidence_is_of_the_score_it_is_fitted_on(spark):
