@@ -24,12 +24,14 @@ SHARED_HOSTS = (
 
 def host_of(c: Column) -> Column:
     """Host of a web address without scheme, port, path, www and outer dots; null for mail addresses and for what is no host."""
-    text = F.lower(F.trim(c))
-    bare = F.regexp_replace(text, "^([a-z][a-z0-9+.-]*:)?//", "")
-    mail = F.regexp_extract(bare, "^([^/?#]*)", 1).contains("@")
-    host = F.regexp_extract(bare, "^([^/?#:\\s]*)", 1)
-    host = F.regexp_replace(F.regexp_replace(host, "^\\.+|\\.+$", ""), "^www\\d*\\.", "")
-    return F.when(~mail & host.rlike("^([a-z0-9]([a-z0-9_-]*[a-z0-9])?\\.)+[a-z]{2,}$"), host)
+    authority = F.regexp_extract(F.lower(F.trim(c)), "^(?:(?:[a-z][a-z0-9+.-]*:)?//)?([^/?#]*)", 1)
+
+    def host(a: Column) -> Column:
+        bare = F.btrim(F.regexp_extract(a, "^([^:\\s]*)", 1), F.lit("."))
+        own = F.when(bare.startswith("www"), F.regexp_replace(bare, "^www\\d*\\.", "")).otherwise(bare)
+        return let(own, lambda h: F.when(~a.contains("@") & h.rlike("^([a-z0-9]([a-z0-9_-]*[a-z0-9])?\\.)+[a-z]{2,}$"), h))
+
+    return let(authority, host)
 
 
 def registrable(host: Column) -> Column:
