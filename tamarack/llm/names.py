@@ -390,16 +390,13 @@ def learn_words(names: DataFrame, name: str, share: float = SHARE, beside: int =
 
 
 def name_struct(vocabulary: Vocabulary):
-    """Arrow UDF: the parse of a name as a struct of core, its sound, modifier, trade, given (all readings), initial and prefix; null for no name."""
+    """Arrow UDF: the parse of a name as a struct of core, its sound, modifier and trade; null for no name."""
     modifiers, trades = vocabulary
 
-    @pandas_udf("core string, sound string, modifier string, trade string, given string, initial string, prefix string")
+    @pandas_udf("core string, sound string, modifier string, trade string")
     def parsed(names: pd.Series) -> pd.DataFrame:
         parse = lexicon(modifiers, trades).parse
         rows = [parse(n) for n in names]
-        return pd.DataFrame(
-            [(None,) * 7 if p is None else (p.core, sound(p.core), p.modifier, p.trade, "|".join(p.given), p.initial, p.prefix) for p in rows],
-            columns=["core", "sound", "modifier", "trade", "given", "initial", "prefix"],
-        )
+        return pd.DataFrame([(None,) * 4 if p is None else (p.core, sound(p.core), p.modifier, p.trade) for p in rows], columns=["core", "sound", "modifier", "trade"])
 
     return parsed

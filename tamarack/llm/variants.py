@@ -21,7 +21,7 @@ from .names import core_close, jaro_winkler, learn_words, monge_elkan, name_stru
 from .tables import payloads, platforms, table
 
 #: Sharing of q-grams from which two spellings are to be found, the share of such pairs that bands must find, and the hashes of a band.
-SIMILARITY, RECALL, ROWS = 0.4, 0.99, 2
+SIMILARITY, RECALL, ROWS = 0.45, 0.99, 2
 #: Columns of rows that are matched.
 SHAPE = ["core", "sound", "modifier", "trade", "state", "city", "domain"]
 #: Monge-Elkan similarity of the parts of two names from which they are looked at letter by letter.
@@ -94,9 +94,13 @@ def banded(forms: DataFrame, *block: str) -> DataFrame:
 
 def spelt_alike(pairs: DataFrame, forms: DataFrame) -> DataFrame:
     """Those of the pairs (u, v) of forms of the same words whose cores are spellings of one name."""
-    side = lambda n, *more: forms.select(F.col("form").alias(n), F.col("core").alias(f"c{n}"), *more)
+    side = lambda n, *more: forms.select(F.col("form").alias(n), F.col("core").alias(f"c{n}"), F.col("sound").alias(f"s{n}"), *more)
     both = pairs.join(side("u", F.concat_ws(" ", "modifier", "trade").alias("words")), "u").join(side("v"), "v")
-    return both.filter(_spelling("cu", "cv", "words")).select("u", "v")
+    # an edit of neighbours that changed places is two edits here
+    short = F.least(F.length("cu"), F.length("cv"))
+    room = F.when(short < 4, 0).when(short < 7, 2).when(short < 14, 4).otherwise(6)
+    near = (F.levenshtein("cu", "cv") <= room) | (F.levenshtein("su", "sv") <= 2)
+    return both.filter(near).filter(_spelling("cu", "cv", "words")).select("u", "v")
 
 
 def spelling_pairs(forms: DataFrame) -> DataFrame:
@@ -110,7 +114,7 @@ def spelling_pairs(forms: DataFrame) -> DataFrame:
     alone = forms.join(shared, [F.coalesce(forms[c], F.lit("")) == shared[f"__{c}"] for c in block], "left_semi")
     filed = settle(banded(alone, *block))
     buckets = settle(filed.groupBy("band").agg(F.count("*").alias("n"), F.min("form").alias("u"), F.max("form").alias("v")).filter("u < v"))
-    several = filed.join(buckets.filter("n > 2").select("band"), "band", "left_semi")
+    several = settle(filed.join(buckets.filter("n > 2").select("band"), "band", "left_semi"))
     joined = several.withColumnRenamed("form", "u").join(several.withColumnRenamed("form", "v"), "band").filter("u < v").select("u", "v")
     return settle(spelt_alike(buckets.filter("n = 2").select("u", "v").unionByName(joined).distinct(), forms))
 
