@@ -121,12 +121,18 @@ def skeleton(short: str, word: str) -> bool:
     return all(c in rest for c in short)
 
 
+_HEARD = (("rn", "m"), ("ph", "f"), ("ck", "k"), ("dg", "g"), ("ai", "a"), ("au", "ow"), ("ou", "ow"))
+_LIKE = str.maketrans("ywcqz", "ivkks")
+_DOUBLED = re.compile(r"(.)\1+")
+
+
 @lru_cache(1 << 16)
 def sound(text: str) -> str:
     """One spelling for letters that are heard or read alike."""
-    for a, b in (("rn", "m"), ("ph", "f"), ("ck", "k"), ("dg", "g"), ("ai", "a"), ("au", "ow"), ("ou", "ow"), ("y", "i"), ("w", "v"), ("c", "k"), ("q", "k"), ("z", "s")):
-        text = text.replace(a, b)
-    return re.sub(r"(.)\1+", r"\1", text)
+    for a, b in _HEARD:
+        if a in text:
+            text = text.replace(a, b)
+    return _DOUBLED.sub(r"\1", text.translate(_LIKE))
 
 
 def _letters(words) -> tuple[tuple[str, frozenset[str]], ...]:
@@ -181,12 +187,11 @@ class Lexicon:
     def __init__(self, modifiers: tuple[str, ...], trades: tuple[str, ...]) -> None:
         self.words = {"m": frozenset(modifiers), "t": frozenset(trades)}
         self._ordered = {"m": tuple(sorted(modifiers)), "t": tuple(sorted(trades))}
-        self._spelt = {k: _letters(v) for k, v in self._ordered.items()}
+        self._lengths: dict[tuple[str, int], tuple[tuple[str, frozenset[str]], ...]] = {}
         self._all = (*self._ordered["t"], *self._ordered["m"])
         self._long = tuple(sorted(self._ordered["t"], key=len, reverse=True)) + tuple(sorted(self._ordered["m"], key=len, reverse=True))
-        self._works = any(t.endswith("works") for t in trades)
         # what was found of a word or name is kept a while, by this lexicon's caches
-        self.meant, self.parts, self.assign, self.parse = (lru_cache(1 << 16)(f) for f in (self._meant, self._parts, self._assign, self._parse))
+        self.meant, self.both, self.parts, self.assign, self.parse = (lru_cache(1 << 16)(f) for f in (self._meant, self._both, self._parts, self._assign, self._parse))
 
     def _meant(self, token: str, kind: str) -> tuple[str, int]:
         """The generic word that a token is meant to be, and how far it is: 0 the word, 1 a misspelling, 2 a short form, 9 none."""
@@ -196,9 +201,9 @@ class Lexicon:
         plain = token.translate(_DIGITS)
         if len(plain) >= 5:
             others = {plain.replace("m", "rn"), plain.replace("rn", "m"), plain.replace("l", "i", 1), token.replace("1", "i").translate(_DIGITS)} - {plain}
-            near = _near(plain, self._spelt[kind], 1 if len(plain) < 7 else 2)
+            near = _near(plain, self._about(kind, len(plain)), 1 if len(plain) < 7 else 2)
             for o in others:
-                near += _near(o, self._spelt[kind], 1)
+                near += _near(o, self._about(kind, len(o)), 1)
             if near:
                 return min(near)[1], 1
         if token in SHORT:
@@ -209,6 +214,17 @@ class Lexicon:
                 return near[0][3], 2
         return "", 9
 
+    def _both(self, token: str) -> tuple[tuple[str, int], tuple[str, int]]:
+        """What a token is meant to be as a trade and as a modifier."""
+        return self.meant(token, "t"), self.meant(token, "m")
+
+    def _about(self, kind: str, length: int) -> tuple[tuple[str, frozenset[str]], ...]:
+        """Generic words of about a length."""
+        known = self._lengths.get((kind, length))
+        if known is None:
+            known = self._lengths[kind, length] = _letters(w for w in self._ordered[kind] if abs(len(w) - length) <= 2)
+        return known
+
     def _parts(self, token: str) -> tuple[str, ...]:
         """Parts of a token in which the space before or after a generic word was lost."""
         if token in self._all or not (token.endswith(self._all) or token.startswith(self._all)):
@@ -232,11 +248,13 @@ class Lexicon:
         if "'" in text or "`" in text:
             text = _APOSTROPHE.sub("", text)
         text = text.strip()
-        text = _SPLIT_ALIAS.sub("", text) or text
+        if "/" in text or "ba" in text or "ka" in text or " as " in text or "formerly" in text or "d.b.a" in text:
+            text = _SPLIT_ALIAS.sub("", text) or text
         text = text.replace("amp;", " ")
         if "(" in text and not text.startswith("("):
             text = _BRACKETS.sub(self._bracket, text)
-        text = _NOTE.sub(" ", text)
+        if "-" in text or "/" in text or "|" in text:
+            text = _NOTE.sub(" ", text)
         commas = "," in text
         if commas:
             text = _TAIL.sub(lambda m: m[0] if m[1] in LEGAL else " ", text)
@@ -253,13 +271,15 @@ class Lexicon:
         given: tuple[str, ...] = ()
         initial = prefix = family = ""
         taken = [False] * len(parts)
+        read = [self.both(p) if len(p) > 1 else (("", 9), ("", 9)) for p in parts]
         for grade in (0, 1):
-            for kind in "tm":
-                for i, p in reversed(list(enumerate(parts))):
-                    if not taken[i] and not found[kind] and len(p) > 1:
-                        w, how = self.meant(p, kind)
-                        if how == grade and (how == 0 or p not in _GIVEN):
-                            found[kind], taken[i] = w, True
+            for side, kind in enumerate("tm"):
+                if found[kind]:
+                    continue
+                for i in range(len(parts) - 1, -1, -1):
+                    if not taken[i] and read[i][side][1] == grade and (grade == 0 or parts[i] not in _GIVEN):
+                        found[kind], taken[i] = read[i][side][0], True
+                        break
         for i, p in enumerate(parts):
             if taken[i]:
                 continue

@@ -150,15 +150,13 @@ def star_clusters(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def form_table(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Forms of rows (key, core, sound, modifier, trade, state): (distinct forms with their weight), and (key, form).
+    """Forms of rows (key, core, sound, modifier, trade, state): (distinct forms with their weight), and (key, form) of every row.
 
     Rows that have no core are none.  A null state is a form of its own, which ``spelling_pairs`` links to its equals only.
     """
-    named = rows.filter("core is not null and core <> ''")
-    form = F.xxhash64("core", "modifier", "trade", F.coalesce("state", F.lit("?")))
-    held = settle(named.withColumn("form", form).groupBy(key, "form", "core", "sound", "modifier", "trade", "state").agg(F.count("*").alias("weight")))
-    forms = settle(held.groupBy("form", "core", "sound", "modifier", "trade", "state").agg(F.sum("weight").alias("weight")))
-    return forms, held.select(key, "form")
+    named = rows.filter("core is not null and core <> ''").withColumn("form", F.xxhash64("core", "modifier", "trade", F.coalesce("state", F.lit("?"))))
+    forms = settle(named.groupBy("form", "core", "sound", "modifier", "trade", "state").agg(F.count("*").alias("weight")))
+    return forms, named.select(key, "form")
 
 
 def placeless_pairs(forms: DataFrame) -> DataFrame:
@@ -238,11 +236,10 @@ def _company_rows(spark: SparkSession, folder: str) -> DataFrame:
     raw = payloads(table(spark, folder, "raw_records"), "name", "website", "state", "city")
     behind = raw.join(assigned, raw.id == assigned.raw_record_id).select("company_id", "name", own_domain(F.col("website"), hosts).alias("domain"),
                                                                         state_code(F.col("state")).alias("state"), city_key(F.col("city")).alias("city"), F.lit(0).alias("stored"))
-    # repeated deliveries count, but are parsed once
-    together = stored.unionByName(behind).groupBy("company_id", "name", "domain", "state", "city").agg(F.max("stored").alias("stored"), F.count("*").alias("n"))
+    together = stored.unionByName(behind)
     words = learn_words(table(spark, folder, "companies"), "canonical_name")
     rows = settle(together.withColumn("parsed", name_struct(words)("name")))
-    states = rows.filter("state is not null").groupBy("company_id", "state").agg(F.max("stored").alias("s"), F.sum("n").alias("n")).groupBy("company_id").agg(F.max_by("state", F.struct("s", "n", "state")).alias("home"))
+    states = rows.filter("state is not null").groupBy("company_id", "state").agg(F.max("stored").alias("s"), F.count("*").alias("n")).groupBy("company_id").agg(F.max_by("state", F.struct("s", "n", "state")).alias("home"))
     return rows.join(states, "company_id", "left").select("company_id", "parsed.core", "parsed.sound", "parsed.modifier", "parsed.trade", F.col("home").alias("state"), "city", "domain")
 
 
