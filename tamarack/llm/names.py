@@ -98,19 +98,21 @@ def osa(a: str, b: str, most: int) -> int:
         return 0
     if len((x := set(a)) - (y := set(b))) > most or len(y - x) > most:  # each edit brings or takes one letter at most
         return most + 1
-    before: list[int] = []
-    last = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row = [i]
-        for j, y in enumerate(b, 1):
-            d = min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, before[j - 2] + 1)
-            row.append(d)
-        if min(row) > most:
-            return most + 1
-        before, last = last, row
-    return last[-1]
+    # all of a row's cells at once, a bit each: where the last row's values rise and fall
+    at: dict[str, int] = {}
+    for i, c in enumerate(a):
+        at[c] = at.get(c, 0) | 1 << i
+    ones, top = (1 << len(a)) - 1, 1 << len(a) - 1 if a else 0
+    up, down, flat, hit_before, far = ones, 0, 0, 0, len(a)
+    for c in b:
+        hit = at.get(c, 0)
+        swapped = ((~flat & hit) << 1) & hit_before
+        flat = ((((hit & up) + up) ^ up) | hit | down | swapped) & ones
+        rise, fall = (down | ~(flat | up)) & ones, flat & up
+        far += bool(rise & top) - bool(fall & top)
+        rise, fall = (rise << 1 | 1) & ones, (fall << 1) & ones
+        up, down, hit_before = (fall | ~(flat | rise)) & ones, rise & flat, hit
+    return min(far, most + 1) if a else min(len(b), most + 1)
 
 
 def skeleton(short: str, word: str) -> bool:
@@ -380,7 +382,7 @@ class Vocabulary(NamedTuple):
 
 
 def learn_words(names: DataFrame, name: str, share: float = SHARE, beside: int = BESIDE) -> Vocabulary:
-    """The generic words of a column of names, counted over all distinct names.
+    """The generic words of a column of names, counted over all names.
 
     A word counts if it makes up ``share`` of all words and ``beside`` different words stand after or before it; legal
     forms, given names, place-like prefixes and words that stand for a family have their own parts in a parse.  Of two
@@ -395,7 +397,7 @@ def learn_words(names: DataFrame, name: str, share: float = SHARE, beside: int =
                 seen.update(zip(words, [*words[1:], ""]))
             yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["word", "next", "n"])
 
-    texts = names.select(F.col(name).alias("t")).filter("t is not null").distinct()
+    texts = names.select(F.col(name).alias("t")).filter("t is not null")
     counts = settle(texts.mapInPandas(pairs, "word string, next string, n bigint").groupBy("word", "next").agg(F.sum("n").alias("n")))
     total = counts.agg(F.sum("n").alias("n")).first().n or 0
     sides = counts.select("word", "n", F.substring("next", 1, 4).alias("by")).unionByName(counts.filter("next <> ''").select(F.col("next").alias("word"), F.lit(0).cast("bigint").alias("n"), F.substring("word", 1, 4).alias("by")))

@@ -93,24 +93,27 @@ def banded(forms: DataFrame, *block: str) -> DataFrame:
 
 
 def spelt_alike(pairs: DataFrame, forms: DataFrame) -> DataFrame:
-    """Those of the pairs (u, v) of forms of the same words whose cores are spellings of one name."""
-    side = lambda n, *more: forms.select(F.col("form").alias(n), F.col("core").alias(f"c{n}"), F.col("sound").alias(f"s{n}"), *more)
+    """Those of the pairs (u, v) of forms of the same words whose cores are spellings of one name; not of two forms that one key alone has."""
+    side = lambda n, *more: forms.select(F.col("form").alias(n), F.col("core").alias(f"c{n}"), F.col("sound").alias(f"s{n}"), F.when(F.col("low") == F.col("high"), F.col("low")).alias(f"k{n}"), *more)
     both = pairs.join(side("u", F.concat_ws(" ", "modifier", "trade").alias("words")), "u").join(side("v"), "v")
     # an edit of neighbours that changed places is two edits here
     short = F.least(F.length("cu"), F.length("cv"))
     room = F.when(short < 4, 0).when(short < 7, 2).when(short < 14, 4).otherwise(6)
     near = (F.levenshtein("cu", "cv") <= room) | (F.levenshtein("su", "sv") <= 2)
-    return both.filter(near).filter(_spelling("cu", "cv", "words")).select("u", "v")
+    told = F.coalesce(F.col("ku") == F.col("kv"), F.lit(False))
+    return both.filter(~told & near).filter(_spelling("cu", "cv", "words")).select("u", "v")
 
 
 def spelling_pairs(forms: DataFrame) -> DataFrame:
     """Links (u, v) between forms of the same modifier, trade and state whose cores are spellings of one name.
 
     Forms that share a band bucket are compared, all of them: a bucket of two gives its pair as it is counted, larger ones
-    are joined with themselves, where a hot one is split by Spark's skew join.
+    are joined with themselves, where a hot one is split by Spark's skew join.  What one key alone has is one organisation
+    without a comparison: blocks of one key are left out, and so are pairs of two forms that only the same key has.
     """
     block = ["modifier", "trade", "state"]
-    shared = forms.groupBy(*[F.coalesce(c, F.lit("")).alias(f"__{c}") for c in block]).count().filter("count > 1").drop("count")
+    held = F.min("low") < F.max("high")
+    shared = forms.groupBy(*[F.coalesce(c, F.lit("")).alias(f"__{c}") for c in block]).agg(held.alias("several")).filter("several").drop("several")
     alone = forms.join(shared, [F.coalesce(forms[c], F.lit("")) == shared[f"__{c}"] for c in block], "left_semi")
     filed = settle(banded(alone, *block))
     buckets = settle(filed.groupBy("band").agg(F.count("*").alias("n"), F.min("form").alias("u"), F.max("form").alias("v")).filter("u < v"))
@@ -150,12 +153,12 @@ def star_clusters(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def form_table(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Forms of rows (key, core, sound, modifier, trade, state): (distinct forms with their weight), and (key, form) of every row.
+    """Forms of rows (key, core, sound, modifier, trade, state): (distinct forms with their weight, lowest and highest key), and (key, form) of every row.
 
     Rows that have no core are none.  A null state is a form of its own, which ``spelling_pairs`` links to its equals only.
     """
     named = rows.filter("core is not null and core <> ''").withColumn("form", F.xxhash64("core", "modifier", "trade", F.coalesce("state", F.lit("?"))))
-    forms = settle(named.groupBy("form", "core", "sound", "modifier", "trade", "state").agg(F.count("*").alias("weight")))
+    forms = settle(named.groupBy("form", "core", "sound", "modifier", "trade", "state").agg(F.count("*").alias("weight"), F.min(key).alias("low"), F.max(key).alias("high")))
     return forms, named.select(key, "form")
 
 
