@@ -72,14 +72,15 @@ def mix(documents: DataFrame, key: str, group: str, size: str, text_hash: str, s
 
 
 def mixture_report(mixed: DataFrame, documents: DataFrame, group: str, size: str, shares: dict[str, Share], total: int) -> DataFrame:
-    """A row a source: its target and actual tokens and shares, the most copies of a document, and the tokens it falls short."""
+    """A row a source: its target and actual tokens, its share of what was drawn, the most copies of a document, and the tokens it falls short."""
     spark = mixed.sparkSession
     wanted = spark.createDataFrame([(n, s.weight, s.max_repeats, s.weight * total) for n, s in shares.items()], f"{group} string, target_weight double, max_repeats int, target_tokens double")
     there = documents.filter(F.col(group).isin(*shares)).groupBy(group).agg(F.sum(size).alias("available_tokens"), F.count("*").alias("documents"))
     got = mixed.groupBy(group).agg(F.sum(F.col(size) * F.col("copies")).alias("actual_tokens"), F.count("*").alias("documents_used"), F.max("copies").alias("most_copies"))
     out = wanted.join(there, group, "left").join(got, group, "left").fillna(0)
-    most = F.col("available_tokens") * F.col("max_repeats")
-    return out.withColumn("actual_share", F.col("actual_tokens") / F.lit(max(1, total))).withColumn("shortfall_tokens", F.greatest(F.lit(0.0), F.col("target_tokens") - most))
+    drawn = out.agg(F.sum("actual_tokens").alias("__drawn"))  # one row
+    shared = out.crossJoin(F.broadcast(drawn)).withColumn("actual_share", F.coalesce(F.try_divide("actual_tokens", "__drawn"), F.lit(0.0))).drop("__drawn")
+    return shared.withColumn("shortfall_tokens", F.greatest(F.lit(0.0), F.col("target_tokens") - F.col("actual_tokens")))
 
 
 def _sized(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, Share], int]:

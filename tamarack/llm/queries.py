@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_report": sampling.p2_report,
     "p2_sample": sampling.p2_sample,
     "p2_joint_sample": sampling.p2_joint_sample,
+    "p2_joint_report": sampling.p2_joint_report,
     "p3_found": splits.p3_found,
     "p3_splits": splits.p3_splits,
     "p3_report": splits.p3_report,
