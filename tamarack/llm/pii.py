@@ -14,8 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import LEGAL, MODIFIERS, NICKNAMES, TRADES
 from ..session import settle
+from .names import FAMILY, LEGAL, NICKNAMES, Vocabulary, learn_words
 from .tables import table
 
 ROUNDS, ACCEPT, SMOOTH = 3, 0.5, 2.0
@@ -30,6 +30,8 @@ KINDS = ("email", "phone", "id_number", "address", "name")
 _AT = r"(?:\s?[@＠]\s?|\s?&#64;\s?|%40|\s?[\[({]\s?(?:at|AT|arroba)\s?[\])}]\s?|\sAT\s)"
 _DOT = r"(?:\.|\s?[\[({]\s?(?:dot|DOT|punto)\s?[\])}]\s?|\sDOT\s)"
 EMAIL = re.compile(rf"(?<![\w.+@＠-])[\w][\w.+%'’-]*{_AT}(?:[\w-]+{_DOT})+[^\W\d_]{{2,}}(?![\w@])")
+#: Mail addresses in plain words, which only what stands around them tells from other text.
+WORDED_EMAIL = re.compile(r"(?<![\w.+@-])[a-z][\w.+-]*\s(?:at|arroba)\s(?:[a-z0-9-]+\s(?:dot|punto)\s)+[a-z]{2,}(?!\w)")
 _SEP = r"[-. \u00a0\u2009\u202f/‐‑–]"
 _EXT = r"(?:,?\s?(?:x|ext\.?|extension|Durchwahl|poste)\s?\d{1,5})?"
 _WORD_DIGIT = r"(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)"
@@ -89,7 +91,7 @@ ADDRESS = re.compile(
 TITLES = set("mr mrs ms miss dr prof frau herr mme mlle m sr sra srta senor senora senorita monsieur madame".split())
 BEFORE_M = set("de à par avec chez pour contre".split())  # elsewhere M. is an initial and no title
 PARTICLES = set("van von de la del der den di da du".split())
-COMPANY = set(MODIFIERS) | set(TRADES) | (LEGAL - {"co", "sa", "ag"}) | set("sons daughters brothers".split())
+COMPANY = (LEGAL - {"co", "sa", "ag"}) | set(FAMILY)
 #: Given names that are words too: in small letters they are no names.
 WORDS_TOO = set("will bill rich rob ray sue may pat mark don gene art dot jack hank jean dale glen grant frank rose joy hope faith grace dawn drew chase bob tom dick rick chuck".split())
 #: Words that begin sentences or stand in headings: capital letters there say nothing.
@@ -135,17 +137,19 @@ def contexts(tokens: list[tuple[str, int, int]], first: int, last: int) -> tuple
 
 @dataclass
 class Learned:
-    """What the corpus taught: given names, and patterns that stand around names, phone numbers and numbers of persons."""
+    """What the corpus taught: given names, patterns that stand around names, phone numbers and numbers of persons, and companies' words."""
 
     given: set[str] = field(default_factory=lambda: {w for k, v in NICKNAMES.items() for w in (k, *v.split())})
     patterns: set[str] = field(default_factory=set)
+    #: words of companies' names
+    company: set[str] = field(default_factory=lambda: set(COMPANY))
 
 
 def _gap(text: str, a: tuple, b: tuple) -> bool:
     return bool(_GAP.match(text[a[2] : b[1]]))
 
 
-def _family(text: str, tokens: list, i: int, style: str) -> int:
+def _family(text: str, tokens: list, i: int, style: str, company: set[str]) -> int:
     """Index after a family name with its particles that begins at token i; i if there is none."""
     j = i
     while j < len(tokens) and tokens[j][0].lower() in PARTICLES and j - i < 2 and j + 1 < len(tokens) and _gap(text, tokens[j], tokens[j + 1]):
@@ -154,12 +158,12 @@ def _family(text: str, tokens: list, i: int, style: str) -> int:
         return i
     word = tokens[j][0]
     low = fold(word)
-    if len(word) < 3 or not word[0].isalpha() or low in NO_NAME or low in COMPANY or low in PARTICLES or _style(word) == "l" and style != "l" or style == "l" and _style(word) != "l":
+    if len(word) < 3 or not word[0].isalpha() or low in NO_NAME or low in company or low in PARTICLES or _style(word) == "l" and style != "l" or style == "l" and _style(word) != "l":
         return i
     return j + 1
 
 
-def _company(text: str, tokens: list, first: int, end: int) -> bool:
+def _company(text: str, tokens: list, first: int, end: int, company: set[str]) -> bool:
     """Whether the tokens are a part of a company's name: its other words stand next to them."""
 
     def words(i: int, step: int) -> Iterator[str]:
@@ -168,13 +172,13 @@ def _company(text: str, tokens: list, first: int, end: int) -> bool:
             i += step
 
     for w in words(end, 1):
-        if fold(w) in COMPANY:
+        if fold(w) in company:
             return True
         if w == "&" or w[0].isupper() and fold(w) not in NO_NAME:
             continue
         break
     before = list(_take(words(first - 1, -1), 3))
-    if before[:1] and before[0].lower() == "of" and len(before) > 1 and fold(before[1]) in COMPANY:
+    if before[:1] and before[0].lower() == "of" and len(before) > 1 and fold(before[1]) in company:
         return True
     return bool(before) and before[0] == "&" and len(before) > 1 and before[1][0].isupper()
 
@@ -214,7 +218,7 @@ def person_names(text: str, tokens: list[tuple[str, int, int]], know: Learned, t
             if j < n and not text[tokens[i][1] : tokens[j][1]].strip(" . \t") == word:
                 i += 1
                 continue
-            k = _family(text, tokens, j, _style(tokens[j][0]) if j < n and tokens[j][0].lower() not in PARTICLES else "T") if j < n else j
+            k = _family(text, tokens, j, _style(tokens[j][0]) if j < n and tokens[j][0].lower() not in PARTICLES else "T", know.company) if j < n else j
             if k > j and fold(tokens[j][0]) not in know.given:
                 spans.append((tokens[j][1], tokens[k - 1][2]))
                 families.add(fold(tokens[k - 1][0]))
@@ -225,8 +229,8 @@ def person_names(text: str, tokens: list[tuple[str, int, int]], know: Learned, t
             if j + 1 < n and len(tokens[j][0]) == 1 and tokens[j][0].isalpha() and tokens[j + 1][0] == "." and _gap(text, tokens[i], tokens[j]):
                 j += 2
             if j < n and _gap(text, tokens[j - 1], tokens[j]):
-                k = _family(text, tokens, j, "T" if style == "T" else style)
-                if k > j and not _company(text, tokens, i, k):
+                k = _family(text, tokens, j, "T" if style == "T" else style, know.company)
+                if k > j and not _company(text, tokens, i, k, know.company):
                     if near(i, k - 1) if style == "l" else asked is None:
                         spans.append((tokens[i][1], tokens[k - 1][2]))
                         families.add(fold(tokens[k - 1][0]))
@@ -234,7 +238,7 @@ def person_names(text: str, tokens: list[tuple[str, int, int]], know: Learned, t
                         continue
         if (style != "l" or low in PARTICLES or len(word) > 3) and "," in (words[i + 1 : i + 4]):
             # family name, given name
-            j = _family(text, tokens, i, "l" if style == "l" and low not in PARTICLES else "T")
+            j = _family(text, tokens, i, "l" if style == "l" and low not in PARTICLES else "T", know.company)
             if j > i and j + 1 < n and tokens[j][0] == "," and tokens[j][1] == tokens[j - 1][2] and text[tokens[j][2] : tokens[j + 1][1]] == " ":
                 g = tokens[j + 1]
                 k = j + 2
@@ -243,8 +247,8 @@ def person_names(text: str, tokens: list[tuple[str, int, int]], know: Learned, t
                     k, initial = k + 2, True
                 single = len(g[0]) == 1 and g[0].isupper() and k < n and tokens[k][0] == "."
                 known = fold(g[0]) in know.given and len(g[0]) > 1
-                longer = k < n and _gap(text, tokens[k - 1], tokens[k]) and _family(text, tokens, k, _style(g[0])) > k and _style(tokens[k][0]) != "l"
-                if known and _style(g[0]) == _style(tokens[j - 1][0]) and (not longer or initial) and not _company(text, tokens, i, k):
+                longer = k < n and _gap(text, tokens[k - 1], tokens[k]) and _family(text, tokens, k, _style(g[0]), know.company) > k and _style(tokens[k][0]) != "l"
+                if known and _style(g[0]) == _style(tokens[j - 1][0]) and (not longer or initial) and not _company(text, tokens, i, k, know.company):
                     if near(i, k - 1) if style == "l" else asked is None:
                         spans.append((tokens[i][1], tokens[k - 1][2]))
                         families.add(fold(tokens[j - 1][0]))
@@ -258,8 +262,8 @@ def person_names(text: str, tokens: list[tuple[str, int, int]], know: Learned, t
             j = i + 2
             if j + 2 < n and len(tokens[j][0]) == 1 and tokens[j][0].isupper() and tokens[j + 1][0] == ".":
                 j += 2
-            k = _family(text, tokens, j, _style(tokens[j][0]) if tokens[j][0].lower() not in PARTICLES else "T")
-            if k > j and _style(tokens[k - 1][0]) != "l" and not _company(text, tokens, i, k):
+            k = _family(text, tokens, j, _style(tokens[j][0]) if tokens[j][0].lower() not in PARTICLES else "T", know.company)
+            if k > j and _style(tokens[k - 1][0]) != "l" and not _company(text, tokens, i, k, know.company):
                 if near(i, k - 1):
                     spans.append((tokens[i][1], tokens[k - 1][2]))
                     families.add(fold(tokens[k - 1][0]))
@@ -294,6 +298,9 @@ def find_all(text: str, know: Learned) -> list[tuple[int, int, str]]:
 
     for m in EMAIL.finditer(text) if _SOME_AT.search(text) else ():
         add(m.start(), m.end(), "email")
+    for m in WORDED_EMAIL.finditer(text) if " dot " in text or " punto " in text else ():
+        if known(m.start(), m.end(), "email"):
+            add(m.start(), m.end(), "email")
     for m in ID_NUMBER.finditer(text) if _SOME_ID.search(text) else ():
         add(m.start(1), m.end(1), "id_number")
     for m in ADDRESS.finditer(text):
@@ -312,16 +319,11 @@ def find_all(text: str, know: Learned) -> list[tuple[int, int, str]]:
     return sorted(taken)
 
 
-def words_of(text: str) -> set[str]:
-    """The words of a text that could be given names."""
-    return {fold(w) for w, _, _ in tokens_of(text) if len(w) > 1 and w[0].isalpha()}
-
-
 def patterns_of(text: str, know: Learned) -> set[str]:
     """The patterns of a text that find_all() could look up, by the given names that are known."""
     asked: set[str] = set()
     tokens = tokens_of(text)
-    for kind, spans in (("phone", [m.span() for m in BARE_PHONE.finditer(text)]), ("id_number", [m.span() for m in ID_ANY.finditer(text)])):
+    for kind, spans in (("email", [m.span() for m in WORDED_EMAIL.finditer(text)]), ("phone", [m.span() for m in BARE_PHONE.finditer(text)]), ("id_number", [m.span() for m in ID_ANY.finditer(text)])):
         for a, b in spans:
             i, j = _at(tokens, a, b)
             if i is not None and j is not None:
@@ -333,31 +335,31 @@ def patterns_of(text: str, know: Learned) -> set[str]:
 # ---- what the corpus teaches --------------------------------------------------------------------------------------------
 
 
-def evidence(text: str) -> Iterator[tuple[str, str, str, int]]:
-    """(kind, instance, pattern, known) of a text's candidates: a span of the right shape, and the words around it.
+def evidence(text: str, company: set[str], tokens: list[tuple[str, int, int]]) -> Iterator[tuple[str, str, str, int]]:
+    """(kind, instance, pattern, known) of a text's candidates: a string of the right shape, and the words around it.
 
-    Names: the first of two capitalised words is the instance, known if the lexicon has it as a given name.  Numbers:
-    the number's shape with its digits, known if a label or a separator pattern tells what it is.
+    Names: the first of two capitalised words is the instance, known if the lexicon has it as a given name.  The other
+    kinds: the string itself, known where a label, a separator or its very shape tells what it is, not so a bare one.
     """
-    tokens = tokens_of(text)
     for i in range(len(tokens) - 1):
         a, b = tokens[i], tokens[i + 1]
         if a[0][0].isupper() and b[0][0].isupper() and _style(a[0]) == "T" and len(a[0]) > 2 and _style(b[0]) == "T" and len(b[0]) > 3 and _gap(text, a, b):
             low = fold(a[0])
-            if low in NO_NAME or low in COMPANY or low in TITLES or fold(b[0]) in NO_NAME or fold(b[0]) in COMPANY or _company(text, tokens, i, i + 2):
+            if low in NO_NAME or low in company or low in TITLES or fold(b[0]) in NO_NAME or fold(b[0]) in company or _company(text, tokens, i, i + 2, company):
                 continue
             for p in contexts(tokens, i, i + 1):
                 yield "name", low, p, int(low in _SEEDS)
-    spans = [(m.start(1), m.end(1), "id_number", 1) for m in ID_NUMBER.finditer(text)] if _SOME_ID.search(text) else []
-    spans += [(m.start(), m.end(), "phone", 1) for m in PHONE.finditer(text) if not NOT_PHONE.search(text[max(0, m.start() - 25) : m.start()])]
+    spans = [(*m.span(1), "id_number", 1) for m in ID_NUMBER.finditer(text)] if _SOME_ID.search(text) else []
+    spans += [(*m.span(), "phone", 1) for m in PHONE.finditer(text) if not NOT_PHONE.search(text[max(0, m.start() - 25) : m.start()])]
+    spans += [(*m.span(), "email", 1) for m in EMAIL.finditer(text)] if _SOME_AT.search(text) else []
     covered = {(a, b) for a, b, _, _ in spans}
-    spans += [(m.start(), m.end(), "phone", 0) for m in BARE_PHONE.finditer(text) if (m.start(), m.end()) not in covered]
-    spans += [(m.start(1), m.end(1), "id_number", 0) for m in ID_ANY.finditer(text) if (m.start(1), m.end(1)) not in covered]
-    for a, b, kind, seed in spans:
+    bare = [(*m.span(), "phone", 0) for m in BARE_PHONE.finditer(text)] + [(*m.span(1), "id_number", 0) for m in ID_ANY.finditer(text)]
+    bare += [(*m.span(), "email", 0) for m in WORDED_EMAIL.finditer(text)] if " dot " in text or " punto " in text else []
+    for a, b, kind, seed in [*spans, *(x for x in bare if x[:2] not in covered)]:
         i, j = _at(tokens, a, b)
         if i is not None and j is not None:
             for p in contexts(tokens, i, j):
-                yield kind, f"{kind}:{seed}", f"{kind} {p}", seed
+                yield kind, text[a:b], f"{kind} {p}", seed
 
 
 _SEEDS = {w for k, v in NICKNAMES.items() for w in (k, *v.split())}
@@ -379,28 +381,36 @@ def score_graph(edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, Data
     return patterns, scores
 
 
-def lessons(documents: DataFrame, text: str) -> DataFrame:
-    """(kind, value) of what the whole corpus supports: its patterns (kind pattern) and given names (kind given), however many there are."""
+def _gathered(chunked: DataFrame, company: set[str]) -> DataFrame:
+    """All that one reading of texts (chunk, t) gives: (kind, instance, pattern, known, n) of candidates, and their words as (word, the word, chunk)."""
 
     def gather(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            counts = Counter(e for t in part["t"] for e in evidence(t))
-            if counts:
-                rows = [(*k, n) for k, n in counts.items()]
-                yield pd.DataFrame(rows, columns=["kind", "instance", "pattern", "known", "n"])
+            counts: Counter = Counter()
+            words: set[tuple[int, str]] = set()
+            for c, t in zip(part["chunk"], part["t"]):
+                tokens = tokens_of(t)
+                counts.update(evidence(t, company, tokens))
+                words.update((c, fold(w)) for w, _, _ in tokens if len(w) > 1 and w[0].isalpha())
+            yield pd.DataFrame([*((*k, n) for k, n in counts.items()), *(("word", w, str(c), 0, 1) for c, w in words)], columns=["kind", "instance", "pattern", "known", "n"])
 
-    texts = documents.select(F.col(text).alias("t")).filter("t is not null and t <> ''")
-    edges = settle(texts.mapInPandas(gather, "kind string, instance string, pattern string, known int, n bigint").groupBy("kind", "instance", "pattern", "known").agg(F.sum("n").alias("n")))
+    return settle(chunked.mapInPandas(gather, "kind string, instance string, pattern string, known int, n bigint"))
+
+
+def lessons(gathered: DataFrame) -> DataFrame:
+    """(kind, value) of what the whole corpus supports: its patterns (kind pattern) and given names (kind given), however many there are."""
+    edges = settle(gathered.filter("kind <> 'word'").groupBy("kind", "instance", "pattern", "known").agg(F.sum("n").alias("n")))
     patterns, scores = score_graph(edges)
     enough = lambda d, n: d.filter((F.col(n) >= LEAST) & (F.col("score") >= ACCEPT))
     given = enough(scores.filter("kind = 'name'"), "m").select(F.lit("given").alias("kind"), F.col("instance").alias("value"))
     return settle(enough(patterns, "n").select(F.lit("pattern").alias("kind"), F.col("pattern").alias("value")).unionByName(given).distinct())
 
 
-def learn(documents: DataFrame, text: str) -> Learned:
+def learn(documents: DataFrame, text: str, words: Vocabulary = Vocabulary()) -> Learned:
     """What the corpus supports in the driver's memory, all of it: for corpora whose lessons fit there; the others stay a table."""
-    know = Learned()
-    for r in lessons(documents, text).collect():
+    know = Learned(company=company_words(words))
+    texts = documents.select(F.lit(0).alias("chunk"), F.col(text).alias("t")).filter("t is not null and t <> ''")
+    for r in lessons(_gathered(texts, know.company)).collect():
         (know.given if r.kind == "given" else know.patterns).add(r.value)
     return know
 
@@ -413,47 +423,50 @@ def _pairs(of: Callable[[str], set[str]], part: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([(c, v) for c, vs in values.items() for v in vs], columns=["chunk", "value"])
 
 
-def _known(lines: pd.DataFrame) -> Learned:
-    know = Learned()
+def company_words(words: Vocabulary) -> set[str]:
+    """Words of companies' names: legal forms, what stands for families, and the generic words that were learned."""
+    return {*COMPANY, *words.modifiers, *words.trades}
+
+
+def _known(lines: pd.DataFrame, company: set[str]) -> Learned:
+    know = Learned(company=company)
     know.given |= set(lines["value"][lines["kind"] == "given"])
     know.patterns = set(lines["value"][lines["kind"] == "pattern"])
     return know
 
 
-def _with_lessons(rows: DataFrame, run: Callable[[Iterator[pd.DataFrame], Learned], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+def _with_lessons(rows: DataFrame, company: set[str], run: Callable[[Iterator[pd.DataFrame], Learned], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
     """What run() makes of the rows (k, t) with what the same rows teach.
 
     The rows are dealt into chunks; the words of a chunk, and then the patterns that its texts could look up, are joined
     to what was learned, so a chunk is read with all lessons that matter to it and no place holds all lessons.
     """
-    learned = lessons(rows, "t")
     size = rows.agg(F.sum(F.length("t"))).first()[0] or 0
     chunked = rows.withColumn("chunk", F.pmod(F.xxhash64(F.col("k").cast("string"), "t"), F.lit(size // CHUNK + 1).cast("bigint")))
     full = chunked.filter("t is not null and t <> ''")
-
-    def words(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            yield _pairs(words_of, part)
+    gathered = _gathered(full.select("chunk", "t"), company)
+    learned = lessons(gathered)
 
     def patterns(part: pd.DataFrame, lines: pd.DataFrame) -> pd.DataFrame:
-        know = _known(lines)
+        know = _known(lines, company)
         return _pairs(lambda t: patterns_of(t, know), part)
 
     def read(part: pd.DataFrame, lines: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([*run(iter([part]), _known(lines))], ignore_index=True)
+        return pd.concat([*run(iter([part]), _known(lines, company))], ignore_index=True)
 
     pick = lambda asked, kind: asked.distinct().join(learned.filter(F.col("kind") == kind), "value").select("chunk", "kind", "value")
     by = lambda d: d.groupBy("chunk")
-    given = settle(pick(full.select("chunk", "t").mapInPandas(words, "chunk bigint, value string"), "given"))
+    words = gathered.filter("kind = 'word'").select(F.col("pattern").cast("bigint").alias("chunk"), F.col("instance").alias("value"))
+    given = settle(pick(words, "given"))
     near = pick(by(full.select("chunk", "t")).cogroup(by(given)).applyInPandas(patterns, "chunk bigint, value string"), "pattern")
     return by(chunked).cogroup(by(settle(given.unionByName(near)))).applyInPandas(read, schema)
 
 
-def _apply(rows: DataFrame, know: Learned | None, run: Callable[[Iterator[pd.DataFrame], Learned], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
-    return _with_lessons(rows, run, schema) if know is None else rows.mapInPandas(lambda parts: run(parts, know), schema)
+def _apply(rows: DataFrame, know: Learned | None, words: Vocabulary, run: Callable[[Iterator[pd.DataFrame], Learned], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    return _with_lessons(rows, company_words(words), run, schema) if know is None else rows.mapInPandas(lambda parts: run(parts, know), schema)
 
 
-def personal_spans(documents: DataFrame, key: str, text: str, know: Learned | None = None) -> DataFrame:
+def personal_spans(documents: DataFrame, key: str, text: str, know: Learned | None = None, words: Vocabulary = Vocabulary()) -> DataFrame:
     """(key, begin, end, kind, found_text) of every stretch of personal information, offsets in code points.
 
     What the same documents teach is used if ``know`` isn't given.  Null and empty texts have none; whole texts are
@@ -467,10 +480,10 @@ def personal_spans(documents: DataFrame, key: str, text: str, know: Learned | No
             yield pd.DataFrame(rows, columns=["k", "begin", "end", "kind", "found_text"])
 
     rows = documents.select(F.col(key).alias("k"), F.col(text).alias("t")).filter("t is not null and t <> ''")
-    return _apply(rows, know, find, schema).withColumnRenamed("k", key)
+    return _apply(rows, know, words, find, schema).withColumnRenamed("k", key)
 
 
-def redact(documents: DataFrame, key: str, text: str, know: Learned | None = None) -> DataFrame:
+def redact(documents: DataFrame, key: str, text: str, know: Learned | None = None, words: Vocabulary = Vocabulary()) -> DataFrame:
     """(key, text): every text with "[KIND]" in place of each stretch and all else as it was; null stays null."""
     kind_of = documents.schema[key].dataType.simpleString()
 
@@ -489,12 +502,16 @@ def redact(documents: DataFrame, key: str, text: str, know: Learned | None = Non
             yield pd.DataFrame({"k": part["k"], "t": out})
 
     rows = documents.select(F.col(key).alias("k"), F.col(text).alias("t"))
-    return _apply(rows, know, cover, f"k {kind_of}, t string").select(F.col("k").alias(key), F.col("t").alias(text))
+    return _apply(rows, know, words, cover, f"k {kind_of}, t string").select(F.col("k").alias(key), F.col("t").alias(text))
+
+
+def _words(spark: SparkSession, folder: str) -> Vocabulary:
+    return learn_words(table(spark, folder, "companies"), "canonical_name")
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
-    return personal_spans(table(spark, folder, "documents"), "doc_id", "text").select("doc_id", "kind", "found_text").distinct()
+    return personal_spans(table(spark, folder, "documents"), "doc_id", "text", words=_words(spark, folder)).select("doc_id", "kind", "found_text").distinct()
 
 
 def p9_redacted(spark: SparkSession, folder: str) -> DataFrame:
-    return redact(table(spark, folder, "documents"), "doc_id", "text")
+    return redact(table(spark, folder, "documents"), "doc_id", "text", words=_words(spark, folder))
