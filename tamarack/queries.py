@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from .functions import geo, keys, persons, text, values, web
 from .functions.grounding import grounded, invalid, normalised
-from .functions.names import name_struct
 from .functions.pages import best_links, page_links, read_page, site_names
 from .operators import canon, cluster, evaluate, market, match, sample, score, upsert
 from .oracle import ORACLE
@@ -100,13 +99,6 @@ def naics_flags(spark: SparkSession, folder: str) -> DataFrame:
     return c.select("id", F.explode(keys.naics_codes_of(joined)).alias("x")).select("id", "x.code", F.coalesce("x.flag", F.lit("")).alias("flag"))
 
 
-@query
-def parsed_names(spark: SparkSession, folder: str) -> DataFrame:
-    """Parts of every company's typed name (rows only: the parse has no SQL)."""
-    c = table(spark, folder, "companies")
-    return c.select("id", name_struct()("canonical_name").alias("p")).select("id", "p.core", "p.modifier", "p.trade", "p.prefix")
-
-
 # ---- scoring ------------------------------------------------------------------------------------------------------------
 
 

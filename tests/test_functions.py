@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tamarack.functions import geo, keys, names, persons, text, values, web
+from tamarack.functions import geo, keys, persons, text, values, web
 from tamarack.functions.pages import best_links, page_links, page_parts, page_verdict, place_match
 from tamarack.operators.match import common_subsequence, token_sort_similarity
 
@@ -81,35 +81,6 @@ def test_common_subsequence_brute_force():
         assert common_subsequence(a, b) == slow(a, b)
 
 
-def test_osa_brute_force():
-    import random
-
-    def slow(a, b):
-        d = {(i, 0): i for i in range(len(a) + 1)} | {(0, j): j for j in range(len(b) + 1)}
-        for i in range(1, len(a) + 1):
-            for j in range(1, len(b) + 1):
-                d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
-                if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
-                    d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
-        return d[len(a), len(b)]
-
-    r = random.Random(2)
-    for _ in range(400):
-        a, b = ("".join(r.choice("abc") for _ in range(r.randrange(0, 8))) for _ in range(2))
-        for most in (1, 2, 3):
-            assert min(names.osa(a, b, most), most + 1) == min(slow(a, b), most + 1)
-
-
-def test_parse_name_variants():
-    want = names.parse_name("Lawrence Truckdale General Extrusions, Inc")
-    for typed in ("Truckdale, Larry General Extr. Inc", "LAWRENCE TRUCKDALE (GENERAL EXTRUSIONS) LLC", "General Extrusions of Truckdale Corp", "Lawrence Truckdale Genl Extrusoins Co - Springfield", "The Lawrence Truckdale General Extrusions Inc d/b/a Truckdale"):
-        assert names.same_name(want, names.parse_name(typed)), typed
-    assert not names.same_name(want, names.parse_name("Lawrence Truckdale General Castings Inc"))
-    assert not names.same_name(want, names.parse_name("Lawrence Truckdale Precision Extrusions Inc"))
-    assert not names.same_name(want, names.parse_name("Lawrence Bellmont General Extrusions Inc"))
-    assert names.parse_name("n/a") is None and names.parse_name(None) is None
-
-
 def test_scrub_contacts(spark):
     for there in ("a.b+c@x-y.example", "(478) 555-1234", "478.555.1234", "+1 478-555-1234", "1-800-FLOWERS", "800-GOT-JUNK", "555-FIXX"):
         assert one(spark, text.scrub_contacts, f"call {there} now") == "call [removed] now"
