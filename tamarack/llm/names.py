@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from ..functions.values import FILLERS
 from ..session import release, settle
 
 #: Share of all words from which a word is generic: there are at most its inverse of them.
@@ -60,13 +61,6 @@ NICKNAMES = {
 }
 PREFIXES = {"fort": "fort", "ft": "fort", "mount": "mount", "mt": "mount", "saint": "saint", "st": "saint", "1": "one", "2": "two", "3": "three", "4": "four",
             "5": "five", "6": "six", "7": "seven", "8": "eight", "9": "nine"} | {w: w for w in "one two three four five six seven eight nine".split()}
-# What stands in a name field when nobody knew the name.
-FILLERS = frozenset(
-    ["", "n/a", "na", "n.a.", "none", "null", "nil", "unknown", "tbd", "tba", "test", "xxxx", "xxx", "(blank)", "blank", "see notes", "no name given",
-     "company name", "not disclosed", "coming soon", "same as above", "see directory", "not available", "not provided", "no website", "www", "http://",
-     "https://", "http", "https", "?", "??", "???", "-", "--", "---", "."]
-)
-
 _GIVEN: dict[str, tuple[str, ...]] = {}
 for _full, _short in NICKNAMES.items():
     _GIVEN.setdefault(_full, ()), _GIVEN.__setitem__(_full, (*_GIVEN[_full], _full))
