@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .match import too_far
+from .running import numbered
 
 # Cut-offs, resamples and the least class size of the evaluation.
 CUTS, RESAMPLES, LEAST_CLASS = (10, 25, 50), 2000, 5
@@ -30,18 +31,14 @@ def confusion(items: DataFrame, threshold: float) -> DataFrame:
     return out.withColumns({"precision": share(tp, tp + fp), "recall": share(tp, tp + fn), "f1": share(2 * tp, 2 * tp + fp + fn)})
 
 
-def _order(score: str = "score"):
-    return Window.orderBy(F.col("excluded"), F.desc(score), F.col("id"))
+def _placed(items: DataFrame) -> DataFrame:
+    """Items in the order of their scores, excluded ones last, with their place and the positives so far."""
+    return numbered(items, [F.col("excluded"), F.desc("score"), F.col("id")], "__n", {"__hits": F.col("positive").cast("bigint")})
 
 
 def average_precision(items: DataFrame) -> DataFrame:
-    """average_precision of items (id, score, positive, excluded): the mean, over the positives, of the share of positives so far; null without positives.
-
-    The order of all labelled items is one sort; labels are typed by people, so their number is small.
-    """
-    by = _order()
-    placed = items.withColumn("__n", F.row_number().over(by)).withColumn("__hits", F.sum(F.col("positive").cast("bigint")).over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    return placed.agg(F.avg(F.when(F.col("positive"), F.col("__hits") / F.col("__n"))).alias("average_precision"))
+    """average_precision of items (id, score, positive, excluded): the mean, over the positives, of the share of positives so far; null without positives."""
+    return _placed(items).agg(F.avg(F.when(F.col("positive"), F.col("__hits") / F.col("__n"))).alias("average_precision"))
 
 
 def roc_auc(items: DataFrame) -> DataFrame:
@@ -58,8 +55,7 @@ def roc_auc(items: DataFrame) -> DataFrame:
 
 def precision_at(items: DataFrame, cuts=CUTS) -> DataFrame:
     """(k, hits, precision, recall) of the first k items, k clipped to their number and listed once."""
-    by = _order()
-    placed = items.withColumn("__n", F.row_number().over(by))
+    placed = _placed(items)
     total = items.agg(F.count("*").alias("items"), F.sum(F.col("positive").cast("bigint")).alias("positives"))
     spark = items.sparkSession
     ks = spark.createDataFrame([(k,) for k in cuts], "k int").crossJoin(total).select(F.least("k", F.col("items").cast("int")).alias("k"), "positives").distinct().filter("k > 0")  # a few rows

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import settle
+
 _BUCKETS = 4096
 
 
@@ -33,3 +35,27 @@ def running_total(df: DataFrame, groups: Sequence[str], order: str, ties: Sequen
     for g in groups:
         same = same & F.col(g).eqNullSafe(F.col(f"__{g}"))
     return keyed.join(sums, same, "left").withColumn(out, F.col("__before") + F.col("__within")).drop("__bucket", "__size", "__within", "__before", "__b", *[f"__{g}" for g in groups])
+
+
+def numbered(rows: DataFrame, order: Sequence[Column], out: str, sums: Mapping[str, Column] | None = None) -> DataFrame:
+    """Adds ``out``, each row's place from 1 on in an order of all rows, and for each of ``sums`` the total of a column up to and with the row.
+
+    Rows are sorted by ranges; a range's rows and totals are summed up on one row a partition, so no task sees all rows.
+    The order should tell rows apart; equal ones stand in one range in any order.  Empty in, empty out.
+    """
+    sums = dict(sums or {})
+    spark = rows.sparkSession
+    ranged = settle(rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
+    whole = ranged.groupBy("__part").agg(F.count("*").alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(f"s{i}") for i, c in enumerate(sums.values())]).orderBy("__part").collect()  # one row a partition
+    before, starts = [0] * (1 + len(sums)), []
+    for r in whole:
+        starts.append((r["__part"], *before))
+        before = [x + y for x, y in zip(before, (r.n, *(r[f"s{i}"] for i in range(len(sums)))))]
+    names = ["__before", *(f"__before{i}" for i in range(len(sums)))]
+    offsets = F.broadcast(spark.createDataFrame(starts, "__part int, " + ", ".join(f"{n} bigint" for n in names)))
+    by = Window.partitionBy("__part").orderBy(*order)
+    upto = by.rowsBetween(Window.unboundedPreceding, 0)
+    placed = ranged.join(offsets, "__part").withColumn(out, F.col("__before") + F.row_number().over(by))
+    for i, (name, c) in enumerate(sums.items()):
+        placed = placed.withColumn(name, F.col(f"__before{i}") + F.coalesce(F.sum(c).over(upto), F.lit(0)))
+    return placed.drop("__part", *names)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import naics_matches
 from ..functions.text import ordinal, phrase_in
 from ..plans.thesis import PARTS, Range, Thesis
+from .running import numbered
 
 # How components are graded.
 NAICS_SHARE, TEXT_SHARE, FULL_HITS, FACILITY_MOST = 0.6, 0.4, 2, 0.8
@@ -200,12 +201,10 @@ def score(facts: DataFrame, t: Thesis) -> DataFrame:
 
 
 def ranked(scores: DataFrame, id_column: str = "company_id") -> DataFrame:
-    """Adds rank, blank for excluded rows: by total, confidence and id; one sort over all rows, as an export needs."""
-    from pyspark.sql import Window
-
+    """Adds rank, blank for excluded rows: by total, confidence and id. Places are counted by ranges, so no task sorts all rows."""
     order = F.when(F.col("confidence") == "high", 0).when(F.col("confidence") == "medium", 1).otherwise(2)
-    by = Window.orderBy("excluded", F.desc("total"), order, id_column)
-    return scores.withColumn("rank", F.when(~F.col("excluded"), F.row_number().over(by)))
+    placed = numbered(scores, [F.col("excluded"), F.desc("total"), order, F.col(id_column)], "rank")
+    return placed.withColumn("rank", F.when(~F.col("excluded"), F.col("rank").cast("int")))
 
 
 def summary(scores: DataFrame, threshold: float) -> DataFrame:

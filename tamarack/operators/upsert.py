@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import settle
+from .running import numbered
+
 
 def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The last row of each key in the order given; rows with null keys are keys like others."""
@@ -38,10 +42,12 @@ def delivery_changes(rows: DataFrame, keys: Sequence[str], content: str, order:
 
 def nearest_rank(rows: DataFrame, group: Sequence[str], value: str, shares: dict[str, float], median: str | None = None) -> DataFrame:
     """Percentiles without interpolation: element floor(share * n) of the sorted values of a group, n - 1 at most; ``median`` names element n // 2."""
-    by = Window.partitionBy(*group)
-    there = rows.filter(F.col(value).isNotNull())
-    placed = there.withColumn("__i", F.row_number().over(by.orderBy(value)) - 1).withColumn("__n", F.count("*").over(by))
-    picks = [F.max(F.when(F.col("__i") == F.least(F.floor(F.col("__n") * s), F.col("__n") - 1), F.col(value))).alias(name) for name, s in shares.items()]
+    there = rows.filter(F.col(value).isNotNull()).select(*group, F.col(value).alias("__v"))
+    placed = settle(numbered(there, [*[F.col(g) for g in group], F.col("__v")], "__place"))
+    bounds = placed.groupBy(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)]).agg((F.min("__place") - 1).alias("__first"), F.count("*").alias("__n"))
+    same = reduce(lambda x, y: x & y, (F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group)))
+    at = placed.join(bounds, same).withColumn("__i", F.col("__place") - 1 - F.col("__first"))
+    picks = [F.max(F.when(F.col("__i") == F.least(F.floor(F.col("__n") * s), F.col("__n") - 1), F.col("__v"))).alias(name) for name, s in shares.items()]
     if median:
-        picks.append(F.max(F.when(F.col("__i") == F.floor(F.col("__n") / 2), F.col(value))).alias(median))
-    return placed.groupBy(*group).agg(*picks)
+        picks.append(F.max(F.when(F.col("__i") == F.floor(F.col("__n") / 2), F.col("__v"))).alias(median))
+    return at.groupBy(*group).agg(*picks)

@@ -156,6 +156,41 @@ _CHANGE = "CASE WHEN row_number() OVER w = 1 THEN 'inserted' WHEN lag(payload_ha
 _HEX = "('0x' || substr(sha256({}), 1, 12))::BIGINT::DOUBLE / 281474976710656.0".format
 
 
+_REVIEW = (
+    "q AS (SELECT *, lower(trim(decision, ' ')) AS said FROM pair_decisions WHERE a <> b), "
+    "review AS (SELECT DISTINCT CASE WHEN method = 'domain_conflict' THEN 'different_domains' ELSE 'possible_match' END AS kind, a, b, score, reason FROM q JOIN company_records x ON x.raw_record_id = a JOIN company_records y ON y.raw_record_id = b WHERE said = 'review' AND x.company_id <> y.company_id "
+    "UNION SELECT DISTINCT 'merged_on_domain', a, b, score, reason FROM q WHERE said = 'merge' AND method = 'domain' AND score < 50)"
+)
+_ELIGIBLE = (
+    with_key("companies", "canonical_name", "id, domain AS url, state AS st, country AS ct, naics_codes")
+    + ", "
+    + with_domain("keyed", "url", "*")
+    + f", c AS (SELECT id AS company_id, the_name AS name, domain, {state('st')} AS state, {country('ct')} AS country, naics_codes, name_key FROM d), "
+    + with_domain("label_rows", "website", "company_name, state AS lst", "ld", "l_")
+    + f", l0 AS (SELECT *, {expanded('company_name')} AS t FROM ld), l1 AS (SELECT *, {drop_endings('t')} AS b FROM l0), l2 AS (SELECT *, CASE WHEN b[1] = 'the' THEN list_slice(b, 2, 1000) ELSE b END AS s FROM l1), "
+    f"l3 AS (SELECT coalesce('d:' || l_domain, 'n:' || array_to_string(list_transform(CASE WHEN len(s) > 0 THEN s ELSE t END, lambda w: {singular('w')}), ' ') || '|' || lower(coalesce({state('lst')}, ''))) AS key FROM l2), "
+    f"eligible AS (SELECT company_id, name, domain, state, CASE WHEN domain IS NULL THEN 'no_website' WHEN coalesce(len(naics_codes), 0) = 0 THEN 'naics_unknown' WHEN NOT {_IN_THESIS} THEN 'naics_outside' "
+    "WHEN coalesce('d:' || domain, 'n:' || name_key || '|' || lower(coalesce(state, ''))) IN (SELECT key FROM l3 WHERE key IS NOT NULL) THEN 'labelled' ELSE 'eligible' END AS what FROM c WHERE state IN ('GA','NC','SC','TN') AND (country IS NULL OR country = 'US'))"
+)
+_FINDER = (
+    with_key("companies", "canonical_name", "id, domain AS url, state AS st, city, country AS ct, naics_codes")
+    + ", "
+    + with_domain("keyed", "url", "*")
+    + ", u AS (SELECT x.company_id, arg_min(json_extract_string(r.payload_json, '$.extra.uei'), r.id) AS uei FROM company_records x JOIN raw_records r ON r.id = x.raw_record_id WHERE json_extract_string(r.payload_json, '$.extra.uei') IS NOT NULL GROUP BY 1), "
+    f"o AS (SELECT id AS company_id, the_name AS name, name_key, city, {state('st')} AS state, uei FROM d LEFT JOIN u ON u.company_id = d.id WHERE domain IS NULL AND {state('st')} IN ('GA','NC','SC','TN') AND coalesce({country('ct')}, 'US') = 'US' AND {_IN_THESIS}), "
+    "targets AS (SELECT company_id, coalesce('uei:' || uei, 'n:' || name_key || '|' || lower(coalesce(state, ''))) AS search_key, name, city, state, uei, "
+    f"(row_number() OVER (PARTITION BY state ORDER BY sha256('3:' || company_id), company_id) - 1 + {_HEX("'3:' || state")}) / count(*) OVER (PARTITION BY state) AS position FROM o)"
+)
+_REPORT = (
+    f"{_scored()}, {_AGREED}, q0 AS (SELECT *, nullif(name, '') AS nm FROM scored), q1 AS (SELECT *, {expanded('nm')} AS t FROM q0), q2 AS (SELECT *, {drop_endings('t')} AS b FROM q1), q3 AS (SELECT *, CASE WHEN b[1] = 'the' THEN list_slice(b, 2, 1000) ELSE b END AS z FROM q2), "
+    f"q4 AS (SELECT *, coalesce('d:' || domain, 'n:' || array_to_string(list_transform(CASE WHEN len(z) > 0 THEN z ELSE t END, lambda w: {singular('w')}), ' ') || '|' || lower(coalesce(state, ''))) AS lkey FROM q3), "
+    "q5 AS (SELECT lkey, min(company_id) AS company_id FROM q4 WHERE lkey IS NOT NULL GROUP BY 1), "
+    "q6 AS (SELECT a.key, a.decision, s.company_id, s.name, s.domain AS site, s.total, s.excluded AS ex, s.exclusion_rule, s.confidence, NOT s.excluded AND s.total >= 40 AS took FROM agreed a LEFT JOIN q5 ON q5.lkey = a.key LEFT JOIN scored s ON s.company_id = q5.company_id), "
+    "report AS (SELECT key AS label_key, CASE WHEN total IS NOT NULL THEN name ELSE key END AS company_name, CASE WHEN total IS NOT NULL THEN site WHEN key LIKE 'd:%' THEN key[3:] END AS domain, decision, CASE WHEN total IS NULL THEN 'no' WHEN key LIKE 'd:%' THEN 'domain' ELSE 'name' END AS matched, company_id, total AS score, "
+    "CASE WHEN total IS NOT NULL THEN row_number() OVER (PARTITION BY total IS NULL ORDER BY ex, total DESC, company_id, key) END AS rank, CASE WHEN total IS NOT NULL THEN CASE WHEN took THEN 'yes' ELSE 'no' END END AS shortlisted, CASE WHEN total IS NOT NULL THEN CASE WHEN ex THEN 'yes' ELSE 'no' END END AS excluded, exclusion_rule, confidence, "
+    "CASE WHEN total IS NULL THEN 'unmatched' WHEN decision = 'pursue' AND ex THEN 'excluded_positive' WHEN decision = 'pursue' AND NOT took THEN 'false_negative' WHEN decision = 'pass' AND took THEN 'false_positive' ELSE '' END AS disagreement FROM q6)"
+)
+
 ORACLE: dict[str, str] = {
     "name_key_companies": "WITH " + with_key("companies", "canonical_name", "id") + f", w AS (SELECT id, name_key, array_to_string(list_sort(list_distinct(list_transform({expanded('the_name')}, lambda w: {singular('w')}))), ' ') AS word_keys, "
     f"list_filter({tokens('the_name')}, lambda w: w NOT IN ('and', 'the')) AS q FROM keyed) SELECT id, name_key, word_keys, array_to_string(list_filter({drop_endings('q')}, lambda w: NOT list_contains({_list(GENERIC)}, w) AND length(w) >= 3 AND NOT regexp_matches(w, '^[0-9]+$')), ' ') AS distinctive FROM w",
@@ -184,9 +219,10 @@ ORACLE: dict[str, str] = {
     "SELECT company_id, (list(name ORDER BY o))[1] AS canonical_name, arg_min(domain, o) FILTER (domain <> '') AS domain, (list(city ORDER BY o) FILTER (state <> ''))[1] AS city, arg_min(state, o) FILTER (state <> '') AS state, arg_min(country, o) FILTER (country <> '') AS country, "
     "coalesce(string_agg(DISTINCT naics, ',' ORDER BY naics) FILTER (naics <> ''), '') AS naics_codes, arg_min(emp, o) FILTER (emp IS NOT NULL) AS employee_count, arg_min(source, o) FILTER (emp IS NOT NULL) AS employee_count_source, arg_min(rev, o) FILTER (rev IS NOT NULL) AS revenue_usd_m FROM g GROUP BY 1",
     "cache_keys": "SELECT doc_id, sha256('https://' || lower(domain) || coalesce(page_path, '/') || '?lang=' || replace(url_encode(coalesce(lang, '-')), '%20', '+') || '&page=' || doc_id) AS cache_key FROM documents WHERE domain IS NOT NULL",
-    "best_evidence": "WITH p AS (SELECT a, b, method, score FROM pair_decisions WHERE lower(trim(decision, ' ')) = 'merge' AND a <> b), t AS (SELECT a AS id, b AS other, method, score FROM p UNION ALL SELECT b, a, method, score FROM p) "
-    "SELECT id, max(coalesce(score, 0.0) + CASE method WHEN 'override' THEN 1000.0 WHEN 'uei' THEN 500.0 WHEN 'domain' THEN 200.0 ELSE 0.0 END) AS strength, count(DISTINCT other) AS others FROM t GROUP BY id",
-    "review_between_companies": "SELECT p.a, p.b, x.company_id AS company_a, y.company_id AS company_b FROM (SELECT DISTINCT least(a, b) AS a, greatest(a, b) AS b FROM pair_decisions WHERE lower(trim(decision, ' ')) = 'review') p JOIN company_records x ON x.raw_record_id = p.a JOIN company_records y ON y.raw_record_id = p.b WHERE x.company_id <> y.company_id",
+    "best_evidence": "WITH p AS (SELECT a, b, method, score FROM pair_decisions WHERE lower(trim(decision, ' ')) = 'merge' AND a <> b), t AS (SELECT a AS id, b AS other, method, score FROM p UNION ALL SELECT b, a, method, score FROM p), "
+    "g AS (SELECT id, arg_max({'m': method, 's': score}, (coalesce(score, 0.0) + CASE method WHEN 'override' THEN 1000.0 WHEN 'uei' THEN 500.0 WHEN 'domain' THEN 200.0 ELSE 0.0 END, -other)) AS x, count(*) AS n FROM t GROUP BY id) "
+    "SELECT c.raw_record_id AS id, c.company_id AS cluster, coalesce(x.m, 'singleton') AS match_method, x.s AS match_score, coalesce(n, 0)::INT AS links FROM company_records c LEFT JOIN g ON g.id = c.raw_record_id",
+    "review_between_companies": f"WITH {_REVIEW} SELECT * FROM review",
     "delivery_counts": f"SELECT source, change, count(*) AS records FROM (SELECT source, {_CHANGE} AS change FROM raw_records WINDOW w AS (PARTITION BY source, source_record_id ORDER BY ingested_at, id)) GROUP BY 1, 2",
     "latest_deliveries": f"SELECT id, source, source_record_id, payload_hash FROM raw_records QUALIFY {_LAST}",
     "snapshot_upsert": f"WITH o AS (SELECT * FROM raw_records WHERE ingested_at < TIMESTAMP '2025-08-01' QUALIFY {_LAST}), n AS (SELECT * FROM raw_records WHERE ingested_at >= TIMESTAMP '2025-08-01' QUALIFY {_LAST}), "
@@ -228,11 +264,35 @@ ORACLE: dict[str, str] = {
     "scrubbed_mail": f"SELECT doc_id, sha256(regexp_replace(text, '{MAIL}', '[removed]', 'g')) AS digest FROM documents WHERE text IS NOT NULL",
     "phrase_hits": "SELECT doc_id, " + ", ".join(f"{phrase(p, 'lower(text)')} AS {p.replace(' ', '_')}" for p in ("medical device", "aerospace", "heat exchanger", "family")) + " FROM documents WHERE text IS NOT NULL",
     "document_numbers": "WITH n AS (SELECT doc_id, list_distinct(list_filter(list_transform(regexp_extract_all(text, '\\d[\\d,]*'), lambda x: try_cast(replace(x, ',', '') AS BIGINT)), lambda x: x IS NOT NULL)) AS n FROM documents WHERE text IS NOT NULL) SELECT doc_id, len(n)::INT AS numbers, list_max(n) AS largest FROM n",
-    "distinct_lines": "WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '[ \\t\\r]+', ' ', 'g'), ' ')), lambda x: length(x) >= 2) AS l FROM documents WHERE text IS NOT NULL) SELECT doc_id, len(l)::INT AS lines, len(list_distinct(l))::INT AS distinct_lines FROM l",
+    "distinct_lines": "WITH l AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '\\r\\n|\\r|\\n'), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'), ' ')), lambda x: length(x) >= 2) AS l FROM documents WHERE text IS NOT NULL) "
+    "SELECT doc_id, sha256(array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), chr(10))) AS lines FROM l",
     "clean_lists": f"WITH x AS (SELECT company_id, list_sort(list(coalesce(lang, 'n/a'))) AS x FROM documents WHERE company_id IS NOT NULL GROUP BY 1), y AS (SELECT company_id, list_filter(list_transform(x, lambda v: trim(v, ' ')), lambda v: NOT list_contains({_list(EMPTY)}, lower(v))) AS x FROM x), z AS (SELECT company_id, x, list_transform(x, lambda v: lower(v)) AS l FROM y) SELECT company_id, array_to_string(list_slice(list_filter(x, lambda v, i: list_position(l, lower(v)) = i), 1, 10), '|') AS langs FROM z",
     "header_parts": "SELECT event_id, 'iso-' || (event_id % 9) AS charset, 'extract ' || event_id || '.zip' AS filename, CASE WHEN event_id % 3 <> 0 THEN event_id % 100 END AS retry_after FROM events",
     "grounded_quotes": "WITH d AS (SELECT doc_id, text, regexp_replace(text, '[ \\t\\r\\n]+', ' ', 'g') AS body FROM documents WHERE text IS NOT NULL AND length(trim(text, ' ')) > 60), q AS (SELECT *, CASE WHEN doc_id % 2 = 0 THEN upper(body[5:44]) ELSE body[5:24] || ' zz' END AS quote FROM d) "
     "SELECT doc_id, contains(lower(body), lower(quote)) AS quoted, list_contains(list_transform(regexp_extract_all(text, '\\d[\\d,]*'), lambda x: try_cast(replace(x, ',', '') AS BIGINT)), 1900 + doc_id % 120) AS year_there FROM q",
     "fiscal_windows": "SELECT o_orderkey, year(o_orderdate)::INT + (month(o_orderdate) >= 10)::INT AS fiscal_year, (date_trunc('month', o_orderdate)::DATE + ((7 - dayofweek(date_trunc('month', o_orderdate))) % 7)::INT)::DATE AS first_sunday FROM orders",
     "number_formats": "SELECT p_partkey, format('{:,}', p_partkey * 1000) AS grouped, p_size::VARCHAR AS general, p_size || CASE WHEN p_size % 100 BETWEEN 10 AND 20 THEN 'th' WHEN p_size % 10 = 1 THEN 'st' WHEN p_size % 10 = 2 THEN 'nd' WHEN p_size % 10 = 3 THEN 'rd' ELSE 'th' END AS ordinal FROM part",
+    "review_rows": f"WITH {_REVIEW}, r AS (SELECT id, source_record_id AS ref, {_NOW('name')} AS name, {_NOW('website')} AS domain, {_NOW('state')} AS state, {_NOW('city')} AS city FROM raw_records) SELECT kind, reason, round(score, 1) AS name_similarity, "
+    "x.ref AS ref_a, x.name AS name_a, x.domain AS domain_a, x.state AS state_a, x.city AS city_a, y.ref AS ref_b, y.name AS name_b, y.domain AS domain_b, y.state AS state_b, y.city AS city_b FROM review JOIN r x ON x.id = a JOIN r y ON y.id = b",
+    "ranked_rows": f"WITH {_scored()}, src AS (SELECT x.company_id, string_agg(DISTINCT r.source, '; ' ORDER BY r.source) AS sources FROM company_records x JOIN raw_records r ON r.id = x.raw_record_id GROUP BY 1) "
+    "SELECT CASE WHEN NOT excluded THEN row_number() OVER (ORDER BY excluded, total DESC, CASE confidence WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END, s.company_id) END::INT AS rank, total AS score, confidence, CASE WHEN excluded THEN 'yes' ELSE 'no' END AS excluded, name AS company, s.domain, c.city, s.state, "
+    "coalesce(array_to_string(list_filter(s.naics_codes, lambda v: v <> ''), '; '), '') AS naics, c.employee_count AS employees, CASE WHEN c.employee_count IS NOT NULL THEN coalesce(c.employee_count_source, 'records') END AS employees_source, NULL::BIGINT AS facilities, c.revenue_usd_m, NULL::VARCHAR AS business_model, '' AS product_lines, "
+    "array_to_string(list_filter([CASE WHEN m0 = 1 THEN 'aerospace' END, CASE WHEN m1 = 1 THEN 'medical device' END], lambda v: v IS NOT NULL), '; ') AS end_markets, 'unknown' AS founder_led, CASE WHEN fam = 1 THEN 'yes' ELSE 'unknown' END AS family_owned, 'unknown' AS pe_backed, src.sources, s.company_id, '2026-01-01T00:00:00Z' AS scored_at, 'makers' AS thesis_name "
+    "FROM scored s JOIN companies c ON c.id = s.company_id LEFT JOIN src ON src.company_id = s.company_id",
+    "market_rows": f"WITH c AS (SELECT unnest(naics_codes) AS naics, {state('state')} AS geo_code, employee_count FROM companies), g AS (SELECT naics, geo_code, count(*) AS establishments, sum(employee_count)::BIGINT AS employees, rtrim(naics, '0') AS t FROM c WHERE regexp_matches(naics, '^[0-9]{{2,6}}$') AND NOT regexp_matches(naics, '^0+$') AND geo_code IN ('GA','NC','SC','TN') GROUP BY 1, 2) "
+    f"SELECT naics, 'sector ' || naics AS naics_label, 2025 AS year, 'state' AS geo_level, geo_code, {_map(STATES)}[geo_code] AS geo_name, establishments, employees, NULL::BIGINT AS annual_payroll_usd_k FROM g WHERE "
+    + " OR ".join(f"starts_with(t, '{p}') OR starts_with('{p}', t)" for p in ("332", "333", "3261")),
+    "label_eligibility": f"WITH {_ELIGIBLE} SELECT company_id, what FROM eligible",
+    "rows_to_label": f"WITH {_ELIGIBLE}, n AS (SELECT *, row_number() OVER (PARTITION BY state ORDER BY sha256('3:' || company_id), company_id) AS turn FROM eligible WHERE what = 'eligible') SELECT company_id, name AS company_name, domain AS website, state, '' AS decision FROM (SELECT * FROM n WHERE turn <= 15 ORDER BY turn, state LIMIT 40)",
+    "label_conflicts": f"WITH x AS (SELECT *, {_DECISION} AS d FROM label_rows), t AS (SELECT key FROM x WHERE key IS NOT NULL AND d IS NOT NULL GROUP BY 1 HAVING count(DISTINCT d) > 1) SELECT key AS label_key, row_number, company_name, website, state, d AS decision FROM x WHERE d IS NOT NULL AND key IN (SELECT key FROM t)",
+    "finder_targets": f"WITH {_FINDER} SELECT * FROM targets",
+    "tokens_per_company": "SELECT coalesce(sum(n_chars), 0)::BIGINT AS tokens, count(DISTINCT company_id) AS companies, coalesce(sum(n_chars), 0)::BIGINT / greatest(count(DISTINCT company_id), 1) AS tokens_per_company FROM documents",
+    "evaluation_report": f"WITH {_REPORT} SELECT * FROM report",
+    "excluded_positives": f"WITH {_REPORT} SELECT exclusion_rule AS rule, count(*) AS positives FROM report WHERE decision = 'pursue' AND excluded = 'yes' GROUP BY 1",
+    "website_records": f"WITH {_FINDER}, kept AS (SELECT source, {_NOW('website')} AS website FROM raw_records r WHERE NOT (source = 'websites' AND source_record_id IN (SELECT search_key FROM targets)) UNION ALL "
+    "SELECT 'websites', 'c' || company_id || '.example' FROM (SELECT max(company_id) AS company_id FROM targets GROUP BY search_key) WHERE company_id % 3 = 0) SELECT source, count(*) AS records, max(website) AS last_website FROM kept GROUP BY 1",
+    "bootstrap_interval": f"WITH {_items()}, nums AS (SELECT positive, score, row_number() OVER (PARTITION BY positive ORDER BY id) - 1 AS i, count(*) OVER (PARTITION BY positive) AS n FROM items), "
+    "draws AS (SELECT r.r, n.positive, ('0x' || substr(sha256('11:' || r.r || ':' || n.positive::INT || ':' || n.i), 1, 12))::BIGINT % n.n AS i FROM nums n, range(2000) r(r)), "
+    "gaps AS (SELECT draws.r, avg(n.score) FILTER (n.positive) - avg(n.score) FILTER (NOT n.positive) AS gap FROM draws JOIN nums n ON n.positive = draws.positive AND n.i = draws.i GROUP BY 1), enough_ AS (SELECT count(*) FILTER (positive) >= 5 AND count(*) FILTER (NOT positive) >= 5 AS enough FROM items) "
+    "SELECT CASE WHEN (SELECT enough FROM enough_) THEN quantile_cont(gap, 0.025) END AS low, CASE WHEN (SELECT enough FROM enough_) THEN quantile_cont(gap, 0.975) END AS high FROM gaps",
 }

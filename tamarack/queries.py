@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import geo, keys, persons, text, values, web
+from .functions import geo, keys, persons, text, times, values, web
 from .functions.grounding import grounded, invalid, normalised
 from .functions.pages import best_links, page_links, read_page, site_names
 from .operators import canon, cluster, evaluate, market, match, sample, score, upsert
 from .oracle import ORACLE
+from .plans import evaluation, reports
 from .plans.resolve import load_records, resolve
 from .plans.thesis import Range, Thesis
 from .session import few_rows, settle
@@ -202,21 +203,34 @@ def canonical_records(spark: SparkSession, folder: str) -> DataFrame:
     return out.withColumn("naics_codes", F.array_join("naics_codes", ","))
 
 
+def _decided(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """pair_decisions as decisions, its merges as links, and the clusters that company_records gives."""
+    said = table(spark, folder, "pair_decisions").filter("a <> b").withColumn("decision", F.lower(F.trim("decision"))).withColumn("strength", match.strength("method", "score"))
+    links = said.filter("decision = 'merge'").select("a", "b", "method", "score", "reason", "strength", F.lit(None).cast("string").alias("refused"))
+    held = table(spark, folder, "company_records").select(F.col("raw_record_id").alias("id"), F.col("company_id").alias("cluster"))
+    return said, links, held
+
+
 @query
 def best_evidence(spark: SparkSession, folder: str) -> DataFrame:
-    """The strongest merge decision that touches each record."""
-    p = table(spark, folder, "pair_decisions").filter(F.lower(F.trim("decision")) == "merge").filter("a <> b")
-    both = p.select(F.col("a").alias("id"), F.col("b").alias("other"), "method", "score").unionByName(p.select(F.col("b").alias("id"), F.col("a").alias("other"), "method", "score"))
-    ranked = both.withColumn("strength", match.strength("method", "score"))
-    return ranked.groupBy("id").agg(F.max("strength").alias("strength"), F.count_distinct("other").alias("others"))
+    """The strongest merge decision that touches each assigned record, and how many do."""
+    _, links, held = _decided(spark, folder)
+    return cluster.evidence(held, links).select("id", "cluster", "match_method", "match_score", F.coalesce(F.nullif(F.size("links"), F.lit(-1)), F.lit(0)).alias("links"))
 
 
 @query
 def review_between_companies(spark: SparkSession, folder: str) -> DataFrame:
-    p = table(spark, folder, "pair_decisions").filter(F.lower(F.trim("decision")) == "review").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    held = table(spark, folder, "company_records")
-    at = lambda n: held.select(F.col("raw_record_id").alias(n), F.col("company_id").alias(f"company_{n}"))
-    return p.join(at("a"), "a").join(at("b"), "b").filter("company_a <> company_b")
+    """What of pair_decisions is to be looked at, by the companies that records were assigned to."""
+    said, links, held = _decided(spark, folder)
+    return cluster.review_pairs(said, links, held).distinct()
+
+
+@query
+def review_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The review file's 13 columns of review_between_companies."""
+    get = lambda f: values.payload_field(F.col("payload_json"), f).alias(f)
+    raw = table(spark, folder, "raw_records").select("id", F.col("source_record_id").alias("ref"), get("name"), get("website"), get("state"), get("city")).withColumnRenamed("website", "domain")
+    return reports.review_table(review_between_companies(spark, folder), raw)
 
 
 # ---- joins, aggregates and windows --------------------------------------------------------------------------------------
@@ -254,8 +268,7 @@ def company_facts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def company_sources(spark: SparkSession, folder: str) -> DataFrame:
-    held, raw = table(spark, folder, "company_records"), table(spark, folder, "raw_records")
-    per = held.join(raw, held.raw_record_id == raw.id).groupBy("company_id").agg(F.array_join(F.array_sort(F.collect_set("source")), "; ").alias("sources"))
+    per = reports.company_sources(table(spark, folder, "company_records"), table(spark, folder, "raw_records"))
     return table(spark, folder, "companies").select(F.col("id").alias("company_id")).join(per, "company_id", "left")
 
 
@@ -508,8 +521,8 @@ def document_numbers(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def distinct_lines(spark: SparkSession, folder: str) -> DataFrame:
-    lines = F.filter(F.transform(F.split("text", "\n"), lambda x: F.trim(F.regexp_replace(x, "[ \t\r]+", " "))), lambda x: F.length(x) >= 2)
-    return _docs(spark, folder).select("doc_id", F.size(lines).alias("lines"), F.size(F.array_distinct(lines)).alias("distinct_lines"))
+    """Each document's distinct lines, as a digest."""
+    return _docs(spark, folder).select("doc_id", F.sha2(text.distinct_lines(F.col("text")), 256).alias("lines"))
 
 
 @query
@@ -610,10 +623,104 @@ def grounded_extractions(spark: SparkSession, folder: str) -> DataFrame:
 def fiscal_windows(spark: SparkSession, folder: str) -> DataFrame:
     """Fiscal year (from 1 October) of each order, and the first Sunday of its month."""
     o = table(spark, folder, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
-    return o.select("o_orderkey", (F.year("d") + (F.month("d") >= 10).cast("int")).alias("fiscal_year"), F.next_day(F.date_sub(F.trunc("d", "month"), 1), "Sun").alias("first_sunday"))
+    return o.select("o_orderkey", times.fiscal_year(F.col("d")).alias("fiscal_year"), times.first_sunday(F.col("d")).alias("first_sunday"))
 
 
 @query
 def number_formats(spark: SparkSession, folder: str) -> DataFrame:
     p = table(spark, folder, "part")
     return p.select("p_partkey", F.format_number(F.col("p_partkey") * 1000, 0).alias("grouped"), text.general_number(F.col("p_size").cast("double")).alias("general"), text.ordinal(F.col("p_size")).alias("ordinal"))
+
+
+# ---- files for people ---------------------------------------------------------------------------------------------------
+
+
+@query
+def ranked_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The ranked export's columns, but for the written reason."""
+    c = table(spark, folder, "companies")
+    sources = reports.company_sources(table(spark, folder, "company_records"), table(spark, folder, "raw_records"))
+    out = reports.ranked_export(score.score(facts(spark, folder), THESIS), c.select(F.col("id").alias("company_id"), "city"), sources, THESIS.name, F.lit("2026-01-01T00:00:00Z"))
+    return out.drop("reason")
+
+
+@query
+def market_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The market sidecar of statistics by sector and state that are counted from the companies themselves."""
+    names = F.create_map(*[F.lit(x) for kv in geo.STATES.items() for x in kv])
+    c = table(spark, folder, "companies").select(F.explode("naics_codes").alias("naics"), geo.state_code_or_text(F.col("state")).alias("geo_code"), "employee_count").filter("naics rlike '^[0-9]{2,6}$' and naics not rlike '^0+$'")
+    stats = c.filter(F.col("geo_code").isin(*geo.STATES)).groupBy("naics", "geo_code").agg(F.count("*").alias("establishments"), F.sum("employee_count").alias("employees"))
+    shaped = stats.select("naics", F.concat(F.lit("sector "), "naics").alias("naics_label"), F.lit(2025).alias("year"), F.lit("state").alias("geo_level"), "geo_code", F.try_element_at(names, "geo_code").alias("geo_name"), "establishments", "employees", F.lit(None).cast("bigint").alias("annual_payroll_usd_k"))
+    return reports.market_sidecar(shaped, THESIS)
+
+
+def _for_labels(spark: SparkSession, folder: str) -> DataFrame:
+    at = hosts(spark, folder)
+    c = table(spark, folder, "companies").select("id", F.col("canonical_name").alias("name"), web.own_domain(F.col("domain"), at).alias("domain"), geo.state_code_or_text(F.col("state")).alias("state"), geo.country_code(F.col("country")).alias("country"), "naics_codes")
+    return reports.label_eligibility(c, THESIS, label_keys(spark, folder).select(F.col("label_key").alias("key")))
+
+
+@query
+def label_eligibility(spark: SparkSession, folder: str) -> DataFrame:
+    """Which companies of the thesis's states can be labelled, and why others can't."""
+    return _for_labels(spark, folder).select("company_id", "what")
+
+
+@query
+def rows_to_label(spark: SparkSession, folder: str) -> DataFrame:
+    """The file of 40 companies to label, 15 a state at most: a sampling operator."""
+    return reports.to_label(_for_labels(spark, folder), 40, 3, most=15)
+
+
+@query
+def label_conflicts(spark: SparkSession, folder: str) -> DataFrame:
+    """All label rows of the keys whose labels disagree."""
+    from .sources.files import LABELS
+
+    said = F.lower(F.trim("decision"))
+    rows = table(spark, folder, "label_rows").withColumn("decision", F.when(said.isin(*LABELS["pursue"]), "pursue").when(said.isin(*LABELS["pass"]), "pass"))
+    return reports.label_conflicts(rows)
+
+
+@query
+def finder_targets(spark: SparkSession, folder: str) -> DataFrame:
+    """Companies of the thesis whose website is to be found, in an order that has the states in proportion."""
+    c = table(spark, folder, "companies").select("id", F.col("canonical_name").alias("name"), "city", web.own_domain(F.col("domain"), hosts(spark, folder)).alias("domain"), geo.state_code_or_text(F.col("state")).alias("state"), geo.country_code(F.col("country")).alias("country"), "naics_codes")
+    return reports.finder_targets(c, company_uei(spark, folder), 3, THESIS)
+
+
+@query
+def tokens_per_company(spark: SparkSession, folder: str) -> DataFrame:
+    """Model tokens a company, with the characters of each company's documents as tokens read."""
+    calls = table(spark, folder, "documents").select("company_id", F.col("n_chars").alias("tokens_in"), F.lit(None).cast("bigint").alias("tokens_out"))
+    return reports.tokens_a_company(calls)
+
+
+def _report(spark: SparkSession, folder: str) -> DataFrame:
+    """The evaluation report over all keys whose labels agree, by the companies that have the same key."""
+    scored = score.score(facts(spark, folder), THESIS)
+    key = keys.label_key(F.nullif("name", F.lit("")), F.col("domain"), F.col("state"))
+    firsts = scored.select("company_id", key.alias("label")).filter("label is not null").groupBy("label").agg(F.min("company_id").alias("company_id")).withColumn("how", F.when(F.col("label").startswith("d:"), "domain").otherwise("name"))
+    labels = _labels(spark, folder).withColumn("company_name", F.col("key")).withColumn("domain", F.when(F.col("key").startswith("d:"), F.expr("substring(key, 3)")))
+    return evaluation.report(labels, firsts.join(labels.select(F.col("key").alias("label")), "label", "left_semi"), scored, 40.0)
+
+
+@query
+def evaluation_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The evaluation report's columns, but for the written reason and the components' JSON."""
+    return _report(spark, folder).drop("reason", "components")
+
+
+@query
+def excluded_positives(spark: SparkSession, folder: str) -> DataFrame:
+    return evaluation.excluded_positives(evaluation.matched_items(_report(spark, folder)))
+
+
+@query
+def website_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw records by source after saving made-up results of the searches for websites: every third is found."""
+    targets = settle(finder_targets(spark, folder))
+    found = F.col("company_id") % 3 == 0
+    results = targets.select("search_key", "company_id", F.when(found, "found").otherwise("none").alias("status"), F.when(found, F.concat(F.lit("c"), "company_id", F.lit(".example"))).alias("domain"), F.when(found, 0.9).alias("confidence"), F.expr("timestamp '2026-01-01'").alias("finished_at"))
+    rows = reports.website_records(table(spark, folder, "raw_records"), results, targets)
+    return rows.groupBy("source").agg(F.count("*").alias("records"), F.max(values.payload_field(F.col("payload_json"), "website").cast("string")).alias("last_website"))

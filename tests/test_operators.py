@@ -5,7 +5,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from tamarack.operators import canon, cluster, evaluate, market, match, sample, score, upsert
+from tamarack.operators import canon, cluster, evaluate, market, match, sample, score, upsert, running
 from tamarack.operators.graph import component_labels
 from tamarack.operators.running import running_total, uniform
 from tamarack.plans.thesis import Range, ThesisError, thesis_from
@@ -224,3 +224,15 @@ def test_market(spark):
     rows = spark.createDataFrame([("332", "001", "all", 10), ("332", "210", "small", 7), ("332", "220", None, 3), ("333", "210", "small", 1)], "naics string, code string, label string, n bigint")
     got = {x.naics: (x.total, {k: v.n for k, v in x.classes.items()}) for x in market.pivot_classes(rows, ["naics"], "code", "label", "n").collect()}
     assert got == {"332": (10, {"210": 7, "220": 3}), "333": (None, {"210": 1})}
+
+
+def test_places_in_an_order_of_all_rows(spark):
+    r = random.Random(6)
+    values = [(i, r.choice([None, 1, 2, 3]), r.randrange(5)) for i in range(500)]
+    d = spark.createDataFrame(values, "id bigint, g int, n int").repartition(7)
+    got = {x.id: (x.place, x.total) for x in running.numbered(d, [F.col("g").asc_nulls_last(), F.desc("id")], "place", {"total": F.col("n")}).collect()}
+    total = 0
+    for place, (i, _, n) in enumerate(sorted(values, key=lambda x: (x[1] is None, x[1] or 0, -x[0])), 1):
+        total += n
+        assert got[i] == (place, total)
+    assert running.numbered(d.limit(0), [F.col("id")], "place").count() == 0
