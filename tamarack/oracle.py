@@ -191,6 +191,13 @@ _REPORT = (
     "CASE WHEN total IS NULL THEN 'unmatched' WHEN decision = 'pursue' AND ex THEN 'excluded_positive' WHEN decision = 'pursue' AND NOT took THEN 'false_negative' WHEN decision = 'pass' AND took THEN 'false_positive' ELSE '' END AS disagreement FROM q6)"
 )
 
+_SQUEEZED = "lower(trim(regexp_replace({}, '\\s+', ' ', 'g'), ' '))".format
+_QUOTED = (
+    "l AS (SELECT doc_id, text, regexp_extract(text, '^\\s*([^\\n]*)', 1) AS line FROM documents WHERE text IS NOT NULL), "
+    "m AS (SELECT doc_id, text, CASE WHEN doc_id % 2 = 0 THEN lower(line) ELSE line || ' zz' END AS quote FROM l), "
+    f"q AS (SELECT doc_id, quote, contains({_SQUEEZED('text')}, {_SQUEEZED('quote')}) AS there, list_transform(regexp_extract_all(text, '\\d[\\d,]*'), lambda x: try_cast(replace(x, ',', '') AS BIGINT)) AS numbers FROM m)"
+)
+
 ORACLE: dict[str, str] = {
     "name_key_companies": "WITH " + with_key("companies", "canonical_name", "id") + f", w AS (SELECT id, name_key, array_to_string(list_sort(list_distinct(list_transform({expanded('the_name')}, lambda w: {singular('w')}))), ' ') AS word_keys, "
     f"list_filter({tokens('the_name')}, lambda w: w NOT IN ('and', 'the')) AS q FROM keyed) SELECT id, name_key, word_keys, array_to_string(list_filter({drop_endings('q')}, lambda w: NOT list_contains({_list(GENERIC)}, w) AND length(w) >= 3 AND NOT regexp_matches(w, '^[0-9]+$')), ' ') AS distinctive FROM w",
@@ -268,8 +275,7 @@ ORACLE: dict[str, str] = {
     "SELECT doc_id, sha256(array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), chr(10))) AS lines FROM l",
     "clean_lists": f"WITH x AS (SELECT company_id, list_sort(list(coalesce(lang, 'n/a'))) AS x FROM documents WHERE company_id IS NOT NULL GROUP BY 1), y AS (SELECT company_id, list_filter(list_transform(x, lambda v: trim(v, ' ')), lambda v: NOT list_contains({_list(EMPTY)}, lower(v))) AS x FROM x), z AS (SELECT company_id, x, list_transform(x, lambda v: lower(v)) AS l FROM y) SELECT company_id, array_to_string(list_slice(list_filter(x, lambda v, i: list_position(l, lower(v)) = i), 1, 10), '|') AS langs FROM z",
     "header_parts": "SELECT event_id, 'iso-' || (event_id % 9) AS charset, 'extract ' || event_id || '.zip' AS filename, CASE WHEN event_id % 3 <> 0 THEN event_id % 100 END AS retry_after FROM events",
-    "grounded_quotes": "WITH d AS (SELECT doc_id, text, regexp_replace(text, '[ \\t\\r\\n]+', ' ', 'g') AS body FROM documents WHERE text IS NOT NULL AND length(trim(text, ' ')) > 60), q AS (SELECT *, CASE WHEN doc_id % 2 = 0 THEN upper(body[5:44]) ELSE body[5:24] || ' zz' END AS quote FROM d) "
-    "SELECT doc_id, contains(lower(body), lower(quote)) AS quoted, list_contains(list_transform(regexp_extract_all(text, '\\d[\\d,]*'), lambda x: try_cast(replace(x, ',', '') AS BIGINT)), 1900 + doc_id % 120) AS year_there FROM q",
+    "grounded_quotes": f"WITH {_QUOTED} SELECT doc_id, (1 + (NOT list_contains({_list(EMPTY)}, lower(trim(quote, ' '))))::INT)::INT AS quotes, (NOT list_contains({_list(EMPTY)}, lower(trim(quote, ' '))) AND there)::INT AS quoted FROM q",
     "fiscal_windows": "SELECT o_orderkey, year(o_orderdate)::INT + (month(o_orderdate) >= 10)::INT AS fiscal_year, (date_trunc('month', o_orderdate)::DATE + ((7 - dayofweek(date_trunc('month', o_orderdate))) % 7)::INT)::DATE AS first_sunday FROM orders",
     "number_formats": "SELECT p_partkey, format('{:,}', p_partkey * 1000) AS grouped, p_size::VARCHAR AS general, p_size || CASE WHEN p_size % 100 BETWEEN 10 AND 20 THEN 'th' WHEN p_size % 10 = 1 THEN 'st' WHEN p_size % 10 = 2 THEN 'nd' WHEN p_size % 10 = 3 THEN 'rd' ELSE 'th' END AS ordinal FROM part",
     "review_rows": f"WITH {_REVIEW}, r AS (SELECT id, source_record_id AS ref, {_NOW('name')} AS name, {_NOW('website')} AS domain, {_NOW('state')} AS state, {_NOW('city')} AS city FROM raw_records) SELECT kind, reason, round(score, 1) AS name_similarity, "
@@ -295,4 +301,9 @@ ORACLE: dict[str, str] = {
     "draws AS (SELECT r.r, n.positive, ('0x' || substr(sha256('11:' || r.r || ':' || n.positive::INT || ':' || n.i), 1, 12))::BIGINT % n.n AS i FROM nums n, range(2000) r(r)), "
     "gaps AS (SELECT draws.r, avg(n.score) FILTER (n.positive) - avg(n.score) FILTER (NOT n.positive) AS gap FROM draws JOIN nums n ON n.positive = draws.positive AND n.i = draws.i GROUP BY 1), enough_ AS (SELECT count(*) FILTER (positive) >= 5 AND count(*) FILTER (NOT positive) >= 5 AS enough FROM items) "
     "SELECT CASE WHEN (SELECT enough FROM enough_) THEN quantile_cont(gap, 0.025) END AS low, CASE WHEN (SELECT enough FROM enough_) THEN quantile_cont(gap, 0.975) END AS high FROM gaps",
+    "grounded_extractions": f"WITH {_QUOTED}, y AS (SELECT *, 1650 + doc_id % 370 AS year, NOT list_contains({_list(EMPTY)}, lower(trim(quote, ' '))) AND there AS kept FROM q) SELECT doc_id, (kept AND list_contains(numbers, year))::INT AS evidence, CASE WHEN list_contains(numbers, year) THEN year END AS founded_year, NOT list_contains(numbers, 5) AS floor_dropped, "
+    "array_to_string(list_filter(['family_owned', CASE WHEN year < 1700 THEN 'founded_year' END, CASE WHEN doc_id % 12 IN (0, 11) THEN 'generation' END], lambda x: x IS NOT NULL), ',') AS invalid FROM y",
+    "csv_records": "SELECT id, trim(canonical_name, ' ') AS name, nullif(trim(domain, ' '), '') AS website, nullif(trim(city, ' '), '') AS city, nullif(trim(state, ' '), '') AS state, employee_count AS employees, 'Remarks' AS further, 'mail [removed] or [removed], ' || id AS remarks FROM companies WHERE trim(canonical_name, ' ') <> ''",
+    "label_file": f"SELECT trim(company_name, ' ') AS company_name, nullif(trim(website, ' '), '') AS website, nullif(trim(state, ' '), '') AS state, {_DECISION} AS decision, count(*) AS labels, count(*) AS rows FROM label_rows WHERE {_DECISION} IS NOT NULL AND trim(company_name, ' ') <> '' GROUP BY 1, 2, 3, 4",
+    "streamed_deliveries": f"SELECT id, source, source_record_id, payload_hash FROM raw_records QUALIFY {_LAST}",
 }

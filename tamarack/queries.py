@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import geo, keys, persons, text, times, values, web
-from .functions.grounding import grounded, invalid, normalised
+from .functions.grounding import grounded, invalid, normalised, quoted
 from .functions.pages import best_links, page_links, read_page, site_names
 from .operators import canon, cluster, evaluate, market, match, sample, score, upsert
 from .oracle import ORACLE
 from .plans import evaluation, reports
 from .plans.resolve import load_records, resolve
 from .plans.thesis import Range, Thesis
-from .session import few_rows, settle
+from .session import ensure_checkpoint_dir, few_rows, settle
+from .sources import files
+from .streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -337,10 +340,8 @@ def json_values(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def label_groups(spark: SparkSession, folder: str) -> DataFrame:
     """Labels by key: how many, and whether they agree."""
-    from .sources.files import LABELS
-
     said = F.lower(F.trim("decision"))
-    means = F.when(said.isin(*LABELS["pursue"]), "pursue").when(said.isin(*LABELS["pass"]), "pass")
+    means = F.when(said.isin(*files.LABELS["pursue"]), "pursue").when(said.isin(*files.LABELS["pass"]), "pass")
     rows = table(spark, folder, "label_rows").withColumn("d", means).filter("d is not null and key is not null")
     return rows.groupBy("key").agg(F.count("*").alias("labels"), (F.count_distinct("d") == 1).alias("agree"), F.min("d").alias("first_decision"))
 
@@ -593,30 +594,33 @@ def page_link_choice(spark: SparkSession, folder: str) -> DataFrame:
     return per.select("domain", F.array_join(best_links(links, 5), " ").alias("links"))
 
 
+def _extractions(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, text, x): an extraction made of each document, with quotes that stand in it and such that don't."""
+    d = _docs(spark, folder)
+    line = F.regexp_extract("text", "^\\s*([^\\n]*)", 1)
+    mine = F.when(F.col("doc_id") % 2 == 0, F.lower(line)).otherwise(F.concat(line, F.lit(" zz")))
+    raw = F.struct(
+        F.col("text").alias("summary"), F.array(F.lit("castings "), F.lit("Castings"), F.lit("n/a")).alias("product_lines"), F.array(F.lit("aerospace")).alias("end_markets"), F.lit("maker").alias("business_model"),
+        F.struct((F.col("doc_id") % 300).alias("employee_count"), F.regexp_extract("text", "[^.]*employees[^.]*", 0).alias("employee_count_quote"), F.lit(2).cast("bigint").alias("facility_count"), F.lit(5).cast("bigint").alias("facility_sqft_total"), (1650 + F.col("doc_id") % 370).alias("founded_year")).alias("size_signals"),
+        F.struct(F.lit("yes").alias("founder_led"), F.lit("maybe").alias("family_owned"), (F.col("doc_id") % 12).alias("generation"), F.lit("no").alias("pe_or_strategic_backed"), F.lit("unknown").alias("publicly_traded")).alias("ownership"),
+        F.array(F.struct(F.lit("founded_year").alias("claim"), F.lit("/").alias("page"), mine.alias("quote")), F.struct(F.lit("x").alias("claim"), F.lit("/").alias("page"), F.lit("not there at all").alias("quote"))).alias("evidence"),
+    )
+    return settle(d.select("doc_id", "text", raw.alias("x"))).withColumn("x", normalised(F.col("x")))
+
+
 @query
 def grounded_quotes(spark: SparkSession, folder: str) -> DataFrame:
-    """Quotes that stand verbatim in their document, and founding years that it names."""
-    d = _docs(spark, folder).filter("length(trim(text)) > 60")
-    body = F.regexp_replace("text", "[ \t\r\n]+", " ")
-    quote = F.when(F.col("doc_id") % 2 == 0, F.upper(F.substring(body, 5, 40))).otherwise(F.concat(F.substring(body, 5, 20), F.lit(" zz")))
-    there = F.contains(F.lower(body), F.lower(quote))
-    year = (1900 + F.col("doc_id") % 120).cast("bigint")
-    return d.select("doc_id", there.alias("quoted"), F.array_contains(text.numbers_in(F.col("text")), year).alias("year_there"))
+    """How many pieces of each extraction's evidence have a quote, and how many of the quotes stand in the document."""
+    rows = _extractions(spark, folder)
+    return rows.select("doc_id", F.size("x.evidence").alias("quotes"), F.size(quoted(F.col("x.evidence"), F.col("text"))).alias("quoted"))
 
 
 @query
 def grounded_extractions(spark: SparkSession, folder: str) -> DataFrame:
-    """Extractions made of documents, cleaned, grounded and checked (rows only)."""
-    d = _docs(spark, folder)
-    raw = F.struct(
-        F.substring("text", 1, 200).alias("summary"), F.array(F.lit("castings "), F.lit("Castings"), F.lit("n/a")).alias("product_lines"), F.array(F.lit("aerospace")).alias("end_markets"), F.lit("maker").alias("business_model"),
-        F.struct((F.col("doc_id") % 300).alias("employee_count"), F.regexp_extract("text", "[^.]*employees[^.]*", 0).alias("employee_count_quote"), F.lit(2).cast("bigint").alias("facility_count"), F.lit(5).cast("bigint").alias("facility_sqft_total"), (1650 + F.col("doc_id") % 370).alias("founded_year")).alias("size_signals"),
-        F.struct(F.lit("yes").alias("founder_led"), F.lit("maybe").alias("family_owned"), (F.col("doc_id") % 12).alias("generation"), F.lit("no").alias("pe_or_strategic_backed"), F.lit("unknown").alias("publicly_traded")).alias("ownership"),
-        F.array(F.struct(F.lit("founded_year").alias("claim"), F.lit("/").alias("page"), F.substring("text", 1, 30).alias("quote")), F.struct(F.lit("x").alias("claim"), F.lit("/").alias("page"), F.lit("not there at all").alias("quote"))).alias("evidence"),
-    )
-    rows = settle(d.select("doc_id", "text", raw.alias("x"))).withColumn("x", normalised(F.col("x")))
+    """Extractions made of documents, cleaned, grounded and checked."""
+    rows = _extractions(spark, folder)
     out, dropped = grounded(F.col("x"), F.col("text"))
-    return rows.select("doc_id", F.size(out["evidence"]).alias("evidence"), out["size_signals"]["employee_count"].alias("employee_count"), F.array_join(dropped, ",").alias("dropped"), F.array_join(invalid(F.col("x")), ",").alias("invalid"))
+    return rows.select("doc_id", F.size(out["evidence"]).alias("evidence"), out["size_signals"]["founded_year"].alias("founded_year"), F.array_contains(dropped, "facility_sqft_total").alias("floor_dropped"), F.array_join(invalid(F.col("x")), ",").alias("invalid"))
 
 
 @query
@@ -675,10 +679,8 @@ def rows_to_label(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def label_conflicts(spark: SparkSession, folder: str) -> DataFrame:
     """All label rows of the keys whose labels disagree."""
-    from .sources.files import LABELS
-
     said = F.lower(F.trim("decision"))
-    rows = table(spark, folder, "label_rows").withColumn("decision", F.when(said.isin(*LABELS["pursue"]), "pursue").when(said.isin(*LABELS["pass"]), "pass"))
+    rows = table(spark, folder, "label_rows").withColumn("decision", F.when(said.isin(*files.LABELS["pursue"]), "pursue").when(said.isin(*files.LABELS["pass"]), "pass"))
     return reports.label_conflicts(rows)
 
 
@@ -724,3 +726,42 @@ def website_records(spark: SparkSession, folder: str) -> DataFrame:
     results = targets.select("search_key", "company_id", F.when(found, "found").otherwise("none").alias("status"), F.when(found, F.concat(F.lit("c"), "company_id", F.lit(".example"))).alias("domain"), F.when(found, 0.9).alias("confidence"), F.expr("timestamp '2026-01-01'").alias("finished_at"))
     rows = reports.website_records(table(spark, folder, "raw_records"), results, targets)
     return rows.groupBy("source").agg(F.count("*").alias("records"), F.max(values.payload_field(F.col("payload_json"), "website").cast("string")).alias("last_website"))
+
+
+# ---- sources and streams, over files made of the tables -----------------------------------------------------------------
+
+
+def _made(rows: DataFrame, what: str) -> str:
+    """A folder of CSV files made of rows, in the checkpoint folder."""
+    path = f"{ensure_checkpoint_dir(rows.sparkSession)}/{what}-{uuid.uuid4().hex}"
+    rows.write.option("header", True).option("escape", '"').option("sep", ";").csv(path)
+    return path
+
+
+@query
+def csv_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Companies written as a list with foreign headers and contact columns, and read again by the CSV source."""
+    c = table(spark, folder, "companies")
+    listed = c.select(F.col("id").alias("Record ID"), F.col("canonical_name").alias("Company Name"), F.col("domain").alias("Web Site"), F.col("city").alias("City"), F.col("state").alias("State"), F.col("employee_count").alias("Employees"),
+                      F.lit("Ann Lee").alias("Contact Name"), F.concat(F.lit("info@c"), "id", F.lit(".example")).alias("Reach"), F.concat(F.lit("mail a.b@c.test or 203-555-0148, "), "id").alias("Remarks"))
+    out = files.read_csv(spark, _made(listed, "list"), {"source_record_id": "Record ID"})
+    return out.select(F.col("source_record_id").cast("bigint").alias("id"), "name", "website", "city", "state", "employees", F.array_join(F.array_sort(F.map_keys("extra")), ",").alias("further"), F.try_element_at("extra", F.lit("Remarks")).alias("remarks"))
+
+
+@query
+def label_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Label rows whose decision means something, written as a file and read again by the labels source."""
+    said = F.lower(F.trim("decision"))
+    rows = table(spark, folder, "label_rows").filter(said.isin(*files.LABELS["pursue"], *files.LABELS["pass"]))
+    out = files.read_labels(spark, _made(rows.select(F.col("company_name").alias("Company"), F.col("website").alias("Website"), F.col("state").alias("ST"), F.col("decision").alias("Verdict")), "labels"), {"state": "ST"})
+    return out.groupBy("company_name", "website", "state", "decision").agg(F.count("*").alias("labels"), F.count_distinct("row_number").alias("rows"))
+
+
+@query
+def streamed_deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    """The last delivery of each record, kept by a stream of the deliveries."""
+    path = f"{ensure_checkpoint_dir(spark)}/deliveries-{uuid.uuid4().hex}"
+    rows = table(spark, folder, "raw_records")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/raw_records.parque[t]")  # a pattern, as the table may be a file or a folder
+    ingest.keep_table(stream, path, ["source", "source_record_id"], "payload_hash", ["ingested_at", "id"], f"{path}-progress").awaitTermination()
+    return ingest.current_table(spark, path, rows.schema).select("id", "source", "source_record_id", "payload_hash")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -54,7 +55,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if known.isDefined():
         return known.get()
     named = context.getConf().get("spark.checkpoint.dir", None)
-    if named is None and not context.master.startswith("local"):
+    if named is None and not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("spark.checkpoint.dir names no shared folder")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tamarack-checkpoint-"))
     return context._jsc.sc().getCheckpointDir().get()

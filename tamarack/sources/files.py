@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import typed_int, typed_revenue
 from ..functions.text import MAIL, NUMBER, scrub_contacts
+from ..session import settle
 
 
 class SourceError(ValueError):
@@ -65,13 +66,32 @@ def is_contact_header(header: str) -> bool:
     return bool(CONTACT_WORDS & set(words) or CONTACT_PAIRS & set(zip(words, words[1:])))
 
 
-def sniff(path: str | Path, size: int = 8192) -> str:
+def _head(spark: SparkSession, path: str | Path, size: int) -> str:
+    """The first bytes of a file, or of the first file of a folder, wherever the session's file systems have it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(str(path))
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted((str(f.getPath()) for f in fs.listStatus(where) if f.isFile() and f.getLen() and not f.getPath().getName().startswith(("_", "."))))
+    if not files:
+        return ""
+    stream = fs.open(spark._jvm.org.apache.hadoop.fs.Path(files[0]))
+    try:
+        return bytes(stream.readNBytes(size)).decode("utf-8-sig", "replace")
+    finally:
+        stream.close()
+
+
+def sniff(spark: SparkSession, path: str | Path, size: int = 8192) -> str:
     """The delimiter of a CSV file among comma, semicolon, tab and bar; a comma if it can't be told."""
-    with open(path, encoding="utf-8-sig", errors="replace", newline="") as f:
-        try:
-            return csv.Sniffer().sniff(f.read(size), delimiters=",;\t|").delimiter
-        except csv.Error:
-            return ","
+    try:
+        return csv.Sniffer().sniff(_head(spark, path, size), delimiters=",;\t|").delimiter
+    except csv.Error:
+        return ","
+
+
+def _table(spark: SparkSession, path: str | Path) -> DataFrame:
+    """A CSV file as strings: quoted fields may hold line breaks."""
+    rows = spark.read.option("header", True).option("sep", sniff(spark, path)).option("multiLine", True).option("quote", '"').option("escape", '"').csv(str(path))
+    return rows.toDF(*[c.lstrip("\ufeff") for c in rows.columns])
 
 
 def plan_columns(table: DataFrame, overrides: Mapping[str, str] | None = None) -> tuple[dict[str, str], list[str], list[str]]:
@@ -107,8 +127,7 @@ def plan_columns(table: DataFrame, overrides: Mapping[str, str] | None = None) -
 @source("csv")
 def read_csv(spark: SparkSession, path: str, overrides: Mapping[str, str] | None = None, revenue_unit: str = "usd_m") -> DataFrame:
     """Records of a CSV list in the shape of raw records; rows without a name are left out, contact details in texts are removed."""
-    table = spark.read.option("header", True).option("sep", sniff(path)).option("multiLine", True).option("quote", '"').option("escape", '"').csv(str(path))
-    table = table.toDF(*[c.lstrip("﻿") for c in table.columns])
+    table = _table(spark, path)
     plan, _, extra = plan_columns(table, overrides)
     get = lambda f: F.nullif(F.trim(F.col(f"`{plan[f]}`")), F.lit("")) if f in plan else F.lit(None).cast("string")
     rest = [x for h in extra for x in (F.lit(h), scrub_contacts(F.col(f"`{h}`")))]
@@ -122,20 +141,40 @@ def read_csv(spark: SparkSession, path: str, overrides: Mapping[str, str] | None
 LABELS = {"pursue": "pursue yes y 1 true target".split(), "pass": "pass no n 0 false".split()}
 
 
+def _row_numbers(table: DataFrame, out: str, first: int) -> DataFrame:
+    """Adds the number of each row in the order of the files; rows are counted by partitions, one row each at the driver."""
+    place = F.monotonically_increasing_id()
+    marked = settle(table.withColumn("__id", place).withColumn("__part", F.shiftright("__id", 33).cast("int")))
+    starts, total = [], first
+    for r in marked.groupBy("__part").agg(F.count("*").alias("n"), F.min("__id").alias("low")).orderBy("__part").collect():
+        starts.append((r["__part"], total - r.low))
+        total += r.n
+    offsets = F.broadcast(table.sparkSession.createDataFrame(starts, "__part int, __start bigint"))
+    return marked.join(offsets, "__part").withColumn(out, F.col("__id") + F.col("__start")).drop("__id", "__part", "__start")
+
+
 @source("labels")
-def read_labels(spark: SparkSession, path: str) -> DataFrame:
-    """(row_number, company_name, website, state, decision) of a labels file; SourceError with the numbers of rows whose decision means nothing."""
-    table = spark.read.option("header", True).option("sep", sniff(path)).csv(str(path))
-    plan, _, _ = plan_columns(table)
-    verdict = next((h for h in table.columns if squash(h) in ("decision", "label", "verdict")), None)
-    if verdict is None:
+def read_labels(spark: SparkSession, path: str, columns: Mapping[str, str] | None = None, decisions: Mapping[str, str] | None = None) -> DataFrame:
+    """(row_number, company_name, website, state, decision) of a labels file; SourceError with the numbers of rows whose decision means nothing.
+
+    Row numbers are those of a table on a screen: the header is row 1.  ``columns`` gives headers by field (name, website,
+    state, decision), ``decisions`` what further words mean (pursue or pass); both beside what is known anyway.
+    """
+    table = _table(spark, path)
+    named = dict(columns or {})
+    verdict = named.pop("decision", None) or next((h for h in table.columns if squash(h) in ("decision", "label", "verdict")), None)
+    if verdict is None or verdict not in table.columns:
         raise SourceError("no column for the decision")
+    if bad := sorted(set((decisions or {}).values()) - set(LABELS)):
+        raise SourceError(f"a decision is pursue or pass, not {bad[0]}")
+    plan, _, _ = plan_columns(table, named)
     text = lambda f: F.nullif(F.trim(F.col(f"`{plan[f]}`")), F.lit("")) if f in plan else F.lit(None).cast("string")
     said = F.lower(F.trim(F.col(f"`{verdict}`")))
-    means = F.when(said.isin(*LABELS["pursue"]), "pursue").when(said.isin(*LABELS["pass"]), "pass")
-    numbered = table.select(F.monotonically_increasing_id().alias("row_number"), text("name").alias("company_name"), text("website").alias("website"), text("state").alias("state"), means.alias("decision"))
-    rows = numbered.filter("company_name is not null").withColumn("row_number", F.col("row_number") + 2)
-    bad = [r.row_number for r in rows.filter("decision is null").select("row_number").limit(20).collect()]
+    words = {d: [*LABELS[d], *(k.strip().lower() for k, v in (decisions or {}).items() if v == d)] for d in LABELS}
+    means = F.when(said.isin(*words["pursue"]), "pursue").when(said.isin(*words["pass"]), "pass")
+    rows = _row_numbers(table.select(text("name").alias("company_name"), text("website").alias("website"), text("state").alias("state"), means.alias("decision")), "row_number", 2)
+    rows = rows.filter("company_name is not null").select("row_number", "company_name", "website", "state", "decision")
+    bad = [r.row_number for r in rows.filter("decision is null").select("row_number").orderBy("row_number").limit(20).collect()]
     if bad:
         raise SourceError(f"no decision in rows {', '.join(map(str, bad))}")
     return rows

@@ -96,12 +96,11 @@ def test_streams(spark, tmp_path):
 
     put("a", [("x", "1", "2025-01-01 00:00:00", 1), ("x", "2", "2025-01-02 00:00:00", 2), ("y", "1", "2025-01-01 00:00:00", 1)])
     stream = spark.readStream.schema(kind).parquet(str(feed) + "/*")
-    keep = lambda: ingest.keep_table(stream, str(tmp_path / "out"), ["k"], "h", "t", str(tmp_path / "cp")).awaitTermination(60)
+    keep = lambda: ingest.keep_table(stream, str(tmp_path / "out"), ["k"], "h", ["t"], str(tmp_path / "cp")).awaitTermination(60)
     assert keep()
     put("b", [("y", "1", "2025-01-03 00:00:00", 9), ("z", "1", "2025-01-03 00:00:00", 3)])
     assert keep()
-    last = max(os.listdir(tmp_path / "out"))
-    assert {(r.k, r.v) for r in spark.read.parquet(str(tmp_path / "out" / last)).collect()} == {("x", 2), ("y", 1), ("z", 3)}
+    assert {(r.k, r.v) for r in ingest.current_table(spark, str(tmp_path / "out"), spark.read.parquet(str(feed / "a")).schema).collect()} == {("x", 2), ("y", 1), ("z", 3)}
     days = ingest.requests_by_day(stream, "t", "k").writeStream.format("memory").queryName("days").outputMode("complete").trigger(availableNow=True).start()
     assert days.awaitTermination(60) and spark.table("days").agg(F.sum("requests")).first()[0] == 5
 
@@ -121,3 +120,30 @@ def test_resolve(spark):
     assert got == {77: ("Acme Tools Inc", "acme.test", 40), 5: ("Birch Mill", None, None), 78: (None, None, None)}
     split = spark.createDataFrame([(2, 3, "split")], "a bigint, b bigint, kind string")
     assert resolve(rows, [], order, former, split).companies.count() == 4
+
+
+def test_label_rows_are_numbered_over_all_files(spark, tmp_path):
+    rows = [(f"c{i}" if i % 7 else "", None, "two\nlines" if i % 3 else "GA", "ja" if i % 2 else "nein") for i in range(60)]
+    spark.createDataFrame(rows, "Firm string, website string, ST string, said string").repartition(5).write.option("header", True).option("escape", '"').csv(str(tmp_path / "l"))
+    got = files.read_labels(spark, str(tmp_path / "l"), {"name": "Firm", "state": "ST", "decision": "said"}, {"Ja": "pursue", "nein ": "pass"}).collect()
+    numbers = [r.row_number for r in got]
+    assert len(set(numbers)) == len(numbers) == sum(1 for i in range(60) if i % 7) and min(numbers) >= 2 and max(numbers) <= 61
+    assert {(r.company_name, r.decision) for r in got} == {(a, "pursue" if d == "ja" else "pass") for a, _, _, d in rows if a} and {r.state for r in got} == {"GA", "two\nlines"}
+    with pytest.raises(files.SourceError, match="pursue or pass"):
+        files.read_labels(spark, str(tmp_path / "l"), {"name": "Firm", "decision": "said"}, {"ja": "perhaps"})
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
+    kind = "k string, h string, t int"
+    where = str(tmp_path / "out")
+    ingest._point(spark, where, 4, 3)
+    assert ingest._pointer(spark, where) == (4, 3)
+    ingest._point(spark, where, 5, None)
+    assert ingest._pointer(spark, where) == (5, None)
+    feed = tmp_path / "feed2"
+    spark.createDataFrame([("x", "1", 1)], kind).write.parquet(str(feed / "a"))
+    for progress in ("p1", "p2"):  # the second stream has forgotten that batch 0 was done
+        stream = spark.readStream.schema(kind).parquet(str(feed) + "/*")
+        ingest.keep_table(stream, str(tmp_path / "kept"), ["k"], "h", ["t"], str(tmp_path / progress)).awaitTermination(60)
+        assert [tuple(r) for r in ingest.current_table(spark, str(tmp_path / "kept"), spark.createDataFrame([], kind).schema).collect()] == [("x", "1", 1)]
+    assert ingest.current_table(spark, str(tmp_path / "nothing"), spark.createDataFrame([], kind).schema).count() == 0
