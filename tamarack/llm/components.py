@@ -29,15 +29,16 @@ def peel_giant(edges: DataFrame, rounds: int = BFS_ROUNDS) -> tuple[DataFrame, D
     """
     near = settle(_both(edges))
     top = near.groupBy("src").count().agg(F.max_by("src", F.struct(F.col("count"), -F.col("src"))).alias("hub")).first().hub
-    reached = settle(edges.sparkSession.createDataFrame([(top,)], "node bigint").withColumn("step", F.lit(0)))
-    for step in range(1, rounds + 1):
-        last = reached.filter(F.col("step") == step - 1)
-        new = near.join(last, near.src == last.node, "left_semi").select(F.col("dst").alias("node")).distinct().join(reached, "node", "left_anti")
-        grown = settle(reached.unionByName(new.withColumn("step", F.lit(step))))
-        release(reached)
-        reached = grown
-        if not reached.filter(F.col("step") == step).take(1):
+    last = edges.sparkSession.range(top, top + 1).withColumnRenamed("id", "node")
+    reached, rings = last, []
+    for _ in range(rounds):
+        new = near.join(last, near.src == last.node, "left_semi").select(F.col("dst").alias("node")).distinct()
+        last = settle(new.join(reached, "node", "left_anti"))  # a round writes its own ring only
+        if not last.take(1):
+            release(last)
             break
+        rings.append(last)
+        reached = reached.unionByName(last)
     hub = F.lit(top).cast("bigint")
     inside = reached.select(F.col("node").alias("n"))
     out_u = edges.join(inside.withColumnRenamed("n", "u").withColumn("iu", F.lit(True)), "u", "left")
@@ -90,8 +91,9 @@ def components(pairs: DataFrame, a: str, b: str) -> DataFrame:
     giant, rest = peel_giant(edges)
     small = propagate(rest)
     roots = small.join(giant.select("node"), "node", "left_anti")
-    hubs = giant.join(small.select(F.col("node").alias("hub"), F.col("root")), "hub", "left").select("node", F.coalesce("root", "hub").alias("root"))
-    every = settle(roots.unionByName(hubs))
+    hub = giant.select("hub").first().hub  # the same for all of them
+    root = small.filter(F.col("node") == hub).select("root").first()
+    every = settle(roots.unionByName(giant.select("node", F.lit(root.root if root else hub).cast("bigint").alias("root"))))
     least = every.groupBy("root").agg(F.min("node").alias("group_id"))
     return every.join(least, "root").select(F.col("node").alias("record_id"), "group_id")
 

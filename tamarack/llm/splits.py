@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import state_code
 from ..functions.web import own_domain
 from ..operators.running import running_total, uniform
-from ..session import few_rows, release, settle
+from ..session import few_rows, settle
 from .components import links, propagate
 from .names import learn_words, name_struct
 from .tables import platforms, table
@@ -34,22 +34,14 @@ def frontier_components(pairs: DataFrame, a: str, b: str) -> DataFrame:
     rank = lambda c: F.struct(F.xxhash64(c), c)
     nearest = near.groupBy("src").agg(F.min_by("dst", rank(F.col("dst"))).alias("m"))
     seeds = nearest.filter(rank(F.col("src")) < rank(F.col("m")))
-    labels = settle(seeds.select(F.col("src").alias("node"), F.col("src").alias("seed"), F.lit(0).alias("step")))
+    front = labels = settle(seeds.select(F.col("src").alias("node"), F.col("src").alias("seed")))
     met: list[DataFrame] = []
-    step = 0
-    while True:
-        front = labels.filter(F.col("step") == step)
-        if not front.take(1):
-            break
-        step += 1
-        reached = settle(near.join(front, near.src == front.node).select(F.col("dst").alias("node"), F.col("seed").alias("by")).distinct().join(labels.select("node", "seed"), "node", "left"))
-        fresh = reached.filter("seed is null").groupBy("node").agg(F.min("by").alias("seed"))
+    while front.take(1):
+        reached = settle(near.join(front, near.src == front.node).select(F.col("dst").alias("node"), F.col("seed").alias("by")).distinct().join(labels, "node", "left"))
+        fresh = settle(reached.filter("seed is null").groupBy("node").agg(F.min("by").alias("seed")))  # a round writes its own frontier only
         met.append(reached.filter("seed <> by").select("seed", "by"))
-        clash = reached.filter("seed is null").drop("seed").join(fresh, "node").filter("seed <> by").select("seed", "by")
-        met.append(settle(clash.distinct()))
-        grown = settle(labels.unionByName(fresh.select("node", "seed", F.lit(step).alias("step"))))
-        release(labels)
-        labels = grown
+        met.append(reached.filter("seed is null").drop("seed").join(fresh, "node").filter("seed <> by").select("seed", "by"))
+        front, labels = fresh, labels.unionByName(fresh)
     out = labels.select("node", "seed")
     if met:
         small = met[0]

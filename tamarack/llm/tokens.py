@@ -27,7 +27,7 @@ REPLAY_WORDS = 50_000
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
-    """Place of a vocabulary file on this machine; executors have the same package."""
+    """Place of a vocabulary file on the machine that asks: each worker finds its own."""
     import public_tokenizers
 
     return str(public_tokenizers.path(name))
@@ -115,7 +115,6 @@ def encode_corpus(documents: DataFrame, key: str, text: str, path: str | None =
     merges are replayed over the corpus's distinct words, and each block meets the ids of its own words only, so no task
     holds more than a block (or its longest text) and its words.
     """
-    path = path or tokenizer_file()
     rows = documents.select(F.col(key).alias("__k"), F.col(text).alias("__t"))
     total = rows.agg(F.sum(F.octet_length("__t")).alias("b")).first().b or 0
     blocks = max(1, int(total // BLOCK_BYTES))
@@ -135,9 +134,10 @@ def encode_corpus(documents: DataFrame, key: str, text: str, path: str | None =
 
     def replayed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[str] = []
+        file = path or tokenizer_file()
 
         def done() -> pa.RecordBatch:
-            return pa.record_batch([pa.array(waiting, pa.string()), pa.array(replay(waiting, path), pa.list_(pa.int32()))], names=["word", "word_ids"])
+            return pa.record_batch([pa.array(waiting, pa.string()), pa.array(replay(waiting, file), pa.list_(pa.int32()))], names=["word", "word_ids"])
 
         for part in parts:
             waiting += part.column(0).to_pylist()
@@ -173,11 +173,10 @@ def ranked(path: str):
 
 def token_count(path: str | None = None):
     """Arrow UDF: the number of tokens of a text by the tokenizer's own library; 0 for null and empty texts."""
-    path = path or tokenizer_file()
 
     @F.pandas_udf(IntegerType())
     def count(texts: pd.Series) -> pd.Series:
-        t = ranked(path)
+        t = ranked(path or tokenizer_file())
         return pd.Series([0 if not x else len(t.encode(x, add_special_tokens=False).ids) for x in texts], dtype="int32")
 
     return count
