@@ -102,3 +102,14 @@ def country_code(c: Column) -> Column:
     """US for the ways to write the United States, else the text in capitals; blank gives null."""
     letters = F.regexp_replace(F.lower(c), "[^a-z]", "")
     return F.when(letters.isin("us", "usa", "unitedstates", "unitedstatesofamerica"), "US").otherwise(F.nullif(F.upper(F.trim(c)), F.lit("")))
+
+
+def area_slug(code: Column) -> Column:
+    """A state's name as map files are called: small letters, hyphens for spaces; null for what is no state's code."""
+    return F.try_element_at(literal_map({c: n.lower().replace(" ", "-") for c, n in STATES.items()}), code)
+
+
+def city_title(c: Column) -> Column:
+    """A city in capitals as it is written: each run of letters with a capital first, also after hyphens, apostrophes and digits."""
+    parts = F.regexp_extract_all(F.lower(c), F.lit("\\p{L}+|[^\\p{L}]+"), F.lit(0))
+    return F.array_join(F.transform(parts, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.substring(x, 2, 1_000_000))), "")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from ipaddress import ip_address
+from urllib.parse import urlsplit
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,3 +51,17 @@ def own_domain(c: Column, platforms: Sequence[str] = ()) -> Column:
     """Registrable domain of a company's own web address; null for platforms, shared hosts, mail addresses and fillers."""
     shared = [*SHARED_HOSTS, *platforms]
     return let(host_of(c), lambda host: F.when(~host.isin(*shared), let(registrable(host), lambda d: F.when(~d.isin(*shared), d))))
+
+
+def homepages(domain: Column) -> Column:
+    """Addresses under which a domain's first page may be, in the order to try them."""
+    return F.array(*[F.concat(F.lit(head), domain, F.lit("/")) for head in ("https://", "https://www.", "http://")])
+
+
+def is_local(url: str) -> bool:
+    """Whether a service's address is this very machine's, by name or number; names are not looked up."""
+    host = (urlsplit(url).hostname or "").lower()
+    try:
+        return host == "localhost" or ip_address(host).is_loopback
+    except ValueError:
+        return False

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import fresh
+from ..session import settle
 
 
 def cacheable(status: Column) -> Column:
@@ -54,3 +55,22 @@ def not_sampled(rows: DataFrame, earlier: DataFrame) -> DataFrame:
     sites = earlier.select("domain").filter("domain is not null").distinct()
     names = earlier.select("name", "state").filter("name is not null and state is not null").distinct()
     return rows.join(sites, "domain", "left_anti").join(names, ["name", "state"], "left_anti")
+
+
+def spaced(requests: DataFrame, host: str, at: str, order: str, delay: float) -> DataFrame:
+    """Requests with ``starts``, the seconds at which each may go out: not before it is asked for, and ``delay`` seconds after the one before it to its host.
+
+    Request i of a host starts at the greatest of at(j) - j * delay over all j up to i, plus i * delay.  Places and greatest
+    values are worked out by ranges of the order (``at``, ``order``) and summed up a host and range, so no task holds a host.
+    """
+    ranged = settle(requests.repartitionByRange(host, at, order).withColumn("__part", F.spark_partition_id()))
+    inside = Window.partitionBy(host, "__part").orderBy(at, order)
+    placed = ranged.withColumn("__i", F.row_number().over(inside))
+    slack = F.col(at) - F.col("__i") * delay
+    parts = placed.groupBy(host, "__part").agg(F.count("*").alias("__n"), F.max(slack).alias("__top"))
+    before = Window.partitionBy(host).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row a host and partition
+    offsets = parts.withColumn("__skip", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    offsets = offsets.withColumn("__high", F.max(F.col("__top") - F.col("__skip") * delay).over(before)).select(F.col(host).alias("__h"), F.col("__part").alias("__p"), "__skip", "__high")
+    joined = placed.join(offsets, F.col(host).eqNullSafe(F.col("__h")) & (F.col("__part") == F.col("__p")))
+    upto = F.max(slack - F.col("__skip") * delay).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    return joined.withColumn("starts", F.greatest(upto, F.col("__high")) + (F.col("__i") + F.col("__skip")) * delay).drop("__part", "__i", "__h", "__p", "__skip", "__high")

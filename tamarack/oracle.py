@@ -306,4 +306,10 @@ ORACLE: dict[str, str] = {
     "csv_records": "SELECT id, trim(canonical_name, ' ') AS name, nullif(trim(domain, ' '), '') AS website, nullif(trim(city, ' '), '') AS city, nullif(trim(state, ' '), '') AS state, employee_count AS employees, 'Remarks' AS further, 'mail [removed] or [removed], ' || id AS remarks FROM companies WHERE trim(canonical_name, ' ') <> ''",
     "label_file": f"SELECT trim(company_name, ' ') AS company_name, nullif(trim(website, ' '), '') AS website, nullif(trim(state, ' '), '') AS state, {_DECISION} AS decision, count(*) AS labels, count(*) AS rows FROM label_rows WHERE {_DECISION} IS NOT NULL AND trim(company_name, ' ') <> '' GROUP BY 1, 2, 3, 4",
     "streamed_deliveries": f"SELECT id, source, source_record_id, payload_hash FROM raw_records QUALIFY {_LAST}",
+    "page_addresses": "WITH " + with_domain("companies", "domain", "id, city, state AS st") + f", x AS (SELECT id, domain, lower({fold('city')}) AS c, {state('st')} AS state FROM d) "
+    f"SELECT id, CASE WHEN domain IS NULL THEN '' ELSE 'https://' || domain || '/ https://www.' || domain || '/ http://' || domain || '/' END AS pages, {_map({c: n.lower().replace(' ', '-') for c, n in STATES.items()})}[state] AS area, "
+    "array_to_string(list_transform(regexp_extract_all(c, '[a-z]+|[^a-z]+'), lambda w: upper(w[1]) || w[2:]), '') AS city FROM x",
+    "kept_facts": "WITH d AS (SELECT company_id, max(n_chars) AS n FROM documents WHERE company_id IS NOT NULL GROUP BY 1), e AS (SELECT *, company_id % 4 <> 0 AS ok FROM d) SELECT c.id AS company_id, CASE WHEN ok THEN 'ok' WHEN NOT ok THEN 'llm_timeout' END AS enrichment_status, CASE WHEN ok THEN 'makes things' END AS summary, CASE WHEN ok THEN n END AS floor, "
+    "CASE WHEN ok THEN 'yes' END AS founder_led, CASE WHEN ok THEN 'castings' END AS product_lines FROM companies c LEFT JOIN e ON e.company_id = c.id",
+    "spaced_requests": "WITH e AS (SELECT event_id, event_type, epoch(date_trunc('second', ts))::DOUBLE AS asked, row_number() OVER (PARTITION BY event_type ORDER BY epoch(date_trunc('second', ts)), event_id) AS i FROM events) SELECT event_id, max(asked - i * 40.0) OVER (PARTITION BY event_type ORDER BY i ROWS UNBOUNDED PRECEDING) + i * 40.0 AS starts FROM e",
 }

@@ -98,3 +98,13 @@ def enrich(companies: DataFrame, pages: DataFrame, model: Callable[[str], str],
     told = F.transform("g.evidence", lambda e, i: e.withField("quote", F.get("m", i + 2)))
     clean = F.col("g").withField("summary", F.get("m", F.lit(0))).withField("size_signals.employee_count_quote", F.get("m", F.lit(1))).withField("evidence", told)
     return rows.withColumn("status", status).select("company_id", "status", F.when(F.col("status") == "ok", clean).alias("extraction"), "dropped", "key", "answer", "cache_hit", "latency_ms")
+
+
+def load_facts(companies: DataFrame, enrichments: DataFrame) -> DataFrame:
+    """The facts that score() takes: companies (id, name, domain, state, ...) with what was kept of their analysis.
+
+    ``enrichments`` holds (company_id, status, extraction_json); the JSON counts only where the status is ok.  Companies
+    without an analysis have null as status and extraction.
+    """
+    kept = enrichments.select("company_id", F.col("status").alias("enrichment_status"), F.when(F.col("status") == "ok", F.from_json("extraction_json", EXTRACTION)).alias("extraction"))
+    return companies.withColumnRenamed("id", "company_id").join(kept, "company_id", "left")

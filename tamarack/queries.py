@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from .functions import geo, keys, persons, text, times, values, web
 from .functions.grounding import grounded, invalid, normalised, quoted
 from .functions.pages import best_links, page_links, read_page, site_names
-from .operators import canon, cluster, evaluate, market, match, sample, score, upsert
+from .operators import cached, canon, cluster, evaluate, market, match, sample, score, upsert
 from .oracle import ORACLE
 from .plans import evaluation, reports
-from .plans.resolve import load_records, resolve
+from .plans.enrich import load_facts
+from .plans.resolve import load_records, resolve, resolve_stats
 from .plans.thesis import Range, Thesis
 from .session import ensure_checkpoint_dir, few_rows, settle
 from .sources import files
@@ -728,6 +729,37 @@ def website_records(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("source").agg(F.count("*").alias("records"), F.max(values.payload_field(F.col("payload_json"), "website").cast("string")).alias("last_website"))
 
 
+@query
+def page_addresses(spark: SparkSession, folder: str) -> DataFrame:
+    """Where companies' first pages may be, the map file of their state, and their city as it is written."""
+    c = table(spark, folder, "companies").select("id", web.own_domain(F.col("domain"), hosts(spark, folder)).alias("domain"), geo.state_code_or_text(F.col("state")).alias("state"), F.upper(geo.ascii_fold(F.col("city"))).alias("city"))
+    return c.select("id", F.array_join(web.homepages(F.col("domain")), " ").alias("pages"), geo.area_slug(F.col("state")).alias("area"), geo.city_title(F.col("city")).alias("city"))
+
+
+@query
+def kept_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts out of analyses that are kept as JSON, made of documents: every fourth failed."""
+    d = table(spark, folder, "documents").filter("company_id is not null").groupBy("company_id").agg(F.max("n_chars").alias("n"))
+    kept = F.to_json(F.struct(F.lit("makes things").alias("summary"), F.array(F.lit("castings")).alias("product_lines"), F.struct(F.col("n").alias("facility_sqft_total")).alias("size_signals"), F.struct(F.lit("yes").alias("founder_led")).alias("ownership")))
+    rows = d.select("company_id", F.when(F.col("company_id") % 4 == 0, "llm_timeout").otherwise("ok").alias("status"), kept.alias("extraction_json"))
+    out = load_facts(table(spark, folder, "companies").select("id"), rows)
+    return out.select("company_id", "enrichment_status", "extraction.summary", F.col("extraction.size_signals.facility_sqft_total").alias("floor"), F.col("extraction.ownership.founder_led").alias("founder_led"), F.array_join("extraction.product_lines", ",").alias("product_lines"))
+
+
+@query
+def resolved_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of a resolve run over all raw records (rows only)."""
+    former = table(spark, folder, "company_records").select(F.col("raw_record_id").alias("id"), "company_id")
+    return resolve_stats(resolve(table(spark, folder, "raw_records"), hosts(spark, folder), table(spark, folder, "source_priority"), former), former)
+
+
+@query
+def spaced_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """When each event could go out if those of a kind must be 40 seconds apart."""
+    e = table(spark, folder, "events").select("event_id", "event_type", F.unix_timestamp("ts").cast("double").alias("at"))
+    return cached.spaced(e, "event_type", "at", "event_id", 40.0).select("event_id", "starts")
+
+
 # ---- sources and streams, over files made of the tables -----------------------------------------------------------------
 
 

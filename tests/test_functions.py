@@ -136,3 +136,10 @@ def test_pages(spark):
     assert one(spark, lambda c: place_match(c, F.lit("macon"), F.lit("GA")), "in Macon today") == "city"
     assert one(spark, lambda c: place_match(c, F.lit("rome"), F.lit("GA")), "Macon, GA 31201") == "state"
     assert one(spark, lambda c: place_match(c, F.lit("rome"), F.lit("GA")), "mega") is None
+
+
+def test_places_of_pages(spark):
+    assert one(spark, web.homepages, "a.test") == ["https://a.test/", "https://www.a.test/", "http://a.test/"]
+    assert one(spark, geo.area_slug, "NC") == "north-carolina" and one(spark, geo.area_slug, "XX") is None and one(spark, geo.area_slug, None) is None
+    assert [one(spark, geo.city_title, c) for c in ("SAINT PAUL", "O'FALLON", "WINSTON-SALEM", "", None, "3RD BAY")] == ["Saint Paul", "O'Fallon", "Winston-Salem", "", None, "3Rd Bay"]
+    assert [web.is_local(u) for u in ("http://localhost:1/x", "http://127.0.0.1", "http://[::1]:5", "http://10.0.0.1", "http://example.com", "x")] == [True, True, True, False, False, False]

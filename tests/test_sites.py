@@ -124,3 +124,32 @@ def test_sinks(spark, tmp_path):
         raise KeyError
     entry = json.loads((tmp_path / "log").read_text())
     assert entry["status"] == "failed" and entry["stats"] == {"n": 3}
+
+
+def test_requests_are_spaced(spark):
+    import random
+
+    r = random.Random(2)
+    rows = [(i, r.choice(["a", "b", None]), float(r.choice([0, 0, 5, 40, 41, r.randrange(200)]))) for i in range(300)]
+    want, last = {}, {}
+    for i, host, at in sorted(rows, key=lambda x: (x[2], x[0])):
+        want[i] = last[host] = max(at, last.get(host, -1e9) + 2.5)
+    d = spark.createDataFrame(rows, "id bigint, host string, at double")
+    got = {x.id: x.starts for x in cached.spaced(d, "host", "at", "id", 2.5).collect()}
+    assert got == pytest.approx(want) and cached.spaced(d.limit(0), "host", "at", "id", 2.5).count() == 0
+
+
+def test_facts_and_counts(spark):
+    from tamarack.plans.enrich import load_facts
+    from tamarack.plans.resolve import Resolved, resolve_stats, stale_companies
+
+    firms = spark.createDataFrame([(1,), (2,), (3,)], "id bigint")
+    kept = spark.createDataFrame([(1, "ok", '{"summary": "x", "product_lines": ["a"]}'), (2, "failed", '{"summary": "y"}')], "company_id bigint, status string, extraction_json string")
+    got = {x.company_id: (x.enrichment_status, x.extraction and x.extraction.summary) for x in load_facts(firms, kept).collect()}
+    assert got == {1: ("ok", "x"), 2: ("failed", None), 3: (None, None)}
+    held = spark.createDataFrame([(1, 10), (2, 10), (3, 11)], "id bigint, company_id bigint")
+    former = spark.createDataFrame([(1, 10), (2, 12), (9, None)], "id bigint, company_id bigint")
+    review = spark.createDataFrame([("merge_blocked",), ("possible_match",)], "kind string")
+    counts = resolve_stats(Resolved(firms, held, review, firms.limit(1)), former).first().asDict()
+    assert counts == {"records": 3, "companies": 2, "multi_record": 1, "new": 1, "removed": 1, "review_items": 2, "merges_blocked": 1, "oversized_blocks": 1}
+    assert [x.company_id for x in stale_companies(held, former).collect()] == [12]
