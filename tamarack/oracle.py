@@ -136,10 +136,7 @@ _AGREED = _GROUPS + ", agreed AS (SELECT key, first_decision AS decision FROM gr
 
 
 def _items() -> str:
-    return (
-        f"{_scored()}, {_AGREED}, one AS (SELECT domain, min(company_id) AS company_id FROM scored WHERE domain IS NOT NULL GROUP BY domain), "
-        "items AS (SELECT s.company_id AS id, s.total AS score, a.decision = 'pursue' AS positive, s.excluded FROM one o JOIN scored s USING (company_id) JOIN agreed a ON a.key = 'd:' || o.domain)"
-    )
+    return f"{_REPORT}, items AS (SELECT company_id AS id, score, decision = 'pursue' AS positive, excluded = 'yes' AS excluded FROM report WHERE score IS NOT NULL)"
 
 
 _SPLIT = (

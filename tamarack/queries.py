@@ -362,11 +362,8 @@ def _labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def items(spark: SparkSession, folder: str) -> DataFrame:
-    """Scored companies with a label by their domain: (id, score, positive, excluded)."""
-    scored = score.score(facts(spark, folder), THESIS)
-    rows = scored.groupBy("domain").agg(F.min_by(F.struct("company_id", "total", "excluded"), "company_id").alias("x")).filter("domain is not null")
-    labels = _labels(spark, folder).filter(F.col("key").startswith("d:")).select(F.expr("substring(key, 3)").alias("domain"), (F.col("decision") == "pursue").alias("positive"))
-    return rows.join(labels, "domain").select(F.col("x.company_id").alias("id"), F.col("x.total").alias("score"), "positive", F.col("x.excluded").alias("excluded"))
+    """Scored companies with a label, by domain or by name and state: (id, score, positive, excluded)."""
+    return evaluation.matched_items(_report(spark, folder)).drop("exclusion_rule")
 
 
 @query
