@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.values import head_count, real_text, source_label
 from ..functions.web import own_domain
+from ..session import settle
 from .tables import payloads, platforms, table
 
 
@@ -70,7 +71,7 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p1_survivors(spark: SparkSession, folder: str) -> DataFrame:
     """One built record a company, each value with the raw record and the source it came from, and the best single record beside it."""
-    rows = _grouped(spark, folder)
+    rows = settle(_grouped(spark, folder))
     kept = survivors(rows, "company_id", "raw_record_id", _fields(), F.col("trust"), F.col("ingested_at"))
     pick = lambda f, c: F.max(F.when(F.col("field_name") == f, F.col(c)))
     built = kept.groupBy("company_id").agg(
