@@ -89,7 +89,7 @@ def components(pairs: DataFrame, a: str, b: str) -> DataFrame:
     if not edges.take(1):
         return edges.sparkSession.createDataFrame([], "record_id bigint, group_id bigint")
     giant, rest = peel_giant(edges)
-    small = propagate(rest)
+    small = settle(propagate(rest))
     roots = small.join(giant.select("node"), "node", "left_anti")
     hub = giant.select("hub").first().hub  # the same for all of them
     root = small.filter(F.col("node") == hub).select("root").first()

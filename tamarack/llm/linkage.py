@@ -16,7 +16,7 @@ from ..session import settle
 from .components import small_components
 from .names import core_close, learn_words, name_struct
 from .tables import payloads, platforms, table
-from .variants import SHAPE, entity_tags, form_table, hub_links
+from .variants import SHAPE, entity_tags, form_table, hub_links, maybe_alike
 
 #: Bits of a vector, bits that each q-gram sets, and parts of a vector that are indexed.
 BITS, SETS, PARTS = 64, 1, 8
@@ -151,12 +151,12 @@ def match_sources(rows: DataFrame) -> DataFrame:
     inside = hamming_pairs(asking.filter("state is not null"), placed, [*block, "state"])
     outside = hamming_pairs(forms.filter("state is null"), asking.filter("state is not null"), block).select("u", "v")
     lost = hamming_pairs(asking.filter("state is null"), forms, block)
-    cores_u, cores_v = forms.select(F.col("form").alias("u"), F.col("core").alias("cu")), forms.select(F.col("form").alias("v"), F.col("core").alias("cv"), F.col("state").alias("sv"))
-    exact = lambda pairs: pairs.join(cores_u, "u").join(cores_v, "v").filter(_spelled()("cu", "cv"))
+    side = lambda n, *more: forms.select(F.col("form").alias(n), F.col("core").alias(f"c{n}"), F.col("sound").alias(f"s{n}"), *more)
+    exact = lambda pairs: pairs.join(side("u"), "u").join(side("v", F.col("state").alias("at")), "v").filter(maybe_alike("cu", "cv", "su", "sv")).filter(_spelled()("cu", "cv"))
     same = settle(exact(inside).select("u", "v"))
-    apart = settle(exact(outside.unionByName(lost.select("u", "v"))).select("u", "v", "sv"))
-    near = apart.filter("sv is not null").select("u", "v")
-    equal = apart.filter("sv is null").select("u", "v")
+    apart = settle(exact(outside.unionByName(lost.select("u", "v"))).select("u", "v", "at"))
+    near = apart.filter("at is not null").select("u", "v")
+    equal = apart.filter("at is null").select("u", "v")
     # each asked form is the center of a star of its spellings; every form is a star of its own
     stars = forms.select("form", F.col("form").alias("center")).unionByName(same.select(F.col("v").alias("form"), F.col("u").alias("center"))).unionByName(equal.select(F.col("v").alias("form"), F.col("u").alias("center")))
     return entity_tags("key", rows, forms, held, settle(stars.distinct()), near)

@@ -22,7 +22,7 @@ ROUNDS, ACCEPT, SMOOTH = 3, 0.5, 2.0
 #: Times a pattern or given name must be seen.
 LEAST = 3
 #: Characters of texts that are read together with what was learned about their words.
-CHUNK = 500_000
+CHUNK = 2_000_000
 KINDS = ("email", "phone", "id_number", "address", "name")
 
 # ---- shapes of mail addresses, numbers and street addresses -------------------------------------------------------------
@@ -108,8 +108,10 @@ _TOKEN = re.compile(rf"{_PART}(?:-{_PART})*|\d+|[^\w\s]")
 _GAP = re.compile(r"^[ \t   ]+$")
 
 
-@lru_cache(1 << 16)
+@lru_cache(1 << 18)
 def fold(text: str) -> str:
+    if text.isascii():
+        return text.lower()
     return unicodedata.normalize("NFKD", text.replace("ø", "o").replace("Ø", "O").replace("’", "'").replace("ł", "l")).encode("ascii", "ignore").decode().lower()
 
 
@@ -387,11 +389,12 @@ def _gathered(chunked: DataFrame, company: set[str]) -> DataFrame:
     def gather(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             counts: Counter = Counter()
-            words: set[tuple[int, str]] = set()
+            seen: dict[int, set[str]] = {}
             for c, t in zip(part["chunk"], part["t"]):
                 tokens = tokens_of(t)
                 counts.update(evidence(t, company, tokens))
-                words.update((c, fold(w)) for w, _, _ in tokens if len(w) > 1 and w[0].isalpha())
+                seen.setdefault(c, set()).update([w for w, _, _ in tokens])
+            words = {(c, fold(w)) for c, ws in seen.items() for w in ws if len(w) > 1 and w[0].isalpha()}
             yield pd.DataFrame([*((*k, n) for k, n in counts.items()), *(("word", w, str(c), 0, 1) for c, w in words)], columns=["kind", "instance", "pattern", "known", "n"])
 
     return settle(chunked.mapInPandas(gather, "kind string, instance string, pattern string, known int, n bigint"))

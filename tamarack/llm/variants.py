@@ -9,7 +9,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
@@ -92,16 +92,19 @@ def banded(forms: DataFrame, *block: str) -> DataFrame:
     return forms.select("form", "sound", F.xxhash64(*block).alias("block")).mapInArrow(file, "band bigint, form bigint")
 
 
+def maybe_alike(a: str, b: str, sound_a: str, sound_b: str) -> Column:
+    """False for columns of cores that are surely no spellings of one name: an edit of neighbours that changed places is two edits here."""
+    short = F.least(F.length(a), F.length(b))
+    room = F.when(short < 4, 0).when(short < 7, 2).when(short < 14, 4).otherwise(6)
+    return (F.levenshtein(a, b) <= room) | (F.levenshtein(sound_a, sound_b) <= 2)
+
+
 def spelt_alike(pairs: DataFrame, forms: DataFrame) -> DataFrame:
     """Those of the pairs (u, v) of forms of the same words whose cores are spellings of one name; not of two forms that one key alone has."""
     side = lambda n, *more: forms.select(F.col("form").alias(n), F.col("core").alias(f"c{n}"), F.col("sound").alias(f"s{n}"), F.when(F.col("low") == F.col("high"), F.col("low")).alias(f"k{n}"), *more)
     both = pairs.join(side("u", F.concat_ws(" ", "modifier", "trade").alias("words")), "u").join(side("v"), "v")
-    # an edit of neighbours that changed places is two edits here
-    short = F.least(F.length("cu"), F.length("cv"))
-    room = F.when(short < 4, 0).when(short < 7, 2).when(short < 14, 4).otherwise(6)
-    near = (F.levenshtein("cu", "cv") <= room) | (F.levenshtein("su", "sv") <= 2)
     told = F.coalesce(F.col("ku") == F.col("kv"), F.lit(False))
-    return both.filter(~told & near).filter(_spelling("cu", "cv", "words")).select("u", "v")
+    return both.filter(~told & maybe_alike("cu", "cv", "su", "sv")).filter(_spelling("cu", "cv", "words")).select("u", "v")
 
 
 def spelling_pairs(forms: DataFrame) -> DataFrame:
