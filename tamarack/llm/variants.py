@@ -198,7 +198,7 @@ def entity_tags(key: str, rows: DataFrame, forms: DataFrame, held: DataFrame, me
     has their name and they give one city at most.
     """
     cities = rows.filter("city is not null").select(key, "city").distinct()
-    found = placed(key, held, forms, cities, near)
+    found = settle(placed(key, held, forms, cities, near))  # a plan of its own: fewer exchanges at once
     lost = forms.filter("state is null").select("form")
     known = held.join(lost, "form", "left_anti").unionByName(found)
     tags = known.join(members, "form").select(key, F.col("center").cast("string").alias("tag"))
