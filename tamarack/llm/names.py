@@ -131,14 +131,26 @@ def sound(text: str) -> str:
     return _DOUBLED.sub(r"\1", text.translate(_LIKE))
 
 
-def _letters(words) -> tuple[tuple[str, frozenset[str]], ...]:
-    return tuple((w, frozenset(w)) for w in words)
+def _mask(word: str) -> int:
+    """A bit for each sign that a word has."""
+    out = 0
+    for c in word:
+        out |= 1 << (ord(c) & 63)
+    return out
 
 
-def _near(token: str, words: tuple[tuple[str, frozenset[str]], ...], most: int) -> list[tuple[int, str]]:
-    """The words within so many edits of a token; most are ruled out by their lengths and letters alone."""
-    letters, n = frozenset(token), len(token)
-    return [(d, w) for w, own in words if abs(len(w) - n) <= most and len(letters - own) <= most and len(own - letters) <= most and (d := osa(token, w, most)) <= most]
+Known = tuple[tuple[str, int, int], ...]
+
+
+def _known(words) -> Known:
+    """Words with their lengths and signs."""
+    return tuple((w, len(w), _mask(w)) for w in words)
+
+
+def _near(token: str, words: Known, most: int) -> list[tuple[int, str]]:
+    """The words within so many edits of a token; most are ruled out by their lengths and signs alone."""
+    own, n = _mask(token), len(token)
+    return [(d, w) for w, length, signs in words if -most <= length - n <= most and (own & ~signs).bit_count() <= most and (signs & ~own).bit_count() <= most and (d := osa(token, w, most)) <= most]
 
 
 @lru_cache(1 << 16)
@@ -150,7 +162,7 @@ def _kin(token: str) -> str:
     return min(near)[1] if near else ""
 
 
-_NAMES_GIVEN = _letters(NICKNAMES)
+_NAMES_GIVEN = _known(NICKNAMES)
 
 
 @lru_cache(1 << 15)
@@ -183,7 +195,8 @@ class Lexicon:
     def __init__(self, modifiers: tuple[str, ...], trades: tuple[str, ...]) -> None:
         self.words = {"m": frozenset(modifiers), "t": frozenset(trades)}
         self._ordered = {"m": tuple(sorted(modifiers)), "t": tuple(sorted(trades))}
-        self._lengths: dict[tuple[str, int], tuple[tuple[str, frozenset[str]], ...]] = {}
+        self._lengths: dict[tuple[str, int], Known] = {}
+        self._first = {k: {c: tuple(w for w in v if w[0] == c) for c in {w[0] for w in v}} for k, v in self._ordered.items()}
         self._all = (*self._ordered["t"], *self._ordered["m"])
         self._long = tuple(sorted(self._ordered["t"], key=len, reverse=True)) + tuple(sorted(self._ordered["m"], key=len, reverse=True))
         # what was found of a word or name is kept a while, by this lexicon's caches
@@ -205,7 +218,7 @@ class Lexicon:
         if token in SHORT:
             return (SHORT[token], 2) if SHORT[token] in words else ("", 9)
         if 2 <= len(token) <= 9:
-            near = sorted((not w.startswith(token), not w.startswith(token.removesuffix("s")), len(w), w) for w in self._ordered[kind] if skeleton(token, w) or token.endswith("s") and len(token) > 3 and skeleton(token[:-1], w))
+            near = sorted((not w.startswith(token), not w.startswith(token.removesuffix("s")), len(w), w) for w in self._first[kind].get(token[0], ()) if skeleton(token, w) or token.endswith("s") and len(token) > 3 and skeleton(token[:-1], w))
             if near and (len(token) >= 3 or not near[0][0]):
                 return near[0][3], 2
         return "", 9
@@ -214,11 +227,11 @@ class Lexicon:
         """What a token is meant to be as a trade and as a modifier."""
         return self.meant(token, "t"), self.meant(token, "m")
 
-    def _about(self, kind: str, length: int) -> tuple[tuple[str, frozenset[str]], ...]:
+    def _about(self, kind: str, length: int) -> Known:
         """Generic words of about a length."""
         known = self._lengths.get((kind, length))
         if known is None:
-            known = self._lengths[kind, length] = _letters(w for w in self._ordered[kind] if abs(len(w) - length) <= 2)
+            known = self._lengths[kind, length] = _known(w for w in self._ordered[kind] if abs(len(w) - length) <= 2)
         return known
 
     def _parts(self, token: str) -> tuple[str, ...]:

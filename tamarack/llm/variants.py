@@ -212,9 +212,9 @@ def entity_tags(key: str, rows: DataFrame, forms: DataFrame, held: DataFrame, me
 
 
 def hub_links(tags: DataFrame, key: str) -> DataFrame:
-    """Links (key, hub) from every key to the smallest key of each of its tags; tags of one key give none."""
+    """Links (key, hub) from every key to the smallest key of each of its tags, a link for each tag; tags of one key give none."""
     hubs = tags.groupBy("tag").agg(F.min(key).alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    return tags.join(hubs, "tag").select(key, "hub").filter(F.col(key) != F.col("hub")).distinct()
+    return tags.join(hubs, "tag").select(key, "hub").filter(F.col(key) != F.col("hub"))
 
 
 def entity_links(rows: DataFrame, key: str) -> DataFrame:
