@@ -13,7 +13,7 @@ import html
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -200,7 +200,7 @@ class Lexicon:
         self._all = (*self._ordered["t"], *self._ordered["m"])
         self._long = tuple(sorted(self._ordered["t"], key=len, reverse=True)) + tuple(sorted(self._ordered["m"], key=len, reverse=True))
         # what was found of a word or name is kept a while, by this lexicon's caches
-        self.meant, self.both, self.parts, self.assign, self.parse = (lru_cache(1 << 16)(f) for f in (self._meant, self._both, self._parts, self._assign, self._parse))
+        self.meant, self.both, self.parts, self.parse = (lru_cache(1 << 16)(f) for f in (self._meant, self._both, self._parts, self._parse))
 
     def _meant(self, token: str, kind: str) -> tuple[str, int]:
         """The generic word that a token is meant to be, and how far it is: 0 the word, 1 a misspelling, 2 a short form, 9 none."""
@@ -272,9 +272,9 @@ class Lexicon:
         while len(kept) > 1 and kept[-1] in LEGAL:
             kept.pop()
         kept = [t for t in kept if t not in LEGAL] or kept
-        return self.assign(tuple(kept), frozenset(_AFTER_COMMA.findall(text)) if commas else frozenset())
+        return self._assign(kept, _AFTER_COMMA.findall(text) if commas else ())
 
-    def _assign(self, tokens: tuple[str, ...], after_comma: frozenset[str] = frozenset()) -> Parsed | None:
+    def _assign(self, tokens: Sequence[str], after_comma: Sequence[str] = ()) -> Parsed | None:
         parts = [p for t in tokens for p in (self.parts(t) if len(t) > 8 else (t,))]
         found = {"m": "", "t": ""}
         given: tuple[str, ...] = ()

@@ -240,14 +240,14 @@ def _company_rows(spark: SparkSession, folder: str) -> DataFrame:
                                                       state_code(F.col("state")).alias("state"), city_key(F.col("city")).alias("city"), F.lit(1).alias("stored"))
     assigned = table(spark, folder, "company_records").select("company_id", "raw_record_id")
     raw = payloads(table(spark, folder, "raw_records"), "name", "website", "state", "city")
-    behind = raw.join(assigned, raw.id == assigned.raw_record_id).select("company_id", "name", own_domain(F.col("website"), hosts).alias("domain"),
+    behind = raw.join(assigned.hint("shuffle_hash"), raw.id == assigned.raw_record_id).select("company_id", "name", own_domain(F.col("website"), hosts).alias("domain"),
                                                                         state_code(F.col("state")).alias("state"), city_key(F.col("city")).alias("city"), F.lit(0).alias("stored"))
     # a company's like names meet in one worker, which reads their words once; a hot company's rows are split
     together = stored.unionByName(behind).hint("rebalance", "company_id")
     words = learn_words(table(spark, folder, "companies"), "canonical_name")
     rows = settle(together.withColumn("parsed", name_struct(words)("name")))
     states = rows.filter("state is not null").groupBy("company_id", "state").agg(F.max("stored").alias("s"), F.count("*").alias("n")).groupBy("company_id").agg(F.max_by("state", F.struct("s", "n", "state")).alias("home"))
-    return rows.join(states, "company_id", "left").select("company_id", "parsed.core", "parsed.sound", "parsed.modifier", "parsed.trade", F.col("home").alias("state"), "city", "domain")
+    return rows.join(states.hint("shuffle_hash"), "company_id", "left").select("company_id", "parsed.core", "parsed.sound", "parsed.modifier", "parsed.trade", F.col("home").alias("state"), "city", "domain")
 
 
 def p4_groups(spark: SparkSession, folder: str) -> DataFrame:
