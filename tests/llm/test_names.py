@@ -1,8 +1,11 @@
 import random
+from pathlib import Path
+from types import SimpleNamespace as NS
 
 import pytest
 from pyspark.sql import functions as F
 
+from tamarack import session
 from tamarack.llm.components import small_components
 from tamarack.llm import linkage
 from tamarack.llm.linkage import RADIUS, bit_vector, calibrate, dice, hamming_pairs, match_sources, with_confidence
@@ -96,6 +99,29 @@ def test_hot_buckets_are_compared_whole(spark):
     assert got <= want and len(got) >= 0.99 * len(want) > 500
 
 
+def test_spelling_pairs_leave_only_their_result(spark):
+    forms, _ = form_table(typed(spark, [(i, n, "GA", None, None) for i, n in enumerate(cores(2, n=5, k=4))]), "key")
+    folder = Path(session.ensure_checkpoint_dir(spark).removeprefix("file:"))
+    there = lambda: {p.name for p in folder.glob("settled-*")}
+    before = there()
+    got = spelling_pairs(forms)
+    assert there() - before == {got._settled_path.rsplit("/", 1)[1]} and got.count() > 0
+
+
+def test_a_grown_heap_of_the_driver_is_collected_after_a_step(spark, monkeypatch):
+    asked, heap = [], NS(totalMemory=lambda: 74, maxMemory=lambda: 100)
+    driver = NS(sparkContext=NS(), _jvm=NS(System=NS(gc=lambda: asked.append(1)), java=NS(lang=NS(Runtime=NS(getRuntime=lambda: heap)))))
+    session.tidy(driver)
+    assert len(asked) == 1
+    driver.sparkContext._tamarack_tidy_at += 60
+    session.tidy(driver)  # not again at once
+    driver.sparkContext._tamarack_tidy_at, heap.totalMemory = 0, lambda: 26
+    session.tidy(driver)  # nor a small one
+    assert len(asked) == 1
+    monkeypatch.setattr(session, "tidy", asked.append)
+    assert session.settle(spark.range(3)).count() == 3 and asked[1:] == [spark]
+
+
 def test_vocabulary_is_learned(spark):
     r = random.Random(4)
     family = ["".join(r.choice("bdfgklmnprstvz") + r.choice("aeiou") for _ in range(4)) for _ in range(400)]
