@@ -12,7 +12,7 @@ from pyspark.sql.types import BooleanType
 
 from ..functions.geo import city_key, state_code
 from ..functions.web import own_domain
-from ..session import settle
+from ..session import release, settle
 from .components import small_components
 from .names import core_close, learn_words, name_struct
 from .tables import payloads, platforms, table
@@ -143,8 +143,9 @@ def match_sources(rows: DataFrame) -> DataFrame:
     ignored, and an empty table gives no tag.
     """
     rows = settle(rows.filter("key is not null").select("key", "side", *SHAPE))
-    forms, held = form_table(rows, "key")
-    forms = settle(forms.withColumn("vector", bit_vector(F.col("sound"))))
+    plain, held = form_table(rows, "key")
+    forms = settle(plain.withColumn("vector", bit_vector(F.col("sound"))))
+    release(plain)
     asking = settle(forms.join(held.join(rows.filter("side = 0").select("key").distinct(), "key", "left_semi").select("form").distinct(), "form", "left_semi"))
     block = ["modifier", "trade"]
     placed = forms.filter("state is not null")
@@ -155,11 +156,14 @@ def match_sources(rows: DataFrame) -> DataFrame:
     exact = lambda pairs: pairs.join(side("u"), "u").join(side("v", F.col("state").alias("at")), "v").filter(maybe_alike("cu", "cv", "su", "sv")).filter(_spelled()("cu", "cv"))
     same = settle(exact(inside).select("u", "v"))
     apart = settle(exact(outside.unionByName(lost.select("u", "v"))).select("u", "v", "at"))
+    release(asking)
     near = apart.filter("at is not null").select("u", "v")
     equal = apart.filter("at is null").select("u", "v")
     # each asked form is the center of a star of its spellings; every form is a star of its own
     stars = forms.select("form", F.col("form").alias("center")).unionByName(same.select(F.col("v").alias("form"), F.col("u").alias("center"))).unionByName(equal.select(F.col("v").alias("form"), F.col("u").alias("center")))
-    return entity_tags("key", rows, forms, held, settle(stars.distinct()), near)
+    members = settle(stars.distinct())
+    release(same)
+    return entity_tags("key", rows, forms, held, members, near)
 
 
 def p6_matches(spark: SparkSession, folder: str) -> DataFrame:

@@ -108,6 +108,16 @@ def test_spelling_pairs_leave_only_their_result(spark):
     assert there() - before == {got._settled_path.rsplit("/", 1)[1]} and got.count() > 0
 
 
+def test_match_sources_deletes_what_it_has_read(spark):
+    rows = typed(spark, ROWS_).filter("key is not null").withColumn("side", (F.col("key") % 2).cast("int"))
+    folder = Path(session.ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.glob("settled-*"))
+    tags = match_sources(rows)
+    left = [spark.read.parquet(str(p)).columns for p in set(folder.glob("settled-*")) - before]
+    assert len(left) == 5 and not any(c == ["u", "v"] for c in left) and sum("vector" in c for c in left) == 1
+    assert {r.record_id: r.group_id for r in small_components(hub_links(tags, "key"), "key", "hub").collect()} == WANT
+
+
 def test_a_grown_heap_of_the_driver_is_collected_after_a_step(spark, monkeypatch):
     asked, heap = [], NS(totalMemory=lambda: 74, maxMemory=lambda: 100)
     driver = NS(sparkContext=NS(), _jvm=NS(System=NS(gc=lambda: asked.append(1)), java=NS(lang=NS(Runtime=NS(getRuntime=lambda: heap)))))
