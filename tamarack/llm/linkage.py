@@ -18,10 +18,12 @@ from .names import core_close, learn_words, name_struct
 from .tables import payloads, platforms, table
 from .variants import SHAPE, entity_tags, form_table, hub_links, maybe_alike
 
-#: Bits of a vector, bits that each q-gram sets, and parts of a vector that are indexed.
+#: Bits of a vector, bits that each q-gram sets, and parts of a vector.
 BITS, SETS, PARTS = 64, 1, 8
 #: Within this distance two vectors surely agree in one part but for a bit: PARTS * 2 - 1.
 RADIUS = PARTS * 2 - 1
+#: Items of a block that one task compares with the block's queries.
+DEALT = 2000
 #: Bins of the score by which confidence is calibrated.
 BINS = 40
 #: Weights of the attributes in the score.
@@ -42,30 +44,44 @@ def bit_vector(text: Column) -> Column:
     return F.when(F.length(text) > 0, F.aggregate(grams, F.lit(0).cast("bigint"), lambda acc, g: acc.bitwiseOR(mask(g))))
 
 
-def _part(vector: Column, i: Column) -> Column:
-    """The i-th part of a vector as a number of BITS / PARTS bits."""
-    return F.call_function("shiftrightunsigned", vector, (i * (BITS // PARTS)).cast("int")).bitwiseAND(F.lit((1 << BITS // PARTS) - 1))
+def letters(text: Column) -> Column:
+    """For each letter a bit if a text has it, and one if it has it twice: an edit of one letter turns two bits at most, an exchange of neighbours none."""
+    out = F.lit(0).cast("bigint")
+    for i, c in enumerate("abcdefghijklmnopqrstuvwxyz"):
+        for bit, holds in ((i, F.contains(text, F.lit(c))), (i + 26, F.substring_index(text, c, 2) != text)):
+            out = out.bitwiseOR(F.when(holds, F.lit(1 << bit).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
+    return out
 
 
-def hamming_pairs(queries: DataFrame, items: DataFrame, block: Sequence[str]) -> DataFrame:
+def maybe_close(a: str, b: str, letters_a: str, letters_b: str, heard_a: str, heard_b: str) -> Column:
+    """False for cores that are surely not ``core_close``, by the ``letters`` of the cores and of their sounds alone."""
+    apart = lambda x, y: F.bit_count(F.col(x).bitwiseXOR(F.col(y)))
+    short = F.least(F.length(a), F.length(b))
+    edits = F.when(short < 4, 0).when(short < 7, 1).when(short < 14, 2).otherwise(3)
+    return (apart(heard_a, heard_b) <= 2) | (apart(letters_a, letters_b) <= 2 * edits)
+
+
+def hamming_pairs(queries: DataFrame, items: DataFrame, block: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
     """All pairs (u, v, distance) of a query and an item of the same ``block`` values whose vectors differ in RADIUS bits at most.
 
-    Both sides hold (form, vector) and the block's columns.  Multi-index hashing: a pair within the radius agrees in one
-    of the PARTS of the vectors but for one bit at most, so each item is filed under its parts and each query looks up its
-    parts as they are and with each bit turned.  Pairs are compared once, by the first part that finds them.  Exact: no
-    pair within the radius is lost.  Nulls of a block are not equal to anything; rows without a vector find nothing.
+    Both sides hold (form, vector), where forms are unique, and the block's columns; of the columns ``carry`` of both,
+    u_x and v_x come with a pair.  A row is sent once, to its block, whose pairs are met there: with a sixth of all bits
+    set, an index of the vectors' PARTS with a bit turned would meet most pairs of a block, many more than once, and
+    copy each query 72 times.  The items of a block above DEALT are dealt out to parts, and the queries are copied to each.
+    Exact: no pair within the radius is lost.  Nulls of a block are not equal to anything; rows without a vector find nothing.
     """
-    keys = [F.col(c) for c in block]
-    some = lambda d: d.filter(F.col("vector").isNotNull()).select("form", "vector", *block)
+    some = lambda d: d.filter(F.col("vector").isNotNull()).select("form", "vector", *dict.fromkeys([*block, *carry]))
     queries, items = some(queries), some(items)
-    places = F.sequence(F.lit(0), F.lit(PARTS - 1))
-    turned = F.array(*[F.lit(x).cast("bigint") for x in (0, *(1 << b for b in range(BITS // PARTS)))])
-    own = F.transform(places, lambda i: F.xxhash64(i, _part(F.col("vector"), i), *keys))
-    near = F.flatten(F.transform(places, lambda i: F.transform(turned, lambda t: F.xxhash64(i, _part(F.col("vector"), i).bitwiseXOR(t), *keys))))
-    filed = items.select(F.col("form").alias("v"), F.col("vector").alias("y"), F.explode(own).alias("key"))
-    asked = queries.select(F.col("form").alias("u"), F.col("vector").alias("x"), F.explode(near).alias("key"))
+    # one row a block above DEALT: less than one for every DEALT items
+    large = F.broadcast(items.groupBy(*block).agg(F.ceil(F.count("*") / DEALT).cast("int").alias("parts")).filter("parts > 1"))
+    dealt = lambda d: d.join(large, list(block), "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    side = lambda n, x: [F.col("form").alias(n), F.col("vector").alias(x), *[F.col(c).alias(f"{n}_{c}") for c in carry]]
+    asked = dealt(queries).select(*block, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *side("u", "x"))
+    filed = dealt(items).select(*block, F.pmod(F.xxhash64("form"), F.col("parts")).cast("int").alias("part"), *side("v", "y"))
     distance = F.bit_count(F.col("x").bitwiseXOR(F.col("y")))
-    return asked.join(filed, "key").withColumn("distance", distance).filter((F.col("distance") <= RADIUS) & (F.col("u") != F.col("v"))).select("u", "v", "distance").distinct()
+    # sizes of settled files say little of the rows in memory: never sent to the driver
+    met = asked.hint("merge").join(filed, [*block, "part"]).filter((distance <= RADIUS) & (F.col("u") != F.col("v")))
+    return met.select("u", "v", distance.alias("distance"), *[f"{n}_{c}" for n in "uv" for c in carry])
 
 
 def dice(a: Column, b: Column) -> Column:
@@ -137,25 +153,26 @@ def match_sources(rows: DataFrame) -> DataFrame:
 
     Forms of names (core, modifier, trade, state) get bit vectors of their q-grams; forms of side 0 are compared with all
     forms of the same modifier, trade and state, and forms without a state with those of the same modifier and trade,
-    by multi-index Hamming hashing.  Cores of close pairs are then compared letter by letter.  A record without a state
+    by their Hamming distance.  Cores of close pairs are then compared letter by letter.  A record without a state
     is placed by its city, or where only one state has its name.  Web domains are exact: equal own domains are one tag.
     Null keys take no part, records with neither name nor domain get no tag, equal rows count once, further columns are
     ignored, and an empty table gives no tag.
     """
     rows = settle(rows.filter("key is not null").select("key", "side", *SHAPE))
     plain, held = form_table(rows, "key")
-    forms = settle(plain.withColumn("vector", bit_vector(F.col("sound"))))
+    forms = settle(plain.withColumns({"vector": bit_vector(F.col("sound")), "letters": letters(F.col("core")), "heard": letters(F.col("sound"))}))
     release(plain)
     asking = settle(forms.join(held.join(rows.filter("side = 0").select("key").distinct(), "key", "left_semi").select("form").distinct(), "form", "left_semi"))
     block = ["modifier", "trade"]
     placed = forms.filter("state is not null")
-    inside = hamming_pairs(asking.filter("state is not null"), placed, [*block, "state"])
-    outside = hamming_pairs(forms.filter("state is null"), asking.filter("state is not null"), block).select("u", "v")
-    lost = hamming_pairs(asking.filter("state is null"), forms, block)
-    side = lambda n, *more: forms.select(F.col("form").alias(n), F.col("core").alias(f"c{n}"), F.col("sound").alias(f"s{n}"), *more)
-    exact = lambda pairs: pairs.join(side("u"), "u").join(side("v", F.col("state").alias("at")), "v").filter(maybe_alike("cu", "cv", "su", "sv")).filter(_spelled()("cu", "cv"))
+    both = ["core", "sound", "state", "letters", "heard"]
+    inside = hamming_pairs(asking.filter("state is not null"), placed, [*block, "state"], both)
+    outside = hamming_pairs(forms.filter("state is null"), asking.filter("state is not null"), block, both)
+    lost = hamming_pairs(asking.filter("state is null"), forms, block, both)
+    maybe = maybe_close("u_core", "v_core", "u_letters", "v_letters", "u_heard", "v_heard")
+    exact = lambda pairs: pairs.filter(maybe).filter(maybe_alike("u_core", "v_core", "u_sound", "v_sound")).filter(_spelled()("u_core", "v_core"))
     same = settle(exact(inside).select("u", "v"))
-    apart = settle(exact(outside.unionByName(lost.select("u", "v"))).select("u", "v", "at"))
+    apart = settle(exact(outside.unionByName(lost)).select("u", "v", F.col("v_state").alias("at")))
     release(asking)
     near = apart.filter("at is not null").select("u", "v")
     equal = apart.filter("at is null").select("u", "v")

@@ -167,6 +167,30 @@ def test_hamming_is_exact(spark):
     assert got == {(a, b, dist(a, b)) for a in range(100) for b in range(len(vectors)) if a != b and a % 2 == b % 2 and dist(a, b) <= RADIUS}
 
 
+def test_hamming_sends_rows_once_and_none_to_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(linkage, "DEALT", 7, raising=False)
+    r = random.Random(5)
+    rows = [(i, sum(1 << b for b in r.sample(range(63), 12)), "m" if i % 3 else "n", f"c{i}") for i in range(90)]
+    d = session.settle(spark.createDataFrame(rows, "form bigint, vector bigint, block string, core string"))
+    got = hamming_pairs(d.filter("form < 40"), d, ["block"], ["core"])
+    far = lambda a, b: (a[1] ^ b[1]).bit_count()
+    want = [(a[0], b[0], far(a, b), a[3], b[3]) for a in rows[:40] for b in rows if a[0] != b[0] and a[2] == b[2] and far(a, b) <= RADIUS]
+    assert want and sorted(map(tuple, got.collect())) == sorted(want)  # each pair once, though blocks are dealt out
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    pairs = plan[: plan.index("SortMergeJoin")]  # what is done with the pairs
+    assert "BroadcastHashJoin" not in pairs and "Exchange" not in pairs and "HashAggregate" not in pairs
+
+
+def test_letters_rule_out_no_close_cores(spark):
+    r = random.Random(17)
+    words = [*cores(6, n=25, k=3), *cores(7, n=5, k=8), "ab", "abc", "ac", "aab", "phil", "fil", "barn", "bam"]
+    pairs = [(a, b, sound(a), sound(b), core_close(a, b)) for a in words for b in r.sample(words, 40) + [w for w in words if core_close(a, w)]]
+    d = spark.createDataFrame(pairs, "a string, b string, x string, y string, close boolean")
+    d = d.withColumns({n: linkage.letters(F.col(c)) for n, c in (("la", "a"), ("lb", "b"), ("ha", "x"), ("hb", "y"))})
+    maybe = linkage.maybe_close("a", "b", "la", "lb", "ha", "hb")
+    assert d.filter("close").filter(~maybe).count() == 0 and d.filter(maybe).count() < d.count() / 3
+
+
 def test_vectors_and_calibration(spark):
     d = spark.createDataFrame([("truckdale", "truckdale"), ("truckdale", "trukdale"), ("truckdale", "zonmish"), (None, "a"), ("", "a")], "a string, b string")
     s = [r.s for r in d.select(dice(bit_vector(F.col("a")), bit_vector(F.col("b"))).alias("s")).collect()]
