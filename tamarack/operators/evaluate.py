@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .match import too_far
+from ..session import settle
+from .match import similar_names
 from .running import numbered
 
 # Cut-offs, resamples and the least class size of the evaluation.
@@ -91,9 +92,10 @@ def match_labels(labels: DataFrame, companies: DataFrame, similarity) -> DataFra
     sites = companies.filter("domain is not null").groupBy("domain").agg(F.min("company_id").alias("company_id"))
     by_site = labels.join(sites, "domain").select("label", "company_id", F.lit("domain").alias("how"))
     left = labels.join(by_site.select("label"), "label", "left_anti").filter("state is not null and key <> ''")
-    near = left.select("label", "state", F.col("key").alias("k1")).join(companies.filter("key <> ''").select("company_id", "state", F.col("key").alias("k2")), "state")
-    close = near.filter(~too_far(F.col("k1"), F.col("k2"), 93.0))
-    scored = close.withColumn("s", similarity(F.col("k1"), F.col("k2"))).filter("s >= 93")
+    near = similar_names(left, companies, "state", 93.0)
+    alike = settle(near.withColumn("s", similarity(F.col("k1"), F.col("k2"))).filter("s >= 93"))
+    named = left.select("label", "state", F.col("key").alias("k1")).join(alike, ["state", "k1"])
+    scored = named.join(companies.select("company_id", "state", F.col("key").alias("k2")), ["state", "k2"])
     best = Window.partitionBy("label")
     top = scored.withColumn("top", F.max("s").over(best)).filter("s = top").withColumn("n", F.count("*").over(best)).filter("n = 1")
     return by_site.unionByName(top.select("label", "company_id", F.lit("name").alias("how")))

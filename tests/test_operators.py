@@ -49,6 +49,27 @@ def test_oversized_blocks_are_compared_whole(spark):
     assert over.count() == 5 and {(x.a, x.b) for x in pairs.collect()} == {(a, b) for a, b in combinations(range(36), 2) if names[a % 6][:5] == names[b % 6][:5] or names[a % 6].replace(" ", "")[:4] == names[b % 6].replace(" ", "")[:4]}
 
 
+def test_similar_names_lose_none(spark):
+    r = random.Random(4)
+    words = ["saint", "pirran", "tool", "toolworks", "castings", "precision", "a", "42"]
+    typo = lambda x: x[: (i := r.randrange(len(x) + 1))] + r.choice(["", "x", " "]) + x[i + r.randrange(2) :]
+    names = sorted({" ".join(typo(" ".join(r.choice(words) for _ in range(r.randrange(1, 5)))).split()) for _ in range(160)} - {""})
+    d = spark.createDataFrame([(r.choice(["GA", "NC", None]), n) for n in [*names, *names[:20], "", None]], "state string, key string")
+    got = [tuple(x) for x in match.similar_names(d, d, "state", 93.0).collect()]
+    rows = {tuple(x) for x in d.collect() if x.state and x.key}
+    want = {(s, a, b) for s, a in rows for t, b in rows if s == t and match.token_sort_similarity(a, b) >= 93}
+    assert want <= set(got) and len(got) == len(set(got)) < len(rows) ** 2 / 8
+
+
+def test_labels_meet_names_of_like_length_only(spark):
+    labels = spark.createDataFrame([(1, "a.test", "acme tool", "GA"), (2, None, "acme tools", "GA"), (3, None, "zen castings", "GA"), (4, None, "zen castings", None), (5, None, "zencastings", "GA")], "label bigint, domain string, key string, state string")
+    companies = spark.createDataFrame([(1, "a.test", "acme toolz", "GA"), (2, None, "acme tool", "GA"), (3, None, "zen castings", "GA"), (4, None, "zen castings", "GA")], "company_id bigint, domain string, key string, state string")
+    out = evaluate.match_labels(labels, companies, match.name_similarity)
+    assert {tuple(x) for x in out.collect()} == {(1, 1, "domain"), (2, 2, "name")}  # names that two companies have are nobody's
+    near = match.similar_names(labels, companies, "state", 93.0)._jdf.queryExecution().executedPlan().toString()
+    assert "size#" in next(x for x in near.splitlines() if "SortMergeJoin" in x)
+
+
 def test_names_that_are_left_out_are_distinct(spark):
     r = random.Random(8)
     words = ["saint", "st", "a", "pirran", "tool", "toolworks", "42", "é"]
