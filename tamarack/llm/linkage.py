@@ -79,7 +79,6 @@ def hamming_pairs(queries: DataFrame, items: DataFrame, block: Sequence[str], ca
     asked = dealt(queries).select(*block, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *side("u", "x"))
     filed = dealt(items).select(*block, F.pmod(F.xxhash64("form"), F.col("parts")).cast("int").alias("part"), *side("v", "y"))
     distance = F.bit_count(F.col("x").bitwiseXOR(F.col("y")))
-    # sizes of settled files say little of the rows in memory: never sent to the driver
     met = asked.hint("merge").join(filed, [*block, "part"]).filter((distance <= RADIUS) & (F.col("u") != F.col("v")))
     return met.select("u", "v", distance.alias("distance"), *[f"{n}_{c}" for n in "uv" for c in carry])
 
@@ -162,7 +161,8 @@ def match_sources(rows: DataFrame) -> DataFrame:
     plain, held = form_table(rows, "key")
     forms = settle(plain.withColumns({"vector": bit_vector(F.col("sound")), "letters": letters(F.col("core")), "heard": letters(F.col("sound"))}))
     release(plain)
-    asking = settle(forms.join(held.join(rows.filter("side = 0").select("key").distinct(), "key", "left_semi").select("form").distinct(), "form", "left_semi"))
+    # sizes of settled files say little of the rows in memory: such tables aren't sent to the driver
+    asking = settle(forms.hint("merge").join(held.hint("merge").join(rows.filter("side = 0").select("key").distinct(), "key", "left_semi").select("form").distinct(), "form", "left_semi"))
     block = ["modifier", "trade"]
     placed = forms.filter("state is not null")
     both = ["core", "sound", "state", "letters", "heard"]
