@@ -1,9 +1,11 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tamarack.functions import geo, keys, persons, text, values, web
 from tamarack.functions.pages import best_links, page_links, page_parts, page_verdict, place_match
-from tamarack.operators.match import common_subsequence, token_sort_similarity
+from tamarack.operators.match import common_subsequence, token_sort_similarities, token_sort_similarity
 
 
 def one(spark, column, value, kind="string"):
@@ -65,6 +67,16 @@ def test_similarity(a, b, want):
     assert round(token_sort_similarity(a, b), 1) == want
 
 
+def test_similarities_of_many_pairs_at_once():
+    r = random.Random(6)
+    some = [None, "", " ", "a", "é😀 x", "tool acme", "acme tool", "acmetool", "x" * 64, "y" + "x" * 63, "x" * 65, "ab " * 40] + [" ".join("".join(r.choice("abcde") for _ in range(r.randrange(1, 16))) for _ in range(r.randrange(1, 6))) for _ in range(60)]
+    a, b = zip(*[(p, q) for p in some for q in some])
+    assert list(token_sort_similarities(a, b)) == [token_sort_similarity(p, q) for p, q in zip(a, b)]
+    wide = ["".join(chr(0x4E00 + 40 * i + j) for j in range(40)) for i in range(400)]  # 16,000 signs
+    assert list(token_sort_similarities(wide, wide[1:] + wide[:1])) == [0.0] * 400
+    assert list(token_sort_similarities([], [])) == [] and list(token_sort_similarities([None], ["a"])) == [0.0]
+
+
 def test_common_subsequence_brute_force():
     import random
 
